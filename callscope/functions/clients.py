@@ -40,11 +40,12 @@ def error_text(error, is_tool_error, error_type) -> Column:
     return F.when(~ok(error, is_tool_error), text)
 
 
-def capabilities(value) -> Column:
+def sql_capabilities(name: str) -> str:
     """Client capabilities as JSON; dropped whole when empty or too large."""
-    text = col(value)
-    fits = (F.octet_length(text) <= S.MAX_CAPABILITIES_BYTES) & ~text.rlike("\\A\\s*(\\{\\s*\\}|null)?\\s*\\z")
-    return F.when(fits, text)
+    return (
+        f"CASE WHEN octet_length({name}) <= {S.MAX_CAPABILITIES_BYTES}"
+        f" AND NOT {name} RLIKE '^\\\\s*([{{]\\\\s*[}}]|null)?\\\\s*$' THEN {name} END"
+    )
 
 
 def valid_capability(value) -> Column:

@@ -38,45 +38,42 @@ _FRAGILE_NUMBER = "[0-9][.eE][0-9+-]|-0|[0-9]{18}"
 # --- native path -----------------------------------------------------------------
 
 
-def _needs_recursion(text: Column, secrets: bool) -> Column:
-    odd = (
-        (F.octet_length(text) > S.SANITIZE_BUDGET)
-        | ~text.rlike(_PLAIN_CHARS)
-        | text.rlike(_FRAGILE_NUMBER)
-        | text.rlike("[A-Za-z0-9+/_-]{512}")
-        | text.contains(";base64,")
-        | text.contains(_KEY_LITERALS[0])
-        | text.contains(_KEY_LITERALS[1])
-    )
+def _sql_needs_recursion(name: str, secrets: bool) -> str:
+    odd = [
+        f"octet_length({name}) > {S.SANITIZE_BUDGET}",
+        f"NOT {name} RLIKE {tx.sql_text(_PLAIN_CHARS)}",
+        f"{name} RLIKE {tx.sql_text(_FRAGILE_NUMBER)}",
+        f"{name} RLIKE '[A-Za-z0-9+/_-]{{512}}'",
+        f"contains({name}, ';base64,')",
+    ]
+    odd += [f"contains({name}, {tx.sql_text(x)})" for x in _KEY_LITERALS]
     if secrets:
-        odd = odd | tx.may_hold_secret(text) | text.rlike(_KEY_PATTERN)
-    return odd
+        odd += [tx.sql_may_hold_secret(name), f"{name} RLIKE {tx.sql_text(_KEY_PATTERN)}"]
+    return tx.sql_when_any(odd)
 
 
-def _escape_html(text: Column) -> Column:
+def _sql_escape_html(text: str) -> str:
     for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
-        text = F.replace(text, F.lit(char), F.lit(code))
+        text = f"replace({text}, '{char}', {tx.sql_text(code)})"
     return text
 
 
-def with_native_preview(df: DataFrame, out: str, text: str, strip: Column | None) -> DataFrame:
+def with_native_preview(df: DataFrame, out: str, text: str, strip: str | None) -> DataFrame:
     """Add `out`: the preview of plain JSON texts, NULL for JSON it cannot render.
 
     `text` is NULL wherever the recursion has to do the work.
     """
     parsed = f"__{out}_parsed"
     df = df.withColumn(parsed, F.try_parse_json(text))
-    whole = F.to_json(parsed)
+    whole = f"to_json({parsed})"
     if strip is not None:
-        has_block = strip & F.col(text).contains("\"telemetry\"") & F.col(text).rlike("\\A\\s*\\{")
-        entries = F.map_entries(F.from_json(F.when(has_block, F.col(text)), "map<string,variant>"))
-        kept = F.array_sort(
-            F.filter(entries, lambda e: e["key"] != "telemetry"),
-            lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0),
-        )
-        without = F.when(F.col(parsed).isNotNull(), F.to_json(F.map_from_entries(kept)))
-        whole = F.when(has_block, without).otherwise(whole)
-    return df.withColumn(out, whole).drop(parsed).withColumn(out, _escape_html(F.col(out)))
+        block = f"({strip} AND contains({text}, '\"telemetry\"') AND startswith(ltrim({text}), '{{'))"
+        order = "(a, b) -> CASE WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END"
+        entries = f"map_entries(from_json(CASE WHEN {block} THEN {text} END, 'map<string,variant>'))"
+        kept = f"array_sort(filter({entries}, e -> e.key != 'telemetry'), {order})"
+        without = f"CASE WHEN {parsed} IS NOT NULL THEN to_json(map_from_entries({kept})) END"
+        whole = f"CASE WHEN {block} THEN {without} ELSE {whole} END"
+    return df.withColumn(out, F.expr(_sql_escape_html(whole))).drop(parsed)
 
 
 # --- recursion for the rest ------------------------------------------------------
@@ -271,7 +268,8 @@ def _slow_preview(pick, secrets: bool, redactor: Callable | None, marker, object
             dtype=object,
         )
 
-    return udf
+    # Keeps filters on other columns from being moved below, which would run it twice.
+    return udf.asNondeterministic()
 
 
 def with_preview(
@@ -298,15 +296,14 @@ def with_preview(
     df = df.withColumn(flag, F.lit(False) if strip is None else F.coalesce(strip, F.lit(False)))
     if redactor is None:
         # A member is read natively only when the whole text is plain.
-        plain = F.when(~_needs_recursion(F.col(value), secrets), F.col(value))
-        df = df.withColumn(source, plain)
-        if pick is not None:
-            df = df.withColumn(source, F.get_json_object(source, f"$.{pick}"))
-        simple = F.col(source).rlike("\\A\\s*\\{" if objects_only else "\\A\\s*[\\{\\[]")
+        taken = value if pick is None else f"get_json_object({value}, '$.{pick}')"
+        plain = f"CASE WHEN NOT {_sql_needs_recursion(value, secrets)} THEN {taken} END"
+        simple = f"{source} RLIKE " + ("'^\\\\s*[{]'" if objects_only else "'^\\\\s*[{\\\\[]'")
         if drop_marker:
-            simple = simple & ~F.col(source).contains(drop_marker)
-        df = df.withColumn(source, F.when(simple, F.col(source)))
-        df = with_native_preview(df, native, source, None if strip is None else F.col(flag))
+            simple += f" AND NOT contains({source}, {tx.sql_text(drop_marker)})"
+        df = df.withColumn(source, F.expr(plain))
+        df = df.withColumn(source, F.expr(f"CASE WHEN {simple} THEN {source} END"))
+        df = with_native_preview(df, native, source, None if strip is None else flag)
     else:
         df = df.withColumn(native, F.lit(None).cast("string")).withColumn(source, F.lit(None))
     slow_udf = _slow_preview(pick, secrets, redactor, drop_marker, objects_only)

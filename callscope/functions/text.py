@@ -4,9 +4,7 @@ Everything here is built-in Spark columns, so it stays inside code generation.
 Lengths are UTF-8 bytes throughout.
 """
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callscope import schemas as S
@@ -74,93 +72,125 @@ def blank_to_null(c) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
-def truncate_utf8(c, limit: int) -> Column:
+def sql_text(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_when_any(conditions: list[str]) -> str:
+    return "(" + " OR ".join(conditions) + ")"
+
+
+# The expressions below repeat their input many times, so they are written as SQL
+# over a column name (or a cheap expression such as a struct member).
+
+
+def sql_truncate(name: str, limit: int) -> str:
     """The longest prefix of at most `limit` bytes that ends on a character."""
-    text = col(c)
-    data = text.cast("binary")
 
-    def continues(pos: int) -> Column:
-        return F.hex(F.substring(data, pos, 1)).between("80", "BF")
+    def continues(pos: int) -> str:
+        return f"hex(substring(CAST({name} AS BINARY), {pos}, 1)) BETWEEN '80' AND 'BF'"
 
-    keep = (
-        F.when(~continues(limit + 1), limit)
-        .when(~continues(limit), limit - 1)
-        .when(~continues(limit - 1), limit - 2)
-        .otherwise(limit - 3)
+    return (
+        f"CASE WHEN octet_length({name}) <= {limit} THEN {name} ELSE CAST(substring("
+        f"CAST({name} AS BINARY), 1, CASE WHEN NOT {continues(limit + 1)} THEN {limit}"
+        f" WHEN NOT {continues(limit)} THEN {limit - 1}"
+        f" WHEN NOT {continues(limit - 1)} THEN {limit - 2} ELSE {limit - 3} END) AS STRING) END"
     )
-    cut = F.substring(data, F.lit(1), keep).cast("string")
-    return F.when(F.octet_length(text) <= limit, text).otherwise(cut)
 
 
-def is_truncated(c, limit: int) -> Column:
-    return F.coalesce(F.octet_length(col(c)) > limit, F.lit(False))
+def truncate_utf8(name: str, limit: int) -> Column:
+    return F.expr(sql_truncate(name, limit))
+
+
+def is_truncated(name: str, limit: int) -> Column:
+    return F.expr(f"coalesce(octet_length({name}) > {limit}, false)")
 
 
-def is_base64_payload(c) -> Column:
-    text = col(c)
-    size = F.octet_length(text)
-    data_uri = (
-        (size >= DATA_URI_MIN_BYTES) & text.startswith("data:") & text.contains(";base64,")
+def _base64_payload(name: str) -> str:
+    return (
+        f"((octet_length({name}) >= {DATA_URI_MIN_BYTES} AND startswith({name}, 'data:')"
+        f" AND contains({name}, ';base64,')) OR (octet_length({name}) >= {BASE64_MIN_BYTES}"
+        f" AND {name} RLIKE {sql_text(BASE64_WHOLE)}))"
     )
-    return data_uri | ((size >= BASE64_MIN_BYTES) & text.rlike(BASE64_WHOLE))
 
 
-def strip_base64(c) -> Column:
+def is_base64_payload(name: str) -> Column:
+    return F.expr(_base64_payload(name))
+
+
+def _sql_strip_base64(name: str) -> str:
     """Replace a text that is one encoded binary, else every long run inside it."""
-    text = col(c)
+    gone = sql_text(S.BASE64_REMOVED)
     return (
-        F.when(is_base64_payload(text), F.lit(S.BASE64_REMOVED))
-        .when(
-            F.octet_length(text) >= BASE64_MIN_BYTES,
-            F.regexp_replace(text, BASE64_RUN, S.BASE64_REMOVED),
-        )
-        .otherwise(text)
+        f"CASE WHEN {_base64_payload(name)} THEN {gone}"
+        f" WHEN octet_length({name}) >= {BASE64_MIN_BYTES}"
+        f" THEN regexp_replace({name}, {sql_text(BASE64_RUN)}, {gone}) ELSE {name} END"
     )
 
 
-def may_hold_secret(c) -> Column:
+def strip_base64(name: str) -> Column:
+    return F.expr(_sql_strip_base64(name))
+
+
+def sql_may_hold_secret(name: str) -> str:
     """Cheap literal test; false means that no secret rule can match."""
-    text = col(c)
-    folded = F.lower(text)
-    url_password = text.contains("://") & text.contains("@")
-    exact = [text.contains(x) for x in _LITERALS]
-    loose = [folded.contains(x) for x in _FOLDED_LITERALS]
-    return reduce(lambda a, b: a | b, exact + [url_password] + loose)
+    tests = [f"contains({name}, {sql_text(x)})" for x in _LITERALS]
+    tests += [f"(contains({name}, '://') AND contains({name}, '@'))"]
+    tests += [f"contains(lower({name}), {sql_text(x)})" for x in _FOLDED_LITERALS]
+    return sql_when_any(tests)
+
+
+def _sql_redacted(name: str, rules) -> str:
+    for rule, pattern, before, after in rules:
+        label = sql_text(before + _label(rule) + after)
+        name = f"regexp_replace({name}, {sql_text(pattern)}, {label})"
+    return name
+
+
+def _sql_redact(name: str) -> str:
+    return (
+        f"CASE WHEN {sql_may_hold_secret(name)} THEN {_sql_redacted(name, SECRET_RULES)}"
+        f" ELSE {name} END"
+    )
 
 
-def redact_secrets(c) -> Column:
+def redact_secrets(name: str) -> Column:
     """Apply all secret rules in order; texts without any trigger pass untouched."""
-    text = col(c)
-    out = text
-    for name, pattern, before, after in SECRET_RULES:
-        out = F.regexp_replace(out, pattern, before + _label(name) + after)
-    return F.when(may_hold_secret(text), out).otherwise(text)
+    return F.expr(_sql_redact(name))
 
 
-def secret_hits(c) -> Column:
-    """Map of rule name to the number of matches in the whole text.
+def secret_hits(name: str) -> Column:
+    """Map of rule name to the number of matches in the whole text; NULL without triggers.
 
     Each rule counts on the text as the earlier rules left it, the way redaction
     sees it, so a token never counts under two names.
     """
-    text = col(c)
     counts = []
-    current = text
-    for name, pattern, before, after in SECRET_RULES:
-        counts += [F.lit(name), F.regexp_count(current, F.lit(pattern))]
-        current = F.regexp_replace(current, pattern, before + _label(name) + after)
-    return F.when(may_hold_secret(text), F.create_map(*counts))
+    for i, (rule, pattern, _, _) in enumerate(SECRET_RULES):
+        seen = _sql_redacted(name, SECRET_RULES[:i])
+        counts.append(f"{sql_text(rule)}, regexp_count({seen}, {sql_text(pattern)})")
+    return F.expr(f"CASE WHEN {sql_may_hold_secret(name)} THEN map({', '.join(counts)}) END")
 
 
-def with_clean_text(df: DataFrame, columns: list[str], secrets: bool = True) -> DataFrame:
-    """Replace text columns by their sanitized, redacted form, as for telemetry text.
+def sql_let(value: str, name: str, body: str) -> str:
+    """SQL of `body` with `name` bound to `value`.
 
-    Each step is a projection of its own: one expression for all of them would
-    repeat the earlier steps wherever a later one looks at its input.
+    An expression that looks at its input many times grows with every step that is
+    stacked on it, also when the optimizer moves a filter below a projection. A
+    one-element transform names the input once.
     """
-    df = df.withColumns({c: truncate_utf8(c, S.SANITIZE_BUDGET) for c in columns})
-    df = df.withColumns({c: strip_base64(c) for c in columns})
-    return df.withColumns({c: redact_secrets(c) for c in columns}) if secrets else df
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def sql_clean_text(value: str, secrets: bool = True) -> str:
+    """SQL that sanitizes, then redacts one string: the treatment of telemetry text."""
+    clean = sql_let(sql_truncate(value, S.SANITIZE_BUDGET), "cut", _sql_strip_base64("cut"))
+    return sql_let(clean, "bare", _sql_redact("bare")) if secrets else clean
+
+
+def clean_text(name: str, secrets: bool = True) -> Column:
+    return F.expr(sql_clean_text(name, secrets))
 
 
 def script_source(tool_name, input_json) -> Column:

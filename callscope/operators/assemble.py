@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from callscope import schemas as S
 from callscope.functions import clients, ids, payload, telemetry
 from callscope.functions.text import (
-    blank_to_null,
     is_truncated,
     redact_secrets,
     script_source,
@@ -19,37 +18,41 @@ from callscope.options import HOOKS, BuildOptions
 
 
 
-def _metadata(**known: Column) -> Column:
-    values = []
-    for field in S.METADATA_SCHEMA:
-        value = known.get(field.name, F.lit(None))
-        values.append(value.cast(field.dataType).alias(field.name))
-    return F.struct(*values)
+def _null(kind) -> str:
+    return f"CAST(NULL AS {kind.simpleString()})"
 
 
-def _client_keys(client: Column) -> dict[str, Column]:
-    return {
-        "client_name": blank_to_null(client["name"]),
-        "client_version": blank_to_null(client["version"]),
-        "protocol_version": blank_to_null(client["protocol_version"]),
-        "capabilities": clients.capabilities(client["capabilities"]),
-    }
+def _metadata(**known: str) -> str:
+    """SQL of the metadata struct; keys that are not given are NULL."""
+    fields = [f"{known.get(f.name, _null(f.dataType))} AS {f.name}" for f in S.METADATA_SCHEMA]
+    return f"struct({', '.join(fields)})"
 
 
-def _event(df: DataFrame, emit_pos: int, **values: Column) -> DataFrame:
+_CLIENT_KEYS = {
+    "client_name": "nullif(client.name, '')",
+    "client_version": "nullif(client.version, '')",
+    "protocol_version": "nullif(client.protocol_version, '')",
+    "capabilities": clients.sql_capabilities("client.capabilities"),
+}
+
+_EMPTY = {
+    "duration_ms": "0L", "ok": "true", "script_source_truncated": "false",
+    "result_truncated": "false", "is_workflow": "false",
+    "calls": "array()", "logs": "array()", "search_calls": "array()",
+}
+
+
+def _event(df: DataFrame, emit_pos: int, metadata: str, **values: str | Column) -> DataFrame:
     """Select the wire fields in order; anything not given has its empty value."""
-    empty = F.array().cast("array<string>")
-    defaults = {
-        "duration_ms": F.lit(0), "ok": F.lit(True),
-        "script_source_truncated": F.lit(False), "result_truncated": F.lit(False),
-        "calls": empty, "logs": empty, "search_calls": empty, "is_workflow": F.lit(False),
-    }
-    fields = [
-        values.get(f.name, defaults.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
-        for f in S.EVENT_SCHEMA
-    ]
-    keys = [F.col("server_id"), F.col("recorded_at"), F.col("source_seq")]
-    return df.select(*fields, *keys, F.lit(emit_pos).alias("emit_pos"))
+    values = {"metadata": metadata, **values}
+    fields = []
+    for field in S.EVENT_SCHEMA:
+        value = values.get(field.name, _EMPTY.get(field.name, _null(field.dataType)))
+        if isinstance(value, str):
+            kind = field.dataType.simpleString()
+            value = F.expr(f"CAST({value} AS {kind})" if "array" in kind else value)
+        fields.append(value.alias(field.name))
+    return df.select(*fields, "server_id", "recorded_at", "source_seq", F.lit(emit_pos).alias("emit_pos"))
 
 
 def join_ownership(calls: DataFrame, owned: DataFrame | None) -> DataFrame:
@@ -70,11 +73,12 @@ def with_candidate(calls: DataFrame, options: BuildOptions) -> DataFrame:
     Input and output are JSON texts, not yet cut to preview size.
     """
     secrets, redactor = options.redact_secrets, options.redactor
-    df = telemetry.with_capture(
-        calls, "__telemetry", "params", owned="owned", context="telemetry", pick="arguments",
+    block = telemetry.capture(
+        "params", owned="owned", context="telemetry", pick="arguments",
         enabled=options.capture_telemetry, fields=options.telemetry_fields,
     )
-    df = telemetry.with_clean(df, "__block", "__telemetry", secrets)
+    df = calls.withColumn("__block", block)
+    df = df.withColumn("__block", telemetry.clean("__block", secrets))
     df = payload.with_preview(
         df, "__input", "params", pick="arguments", strip=~F.col("owned"),
         secrets=secrets, redactor=redactor, objects_only=options.adapter == HOOKS,
@@ -102,10 +106,10 @@ def with_candidate(calls: DataFrame, options: BuildOptions) -> DataFrame:
         F.col("__input").alias("input"),
         F.when(has_output, F.col("__output")).alias("output"),
         F.col("__error").alias("error_message"),
-        F.when(~telemetry.is_empty("__block"), F.col("__block")).alias("telemetry"),
+        F.expr(f"CASE WHEN NOT {telemetry.sql_is_empty('__block')} THEN __block END").alias("telemetry"),
     )
     df = df.withColumn("candidate", candidate)
-    return df.drop("__telemetry", "__input", "__output", "__error", "__block")
+    return df.drop("__input", "__output", "__error", "__block")
 
 
 def build_tool_calls(
@@ -115,39 +119,41 @@ def build_tool_calls(
     df = with_candidate(join_ownership(calls, owned), options)
     if options.event_hook is not None:
         df = hooks.with_event_hook(df, options.event_hook)
-    c = F.col("candidate")
     actor = ids.actor_id("actor_seed")
     minted = ids.mint_uuid("server_id", "recorded_at", "source_seq", random=options.random_ids)
-    request = ids.scoped_request_id("session_id", "request_id", minted)
-    df = df.withColumn("__source", script_source(c["tool_name"], c["input"]))
-    block = c["telemetry"]
-    values = {name: blank_to_null(block[name]) for name in telemetry.FIELDS}
-    meta = _metadata(
-        tool_name=c["tool_name"],
-        **values,
-        **{telemetry.LEGACY[name]: value for name, value in values.items()},
-        input_preview=truncate_utf8(c["input"], S.MAX_PREVIEW_BYTES),
-        capability_request=F.when(F.col("capability_request"), F.lit(True)),
-        **_client_keys(F.col("client")),
-    )
+    df = df.withColumns({
+        "actor_id": actor,
+        "minted": minted,
+        "source": script_source("candidate.tool_name", "candidate.input"),
+    })
+    request = ids.scoped_request_id("session_id", "request_id", "minted")
+    values = {name: f"nullif(candidate.telemetry.{name}, '')" for name in telemetry.FIELDS}
+    df = df.withColumn("preview", truncate_utf8("candidate.input", S.MAX_PREVIEW_BYTES))
     return _event(
         df, 2,
-        event_id=ids.event_id(actor, S.TOOL_CALL, request),
-        kind=F.lit(S.TOOL_CALL),
-        actor_id=actor,
-        session_id_hint=blank_to_null(c["session_id"]),
+        _metadata(
+            tool_name="candidate.tool_name",
+            **values,
+            **{telemetry.LEGACY[name]: value for name, value in values.items()},
+            input_preview="preview",
+            capability_request="CASE WHEN capability_request THEN true END",
+            **_CLIENT_KEYS,
+        ),
+        event_id=ids.event_id("actor_id", S.TOOL_CALL, request),
+        kind=f"'{S.TOOL_CALL}'",
+        actor_id="actor_id",
+        session_id_hint="nullif(candidate.session_id, '')",
         started_at=ids.rfc3339("started_at"),
         finished_at=ids.rfc3339("finished_at"),
-        duration_ms=c["duration_ms"],
-        ok=c["status"] == "ok",
-        error=c["error_message"],
-        metadata=meta,
-        script_source=truncate_utf8("__source", S.MAX_SOURCE_BYTES),
-        script_source_truncated=is_truncated("__source", S.MAX_SOURCE_BYTES),
-        result_preview=truncate_utf8(c["output"], S.MAX_PREVIEW_BYTES),
-        result_truncated=is_truncated(c["output"], S.MAX_PREVIEW_BYTES),
-        is_workflow=F.col("workflow_run_id").isNotNull(),
-        workflow_run_id=F.col("workflow_run_id"),
+        duration_ms="candidate.duration_ms",
+        ok="candidate.status = 'ok'",
+        error="candidate.error_message",
+        script_source=truncate_utf8("source", S.MAX_SOURCE_BYTES),
+        script_source_truncated=is_truncated("source", S.MAX_SOURCE_BYTES),
+        result_preview=truncate_utf8("candidate.output", S.MAX_PREVIEW_BYTES),
+        result_truncated=is_truncated("candidate.output", S.MAX_PREVIEW_BYTES),
+        is_workflow="workflow_run_id IS NOT NULL",
+        workflow_run_id="workflow_run_id",
     )
 
 
@@ -177,19 +183,20 @@ def synthesize_inits(sightings: DataFrame) -> DataFrame:
 
 def build_session_inits(inits: DataFrame) -> DataFrame:
     """`session_init` events; their id depends on actor and session alone."""
-    actor = ids.actor_id("actor_seed")
-    stamp = ids.rfc3339("started_at")
+    df = inits.withColumns({
+        "actor_id": ids.actor_id("actor_seed"), "stamp": ids.rfc3339("started_at"),
+    })
     return _event(
-        inits, 1,
-        event_id=ids.event_id(actor, S.SESSION_INIT, ids.init_request_id(actor, "session_id")),
-        kind=F.lit(S.SESSION_INIT),
-        actor_id=actor,
-        session_id_hint=blank_to_null("session_id"),
-        started_at=stamp,
-        finished_at=stamp,
-        metadata=_metadata(**_client_keys(F.col("client"))),
-        is_workflow=F.col("workflow_run_id").isNotNull(),
-        workflow_run_id=F.col("workflow_run_id"),
+        df, 1,
+        _metadata(**_CLIENT_KEYS),
+        event_id=ids.event_id("actor_id", S.SESSION_INIT, ids.init_request_id("actor_id", "session_id")),
+        kind=f"'{S.SESSION_INIT}'",
+        actor_id="actor_id",
+        session_id_hint="nullif(session_id, '')",
+        started_at="stamp",
+        finished_at="stamp",
+        is_workflow="workflow_run_id IS NOT NULL",
+        workflow_run_id="workflow_run_id",
     )
 
 
@@ -203,14 +210,15 @@ def first_identities(sightings: DataFrame) -> DataFrame:
 
 def build_identities(identities: DataFrame) -> DataFrame:
     """`actor_identity` events, addressed by the identifier they carry."""
-    actor = ids.actor_id("identifier")
-    stamp = ids.rfc3339("started_at")
+    df = identities.withColumns({
+        "actor_id": ids.actor_id("identifier"), "stamp": ids.rfc3339("started_at"),
+    })
     return _event(
-        identities, 0,
-        event_id=ids.event_id(actor, S.ACTOR_IDENTITY, "identifier"),
-        kind=F.lit(S.ACTOR_IDENTITY),
-        actor_id=actor,
-        started_at=stamp,
-        finished_at=stamp,
-        metadata=_metadata(identifier=F.col("identifier")),
+        df, 0,
+        _metadata(identifier="identifier"),
+        event_id=ids.event_id("actor_id", S.ACTOR_IDENTITY, F.col("identifier")),
+        kind=f"'{S.ACTOR_IDENTITY}'",
+        actor_id="actor_id",
+        started_at="stamp",
+        finished_at="stamp",
     )

@@ -117,4 +117,6 @@ def with_event_hook(df: DataFrame, hook: Callable, candidate: str = "candidate")
         done = [_run_hook(hook, row) for row in rows.to_dict("records")]
         return pd.DataFrame(done, columns=FINALIZED_SCHEMA.fieldNames())
 
-    return df.withColumn(candidate, udf(F.col(candidate))).filter(F.col(f"{candidate}.keep"))
+    # Nondeterministic keeps the filter from being moved below the hook.
+    seen = udf.asNondeterministic()(F.col(candidate))
+    return df.withColumn(candidate, seen).filter(F.col(f"{candidate}.keep"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callscope import schemas as S
-from callscope.functions import clients, ids
+from callscope.functions import ids
 from callscope.functions.text import blank_to_null, trim_space
 from callscope.operators.ordered import (
     Sliced,
@@ -67,7 +67,7 @@ def client_info(params: Column, adapter: str) -> Column:
     )
     caps = F.lit(None).cast("string")
     if adapter == MIDDLEWARE:
-        caps = clients.capabilities(F.get_json_object(params, "$.capabilities"))
+        caps = F.get_json_object(params, "$.capabilities")
     return F.struct(
         blank_to_null(parsed["clientInfo"]["name"]).alias("name"),
         blank_to_null(parsed["clientInfo"]["version"]).alias("version"),

@@ -20,6 +20,8 @@ def build_session(app: str = "callscope", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call site capture costs several round trips to the JVM per column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)

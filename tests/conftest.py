@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from callscope.session import build_session  # noqa: E402
+from callscope.session import build_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
         },
     )
+    ship_package(session)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

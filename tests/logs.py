@@ -11,14 +11,15 @@ START = datetime(2024, 5, 1, 10, 0, 0, tzinfo=timezone.utc)
 class Log:
     """Collects messages one second apart, in order, and makes a DataFrame of them."""
 
-    def __init__(self):
+    def __init__(self, server="srv"):
+        self.server = server
         self.rows = []
 
     def add(self, phase, method="tools/call", **values):
         seq = len(self.rows)
         row = dict.fromkeys(MESSAGE_SCHEMA.fieldNames())
         row |= {
-            "seq": seq, "ts": START + timedelta(seconds=seq), "server_id": "srv",
+            "seq": seq, "ts": START + timedelta(seconds=seq), "server_id": self.server,
             "connection_id": "c1", "transport_session_id": "s1", "process_id": "proc",
             "request_id": "1", "phase": phase, "method": method, "headers": {},
         }
@@ -26,7 +27,8 @@ class Log:
             if name == "after_ms":
                 row["ts"] = self.rows[-1]["ts"] + timedelta(milliseconds=value)
             else:
-                row[name] = json.dumps(value) if name in ("params", "result") and not isinstance(value, str) and value is not None else value
+                encode = name in ("params", "result") and isinstance(value, dict)
+                row[name] = json.dumps(value) if encode else value
         self.rows.append(row)
         return self
 
@@ -48,5 +50,10 @@ class Log:
         return self.end(result, **values)
 
     def frame(self, spark):
-        names = MESSAGE_SCHEMA.fieldNames()
-        return spark.createDataFrame([tuple(r[n] for n in names) for r in self.rows], MESSAGE_SCHEMA)
+        return frame_of(spark, [self])
+
+
+def frame_of(spark, logs):
+    names = MESSAGE_SCHEMA.fieldNames()
+    rows = [tuple(r[n] for n in names) for log in logs for r in log.rows]
+    return spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(2)
