@@ -78,9 +78,8 @@ def mint_uuid(*source, random: bool = False) -> Column:
     if random:
         return F.uuid()
     digest = F.sha2(F.concat_ws("\u0001", *[col(c).cast("string") for c in source]), 256)
-    variant = F.element_at(
-        F.array(*[F.lit(x) for x in "89ab"]),
-        (F.pmod(F.xxhash64(digest), F.lit(4)) + 1).cast("int"),
+    variant = F.translate(
+        F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab"
     )
     return F.concat(
         F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-4"),

@@ -102,7 +102,7 @@ def sql_field_map(telemetry: str, payload: str, fields: dict[str, str], pick: st
     if not wanted:
         return telemetry
     members = ", ".join(f"`{key}`: variant" for key in sorted(set(wanted.values())))
-    schema = members if pick is None else f"{pick} struct<{members}>"
+    schema = f"struct<{members}>" if pick is None else f"{pick} struct<{members}>"
     args = f"from_json({payload}, {sql_text(schema)})" + ("" if pick is None else f".{pick}")
     values = {}
     for name in FIELDS:

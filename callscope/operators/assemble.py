@@ -120,7 +120,8 @@ def build_tool_calls(
     if options.event_hook is not None:
         df = hooks.with_event_hook(df, options.event_hook)
     actor = ids.actor_id("actor_seed")
-    minted = ids.mint_uuid("server_id", "recorded_at", "source_seq", random=options.random_ids)
+    moment = F.unix_micros("recorded_at")
+    minted = ids.mint_uuid("server_id", moment, "source_seq", random=options.random_ids)
     df = df.withColumns({
         "actor_id": actor,
         "minted": minted,
