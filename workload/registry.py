@@ -296,7 +296,7 @@ def clean_json(spark, sf):
   p AS (SELECT *, {Q.cut('clean', 8192)} AS html8 FROM r)
 SELECT page_id, html8 AS html, strlen(clean) > 8192 AS html_truncated FROM p""")
 def clean_pages(spark, sf):
-    pages = V.table(spark, sf, "pages")
+    pages = V.spread(V.table(spark, sf, "pages"))
     return clean_payloads(pages, text=["html"]).select("page_id", "html", "html_truncated")
 
 
@@ -554,13 +554,13 @@ def catalog_coverage(spark, sf):
     return catalog.catalog_coverage(V.catalog(spark, sf))
 
 
-@register("catalog_difference", """WITH served AS (SELECT DISTINCT 'srv-' || (p_partkey % 3) AS server_id, p_name AS tool_name FROM part WHERE p_size > 10),
-  wanted AS (SELECT DISTINCT 'srv-' || (p_partkey % 3) AS server_id, p_name AS tool_name FROM part WHERE p_retailprice < 1000)
+@register("catalog_difference", """WITH served AS (SELECT DISTINCT 'srv-' || (p_partkey % 3) AS server_id, p_name || p_size || p_brand AS tool_name FROM part WHERE p_size > 10),
+  wanted AS (SELECT DISTINCT 'srv-' || (p_partkey % 3) AS server_id, p_name || p_size || p_brand AS tool_name FROM part WHERE p_retailprice < 1000)
 SELECT *, 'missing' AS difference FROM (SELECT * FROM wanted EXCEPT SELECT * FROM served)
 UNION ALL SELECT *, 'unexpected' FROM (SELECT * FROM served EXCEPT SELECT * FROM wanted)""")
 def catalog_difference(spark, sf):
     part = V.table(spark, sf, "part").selectExpr(
-        "concat('srv-', p_partkey % 3) AS server_id", "p_name AS tool_name", "p_size", "p_retailprice"
+        "concat('srv-', p_partkey % 3) AS server_id", "concat(p_name, p_size, p_brand) AS tool_name", "p_size", "p_retailprice"
     )
     return catalog.catalog_diff(part.filter("p_size > 10"), part.filter("p_retailprice < 1000"))
 
