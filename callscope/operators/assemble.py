@@ -42,7 +42,7 @@ _EMPTY = {
 }
 
 
-def _event(df: DataFrame, emit_pos: int, metadata: str, **values: str | Column) -> DataFrame:
+def _event(df: DataFrame, emit_pos: int | str, metadata: str, **values: str | Column) -> DataFrame:
     """Select the wire fields in order; anything not given has its empty value."""
     values = {"metadata": metadata, **values}
     fields = []
@@ -52,7 +52,7 @@ def _event(df: DataFrame, emit_pos: int, metadata: str, **values: str | Column)
             kind = field.dataType.simpleString()
             value = F.expr(f"CAST({value} AS {kind})" if "array" in kind else value)
         fields.append(value.alias(field.name))
-    return df.select(*fields, "server_id", "recorded_at", "source_seq", F.lit(emit_pos).alias("emit_pos"))
+    return df.select(*fields, "server_id", "recorded_at", "source_seq", F.expr(str(emit_pos)).alias("emit_pos"))
 
 
 def join_ownership(calls: DataFrame, owned: DataFrame | None) -> DataFrame:
@@ -223,3 +223,48 @@ def build_identities(identities: DataFrame) -> DataFrame:
         started_at="stamp",
         finished_at="stamp",
     )
+
+
+def first_of_each(sightings: DataFrame) -> DataFrame:
+    """The sightings that become events, with their `role`: `init` or `identity`.
+
+    Each sighting stands for its session and, if identified, for its actor; the first
+    one of each is kept in a single shuffle. Blank sessions start only explicitly, and
+    then every time.
+    """
+    roles = F.expr(
+        """filter(array(
+          CASE WHEN session_id != '' THEN named_struct('role', 'init', 'about', session_id)
+               WHEN explicit THEN named_struct('role', 'init', 'about', concat('#', source_seq)) END,
+          CASE WHEN identifier IS NOT NULL THEN named_struct('role', 'identity', 'about', '') END
+        ), r -> r IS NOT NULL)"""
+    )
+    each = sightings.withColumn("actor_id", ids.actor_id("actor_seed")).select(
+        "*", F.explode(roles).alias("__role")
+    ).select("*", "__role.role", "__role.about").drop("__role")
+    return keep_first(each, ["server_id", "actor_id", "role", "about"], RECORD_ORDER)
+
+
+def build_session_events(firsts: DataFrame) -> DataFrame:
+    """`session_init` and `actor_identity` events of `first_of_each`."""
+    df = firsts.withColumns({
+        "kind": F.expr(f"CASE role WHEN 'init' THEN '{S.SESSION_INIT}' ELSE '{S.ACTOR_IDENTITY}' END"),
+        "stamp": ids.rfc3339("started_at"),
+        "request": F.when(
+            F.col("role") == "init", ids.init_request_id("actor_id", "session_id")
+        ).otherwise(F.col("identifier")),
+        "workflow_run_id": F.expr("CASE WHEN role = 'init' THEN workflow_run_id END"),
+        "client": F.expr("CASE WHEN role = 'init' THEN client END"),
+    })
+    return _event(
+        df, "CASE role WHEN 'init' THEN 1 ELSE 0 END",
+        _metadata(identifier="CASE WHEN role = 'identity' THEN identifier END", **_CLIENT_KEYS),
+        event_id=ids.event_id("actor_id", F.col("kind"), "request"),
+        kind="kind",
+        actor_id="actor_id",
+        session_id_hint="CASE WHEN role = 'init' THEN nullif(session_id, '') END",
+        started_at="stamp",
+        finished_at="stamp",
+        is_workflow="workflow_run_id IS NOT NULL",
+        workflow_run_id="workflow_run_id",
+    )

@@ -124,16 +124,28 @@ def with_client(sliced: Sliced, options: BuildOptions) -> Sliced:
 
 @dataclass
 class Observed:
-    """Finished calls (`CALL_SCHEMA`) and session starts of a message log."""
+    """Finished calls (`CALL_SCHEMA`) and session starts of a message log.
+
+    `sightings` holds the key columns of both, from one pass over the log.
+    """
 
     calls: DataFrame
     starts: DataFrame
+    sightings: DataFrame | None = None
 
 
 def actor_seed(headers: str = "headers") -> Column:
     return F.coalesce(blank_to_null("actor_seed"), ids.header(headers, "Authorization"))
 
 
+def call_actor_seed() -> Column:
+    return F.coalesce(
+        F.col("prev_identifier"),
+        blank_to_null("prev_actor_seed"),
+        ids.header("prev_headers", "Authorization"),
+    )
+
+
 def prepare_messages(messages: DataFrame, options: BuildOptions) -> DataFrame:
     """Recorded messages with their connection key, given seed and identifier."""
     seed = F.col("actor_seed")
@@ -161,11 +173,6 @@ def finish_call(pairs: DataFrame, options: BuildOptions) -> DataFrame:
     flag = F.from_json(F.when(result.contains("isError"), result), "isError boolean")["isError"]
     marked = F.get_json_object(result, f"$._meta['{options.capability_marker}']").isNotNull()
     marked = F.when(result.contains(options.capability_marker), marked)
-    seed = F.coalesce(
-        F.col("prev_identifier"),
-        blank_to_null("prev_actor_seed"),
-        ids.header("prev_headers", "Authorization"),
-    )
     session = F.col("prev_session_id")
     return pairs.select(
         "server_id",
@@ -179,7 +186,7 @@ def finish_call(pairs: DataFrame, options: BuildOptions) -> DataFrame:
         F.col("error_type"),
         F.coalesce(flag, F.lit(False)).alias("is_tool_error"),
         session.alias("session_id"),
-        seed.alias("actor_seed"),
+        call_actor_seed().alias("actor_seed"),
         F.col("prev_identifier").alias("identifier"),
         F.col("prev_ts").alias("started_at"),
         F.col("ts").alias("finished_at"),
@@ -219,26 +226,53 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     sliced = slice_hot(prepared, CONNECTION, "ts", options.hot_rows)
     seen = with_client(sliced, options)
 
-    starts = seen.df.filter("opens_session").select(
+    # Starts ride along the pairing window under keys of their own, so that one pass
+    # yields everything that may open a session.
+    is_call = F.col("method").eqNullSafe(TOOLS_CALL)
+    own_key = F.concat(F.lit("start "), F.col("seq").cast("string"))
+    rows = seen.df.filter(is_call | F.col("opens_session")).withColumn(
+        "exchange", F.when(is_call, F.concat(F.lit("call "), F.col("request_id"))).otherwise(own_key)
+    )
+    keys = [*CONNECTION, "exchange"]
+    paired = with_previous(seen.replace(rows), keys, ORDER, ["phase", *REQUEST_COLUMNS]).df
+    paired = paired.drop("prev_row")
+    is_pair = is_call & F.col("phase").isin("end", "cancel") & (F.col("prev_phase") == "begin")
+    pairs = paired.filter(is_pair)
+    sightings = sighting_rows(paired.filter(F.col("opens_session") | is_pair), options)
+    if options.abandon_after is not None:
+        lost = abandoned(seen.replace(seen.df.filter(is_call)), options)
+        lost = lost.withColumns({"exchange": F.lit(None).cast("string"), "prev_phase": F.lit("begin")})
+        pairs = pairs.unionByName(lost.select(pairs.columns))
+        sightings = sightings.unionByName(sighting_rows(lost, options))
+    starts = sighting_rows(seen.df.filter("opens_session"), options, only_starts=True)
+    return Observed(finish_call(pairs, options), starts, sightings)
+
+
+def sighting_rows(rows: DataFrame, options: BuildOptions, only_starts: bool = False) -> DataFrame:
+    """Who was seen in which session: `START_COLUMNS` of starts and of paired calls."""
+    opens = F.col("opens_session")
+    own = {
+        "session_id": F.col("session_id"),
+        "actor_seed": F.coalesce("identifier", actor_seed()),
+        "identifier": F.col("identifier"),
+        "started_at": F.col("ts"),
+        "client": client_info(F.col("params"), options.adapter),
+        "workflow_run_id": ids.workflow_run_id("headers", options.workflow_header),
+    }
+    of_call = {} if only_starts else {
+        "session_id": F.col("prev_session_id"),
+        "actor_seed": call_actor_seed(),
+        "identifier": F.col("prev_identifier"),
+        "started_at": F.col("prev_ts"),
+        "client": F.col("prev_client"),
+        "workflow_run_id": ids.workflow_run_id("prev_headers", options.workflow_header),
+    }
+    values = {n: F.when(opens, v).otherwise(of_call[n]) if of_call else v for n, v in own.items()}
+    values["client"] = F.coalesce(values["client"], ids.client_from_session_id(values["session_id"]))
+    return rows.select(
         "server_id",
         F.col("seq").alias("source_seq"),
         F.col("ts").alias("recorded_at"),
-        "session_id",
-        F.coalesce("identifier", actor_seed()).alias("actor_seed"),
-        "identifier",
-        F.col("ts").alias("started_at"),
-        F.coalesce(
-            client_info(F.col("params"), options.adapter),
-            ids.client_from_session_id("session_id"),
-        ).alias("client"),
-        ids.workflow_run_id("headers", options.workflow_header).alias("workflow_run_id"),
+        *[value.alias(name) for name, value in values.items()],
+        opens.alias("explicit"),
     )
-
-    calls = seen.replace(seen.df.filter(F.col("method") == TOOLS_CALL))
-    keys = [*CONNECTION, "request_id"]
-    paired = with_previous(calls, keys, ORDER, ["phase", *REQUEST_COLUMNS]).df
-    pairs = paired.filter(F.col("phase").isin("end", "cancel") & (F.col("prev_phase") == "begin"))
-    if options.abandon_after is not None:
-        lost = abandoned(calls, options).select(*[c for c in pairs.columns if c not in ("prev_row", "prev_phase")])
-        pairs = pairs.drop("prev_row", "prev_phase").unionByName(lost)
-    return Observed(finish_call(pairs, options), starts)

@@ -3,12 +3,10 @@
 from pyspark.sql import DataFrame
 
 from callscope.operators.assemble import (
-    build_identities,
-    build_session_inits,
+    build_session_events,
     build_tool_calls,
-    first_identities,
+    first_of_each,
     first_sightings,
-    synthesize_inits,
 )
 from callscope.operators.pairing import Observed, pair_calls
 from callscope.options import BuildOptions
@@ -31,13 +29,13 @@ def events_of(
 ) -> DataFrame:
     """Events of finished calls and session starts.
 
-    The payload columns run through the calls branch only; the two other branches
-    read a handful of key columns and keep one row per session or actor before they
-    shuffle.
+    The payload columns run through the calls branch only; the other branch reads a
+    handful of key columns and keeps one row per session and actor in each task before
+    it shuffles.
     """
     calls = build_tool_calls(observed.calls, options, owned)
-    sightings = first_sightings(observed.calls, observed.starts)
-    inits = build_session_inits(synthesize_inits(sightings))
-    identities = build_identities(first_identities(sightings))
-    events = identities.unionByName(inits).unionByName(calls)
+    sightings = observed.sightings
+    if sightings is None:
+        sightings = first_sightings(observed.calls, observed.starts)
+    events = build_session_events(first_of_each(sightings)).unionByName(calls)
     return events.filter("false") if options.disabled else events
