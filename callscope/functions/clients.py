@@ -57,10 +57,23 @@ def valid_capability(value) -> Column:
 def response_code(body, status) -> Column:
     """Diagnostic code of a failed delivery, from its body if that holds a valid one."""
     text = truncate_utf8(body, S.MAX_RESPONSE_DETAIL_BYTES)
-    parsed = F.from_json(
-        text, "error struct<code: string>, errorCode string, _corrupt_record string"
+    parsed = F.from_json(text, "error variant, errorCode variant, _corrupt_record string")
+
+    def string_in(value: Column, path: str) -> Column:
+        return F.try_variant_get(value, path, "string")
+
+    def is_type(value: Column, *kinds: str) -> Column:
+        found = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        return F.regexp(found, F.lit("^(" + "|".join(kinds) + ")"))
+
+    inner = F.try_variant_get(parsed["error"], "$.code", "variant")
+    well_formed = (
+        parsed["_corrupt_record"].isNull()
+        & is_type(parsed["error"], "OBJECT", "VOID")
+        & is_type(inner, "STRING", "VOID")
+        & is_type(parsed["errorCode"], "STRING", "VOID")
     )
-    code = F.coalesce(blank_to_null(parsed["error"]["code"]), parsed["errorCode"])
-    usable = parsed["_corrupt_record"].isNull() & code.rlike(DIAGNOSTIC_CODE)
+    code = F.coalesce(blank_to_null(string_in(inner, "$")), string_in(parsed["errorCode"], "$"))
+    usable = well_formed & code.rlike(DIAGNOSTIC_CODE)
     fallback = F.concat(F.lit("ingest_http_"), col(status).cast("string"))
     return F.when(usable, code).otherwise(fallback)

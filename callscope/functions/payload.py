@@ -179,7 +179,7 @@ class _Allowance:
         return enough
 
     def text(self, value: str) -> str:
-        value = _cut(value, self.left)
+        value = _cut(_SURROGATE.sub("\ufffd", value), self.left)
         size = len(value.encode("utf-8", "replace"))
         data_uri = size >= 64 and value.startswith("data:") and ";base64," in value
         if data_uri or (size >= tx.BASE64_MIN_BYTES and _WHOLE_BASE64.match(value)):
