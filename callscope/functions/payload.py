@@ -191,13 +191,13 @@ class _Allowance:
         return value
 
     def clean(self, value):
-        if isinstance(value, Number) or value is None or isinstance(value, bool):
+        if isinstance(value, Number):
             return value
         if isinstance(value, str):
             return self.text(value)
         if isinstance(value, dict):
             return dict(self._members(value))
-        return list(self._items(value))
+        return list(self._items(value)) if isinstance(value, list) else value
 
     def _members(self, value: dict) -> Iterator:
         media = value.get("type") in ("image", "audio")

@@ -7,7 +7,6 @@ from callscope.functions.clients import client_family
 from callscope.operators.ordered import keep_first
 
 SESSION = ["server_id", "session_key"]
-GRAM = 8
 
 
 def label_runs(runs: DataFrame, families: tuple[str, ...] = ("claude_code", "codex")) -> DataFrame:
@@ -33,24 +32,21 @@ def label_runs(runs: DataFrame, families: tuple[str, ...] = ("claude_code", "cod
 def runs_in_keys(sessions: DataFrame, runs: DataFrame) -> DataFrame:
     """Pairs of sessions and runs whose id is contained in the session key.
 
-    Instead of testing every pair, all grams of a key meet the first gram of each run
-    id in an equi join, and only those few pairs are tested in full. The gram is as
-    long as the shortest run id allows.
+    Every part of a key that is as long as some run id meets the run ids in an equi
+    join, so only true pairs come out and no pair is ever tested. Run ids have very few
+    lengths, most often one.
     """
     ids = runs.select("run_id").filter(F.length("run_id") > 0).distinct()
-    size = ids.agg(F.least(F.lit(GRAM), F.min(F.length("run_id")))).scalar()
-    keys = sessions.select(*SESSION).distinct().withColumn("__size", size)
+    lengths = ids.agg(F.array_sort(F.collect_set(F.length("run_id")))).scalar()
+    keys = sessions.select(*SESSION).distinct()
+    sized = keys.withColumn("__size", F.explode(lengths)).filter(
+        F.length("session_key") >= F.col("__size")
+    )
     starts = F.sequence(F.lit(1), F.length("session_key") - F.col("__size") + 1)
-    fits = F.length("session_key") >= F.col("__size")
-    grams = (
-        keys.filter(fits)
-        .select(*SESSION, "__size", F.explode(starts).alias("__at"))
-        .select(*SESSION, F.substring("session_key", F.col("__at"), F.col("__size")).alias("__gram"))
-        .distinct()
+    parts = sized.select(*SESSION, "__size", F.explode(starts).alias("__at")).select(
+        *SESSION, F.substring("session_key", F.col("__at"), F.col("__size")).alias("run_id")
     )
-    anchored = ids.withColumn("__gram", F.substring("run_id", F.lit(1), size))
-    hits = grams.join(anchored, "__gram").filter(F.contains("session_key", "run_id"))
-    return hits.select(*SESSION, "run_id")
+    return parts.join(ids, "run_id").select(*SESSION, "run_id").distinct()
 
 
 def session_run_ids(sessions: DataFrame, calls: DataFrame, runs: DataFrame) -> DataFrame:
