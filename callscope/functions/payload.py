@@ -27,12 +27,10 @@ SENSITIVE_KEYS = frozenset(
 )
 # Literals that send a payload to the recursion because a key rule may apply.
 _KEY_LITERALS = ["\"blob\"", "\"data\""]
-_KEY_PATTERN = (
-    "(?i)\"(password|passwd|pwd|secret|api[-_]*key|client[-_]*secret|authorization"
-    "|access[-_]*token|refresh[-_]*token|database[-_]*url|token|private[-_]*key)\"|[-_]{2}"
-)
+_KEY_PATTERN = "\"(" + "|".join(sorted(SENSITIVE_KEYS)) + ")\""
 _PLAIN_CHARS = "\\A[\\x20-\\x5B\\x5D-\\x7E\\t\\r\\n]*\\z"  # ASCII without backslash
-_FRAGILE_NUMBER = "[0-9][.eE][0-9+-]|-0|[0-9]{18}"
+# A number that a round trip could change: fraction, exponent, minus zero, many digits.
+_FRAGILE_NUMBER = "[\\[:,\\s]-?([0-9]+[.eE]|[0-9]{18})|[\\[:,\\s]-0"
 
 
 # --- native path -----------------------------------------------------------------
@@ -48,10 +46,15 @@ def _sql_needs_recursion(name: str, secrets: bool) -> str:
     ]
     odd += [f"contains({name}, {tx.sql_text(x)})" for x in _KEY_LITERALS]
     if secrets:
-        odd += [tx.sql_may_hold_secret(name), f"{name} RLIKE {tx.sql_text(_KEY_PATTERN)}"]
+        odd += [tx.sql_may_hold_secret(name), f"translate(lower({name}), '-_', '') RLIKE {tx.sql_text(_KEY_PATTERN)}"]
     return tx.sql_when_any(odd)
 
 
+def needs_recursion(name: str, secrets: bool = True) -> Column:
+    """Whether a payload leaves the native path; for measuring its share."""
+    return F.expr(_sql_needs_recursion(name, secrets))
+
+
 def _sql_escape_html(text: str) -> str:
     for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
         text = f"replace({text}, '{char}', {tx.sql_text(code)})"

@@ -32,6 +32,18 @@ def test_native_and_recursive_paths_agree(spark):
     assert got[4] == '{"a":"s","b":[1]}'
 
 
+def test_native_path_leaves_nothing_to_the_rules(spark):
+    keys = ["pass-word", "_P_W_D", "TO-KEN", "client--secret", "data_base_url"]
+    values = [json.dumps({k: "v", "note": "plain"}) for k in keys]
+    want = [json.dumps({k: S.SENSITIVE_FIELD, "note": "plain"}, separators=(",", ":"), sort_keys=True) for k in keys]
+    assert [json.loads(p) for p in preview(spark, values)] == [json.loads(w) for w in want]
+    numbers = ["1.0", "10e2", "-0", "1234567890123456789", "[1.50]", "2.0e-3"]
+    values = [f'{{"d":"2024-01-05 x1e5","n":{n}}}' for n in numbers]
+    assert preview(spark, values) == values
+    df = spark.createDataFrame([(v,) for v in values + ['{"d":"2024-01-05 x1e5","n":12}']], "v string")
+    assert [r.x for r in df.select(payload.needs_recursion("v").alias("x")).collect()] == [True] * 6 + [False]
+
+
 def test_exact_numbers_and_odd_values(spark):
     values = [
         '{"n":1.50,"e":1E5,"big":123456789012345678901234567890,"z":-0}', "null", None, "not json",
