@@ -17,7 +17,7 @@ from workload import registry, streams  # noqa: E402, F401
 HEADLINE = [
     "message_log_events", "paired_calls", "clean_documents", "clean_json", "secret_audit",
     "stateless_sessions", "session_rollup", "session_traces", "intent_breakdown", "retries",
-    "tool_latency", "envelopes", "ingest_report", "deduplicated_events", "delivery_report",
+    "tool_latency", "ingest_report", "deduplicated_events", "delivery_report",
     "correlated_sessions", "catalog_coverage", "stream_paired_calls",
 ]
 
