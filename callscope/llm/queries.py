@@ -6,7 +6,9 @@ from callscope.llm import (  # noqa: F401  each registers its query
     language,
     mixing,
     near_duplicates,
+    personal_data,
     sharding,
+    syncmers,
     url_rules,
     warc,
 )

@@ -75,14 +75,18 @@ def train_dictionary(payloads: list[bytes], size: int = DICTIONARY_BYTES) -> byt
 
 
 def dictionary_of(pages: DataFrame) -> bytes:
-    """Of the payloads with the smallest hashes, trained in one task on a bounded sample."""
-    sample = (
-        pages.select("payload").filter(F.length("payload").between(1, SAMPLE_PAYLOAD))
-        .orderBy(F.xxhash64("payload"), "payload").limit(SAMPLE_RECORDS)
-    )
+    """Of the distinct payloads with the smallest hashes, trained in one task on a bounded sample.
+
+    The hashes alone are ordered; payloads are read for those that are in the sample.
+    """
+    usable = pages.select("payload", F.xxhash64("payload").alias("h")).filter(F.length("payload").between(1, SAMPLE_PAYLOAD))
+    last = usable.select("h").distinct().orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h").alias("h")).first().h
+    if last is None:
+        return b""
+    sample = usable.filter(F.col("h") <= last).groupBy("h").agg(F.min("payload").alias("payload")).select("payload")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [p for b in batches for p in b.column(0).to_pylist()]
+        held = sorted(p for b in batches for p in b.column(0).to_pylist())
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([train_dictionary(held)], pa.binary())})
 
     row = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()
