@@ -7,6 +7,7 @@ from callscope.llm import (  # noqa: F401  each registers its query
     mixing,
     near_duplicates,
     personal_data,
+    repeats,
     sharding,
     syncmers,
     url_rules,
