@@ -32,14 +32,15 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callscope.llm.common import MIN_LONG, pieces, read_table
+from callscope.llm.common import MIN_LONG, pieces, read_table, shuffle_partitions
 from callscope.llm.registry import register
 
 WINDOW = 20
-ROUNDS = 4
+ROUNDS = 5
 #: Symbol names are cut to as many bits; a chance match only makes a candidate.
 NAME_BITS = 48
 
@@ -266,9 +267,15 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [np.sort(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
+def _with_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have shared symbols."""
+    for batch in batches:
+        yield batch.filter(pc.greater(pc.list_value_length(batch.column(2)), 0))
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, c, key) of the candidate windows of each document, each once."""
-    for batch, texts in _grouped(batches, 1):
+    for batch, texts in _grouped(_with_shared(batches), 1):
         words = Words(texts)
         symbols = Symbols(words)
         at = np.flatnonzero(symbols.candidates(_lists(batch.column(2))))
@@ -358,14 +365,17 @@ def _unsorted(column: pa.Array) -> list[np.ndarray]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for each row of `docs` (doc_id, text); kept is UTF-8."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(MIN_LONG)).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    # Dealt out by document before they are listed: rows are smaller than lists of a few items.
+    partitions = shuffle_partitions(docs.sparkSession)
     symbols = docs.select("key", "text").mapInArrow(_symbols, "name long, key long")
     shared = symbols.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
-    by_doc = symbols.join(shared, "name").groupBy("key").agg(F.collect_list("name").alias("shared"))
+    by_doc = symbols.join(shared, "name").select("key", "name").repartition(partitions, "key").groupBy("key").agg(F.collect_list("name").alias("shared"))
+    # Both uses of this table have the same columns and rows, so that its shuffles are reused.
     no_longs, no_ints = F.array().cast("array<long>"), F.array().cast("array<int>")
     with_shared = docs.join(by_doc, "key", "left").select("key", "text", F.coalesce("shared", no_longs).alias("shared"), "doc_id")
-    windows = with_shared.filter(F.size("shared") > 0).select("key", "text", "shared").mapInArrow(_candidates, "h long, c int, key long")
+    windows = with_shared.mapInArrow(_candidates, "h long, c int, key long")
     owners = windows.groupBy("h", "c").agg(F.min("key").alias("key"))
-    owned = owners.groupBy("key").agg(F.collect_list(F.struct("h", "c")).alias("own")).select("key", F.col("own.h").alias("h"), F.col("own.c").alias("c"))
+    owned = owners.select("key", "h", "c").repartition(partitions, "key").groupBy("key").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"))
     ready = with_shared.join(owned, "key", "left").select(
         "key", "text", "shared", F.coalesce("h", no_longs).alias("h"), F.coalesce("c", no_ints).alias("c"), "doc_id"
     )
