@@ -16,11 +16,13 @@ at the highest level that has such a symbol, down to its words.
    doc_id is found for the hash of each candidate's words, which verifies the repeat. (Spark)
 3. A candidate whose smallest doc_id is another document's starts earlier there; within one
    document the first of equal windows stays.
+4. A text that is equal to one with a smaller doc_id is one repeat as a whole: all its windows
+   start earlier there, so they need not be looked up.
 
 Scale: far fewer symbols than words are shuffled, counts and minima are pre-aggregated, and a hot
 symbol or window is one row a task. What returns to a document are its own shared symbols and
 the windows it owns, at most as many as its words. Texts cross the network once. Symbol names
-that collide only make candidates; windows are told apart by 96 bits.
+that collide only make candidates; windows are told apart by 80 bits.
 
 Cases: null and empty texts have no words; texts under `WINDOW` words keep all of them. A null
 doc_id is the smallest. Rows that share a doc_id are one place in the order: neither is earlier than the
@@ -97,7 +99,7 @@ class Words:
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Whether a window starts at each word, and two hashes of each window (64 and 32 bits)."""
+        """Whether a window starts at each word, and two hashes of each window (64 and 16 bits)."""
         n = len(self.hash)
         fits = np.zeros(n, dtype=bool)
         if n >= WINDOW:
@@ -105,7 +107,7 @@ class Words:
         starts = np.flatnonzero(fits)
         hashes = np.zeros((2, n), dtype=np.uint64)
         hashes[0, starts] = _mix(_stretches(self.hash, starts, starts + WINDOW))
-        hashes[1, starts] = _mix(_stretches(_mix(self.hash + _U(7)), starts, starts + WINDOW)) >> _U(33)
+        hashes[1, starts] = _mix(_stretches(_mix(self.hash + _U(7)), starts, starts + WINDOW)) >> _U(48)
         return fits, hashes
 
 
@@ -345,8 +347,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_h, at_c = _unsorted(batch.column(3)), _unsorted(batch.column(4))
         words, go = removed_words(texts, _lists(batch.column(2)), list(zip(at_h, at_c, strict=True)))
         n_words, n_removed, kept = [], [], []
+        copies = batch.column(6).to_pylist()
         for i, text in enumerate(texts):
             mine = go[words.first[i]:words.first[i + 1]]
+            if copies[i] and len(mine) >= WINDOW:
+                mine = np.ones(len(mine), dtype=bool)
             n_words.append(len(mine))
             n_removed.append(int(mine.sum()))
             parts = text.split()  # bytes are split at ASCII white space
@@ -362,6 +367,14 @@ def _unsorted(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
+def _later_copies(docs: DataFrame) -> DataFrame:
+    """(key, copies): digests of the texts that are, as a whole, the text of a smaller key."""
+    texts = docs.filter("text IS NOT NULL").select("key", F.md5("text").alias("digest")).distinct()
+    first = texts.groupBy("digest").agg(F.min("key").alias("first"))
+    later = texts.join(first, "digest").filter("key > first")
+    return later.groupBy("key").agg(F.collect_set("digest").alias("copies"))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for each row of `docs` (doc_id, text); kept is UTF-8."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(MIN_LONG)).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
@@ -372,12 +385,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     by_doc = symbols.join(shared, "name").select("key", "name").repartition(partitions, "key").groupBy("key").agg(F.collect_list("name").alias("shared"))
     # Both uses of this table have the same columns and rows, so that its shuffles are reused.
     no_longs, no_ints = F.array().cast("array<long>"), F.array().cast("array<int>")
-    with_shared = docs.join(by_doc, "key", "left").select("key", "text", F.coalesce("shared", no_longs).alias("shared"), "doc_id")
+    copy = F.coalesce(F.array_contains("copies", F.md5("text")), F.lit(False))
+    with_shared = docs.join(_later_copies(docs), "key", "left").join(by_doc, "key", "left").select(
+        "key", "text", F.when(copy | F.col("shared").isNull(), no_longs).otherwise(F.col("shared")).alias("shared"), "doc_id", copy.alias("copy")
+    )
     windows = with_shared.mapInArrow(_candidates, "h long, c int, key long")
     owners = windows.groupBy("h", "c").agg(F.min("key").alias("key"))
     owned = owners.select("key", "h", "c").repartition(partitions, "key").groupBy("key").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c"))
     ready = with_shared.join(owned, "key", "left").select(
-        "key", "text", "shared", F.coalesce("h", no_longs).alias("h"), F.coalesce("c", no_ints).alias("c"), "doc_id"
+        "key", "text", "shared", F.coalesce("h", no_longs).alias("h"), F.coalesce("c", no_ints).alias("c"), "doc_id", "copy"
     )
     return ready.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept binary")
 
