@@ -337,5 +337,9 @@ def redact(docs: DataFrame, rows: int = TRAIN_DOCS) -> DataFrame:
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked, base, every = detect(docs)
-    counts = [F.size(F.filter(F.col(base), lambda s, p=place: s["kind"] == p)).cast("long").alias(f"n_{kind}") for place, kind in enumerate(KINDS)]
+
+    def of(place: int) -> Column:
+        return F.size(F.filter(F.col(base), lambda s: s["kind"] == place)).cast("long")
+
+    counts = [of(place).alias(f"n_{kind}") for place, kind in enumerate(KINDS)]
     return marked.select("doc_id", *counts, F.sha2(listed(F.col(base)), 256).alias("base_sha256"), listed(F.col(every)).alias("spans"))
