@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from callscope import schemas as S
-from callscope.functions.text import SPACE, blank_to_null, col, is_blank, truncate_utf8
+from callscope.functions.text import SPACE, blank_to_null, col, is_blank
 
 DIAGNOSTIC_CODE = "\\A[A-Za-z0-9][A-Za-z0-9_:-]{0,99}\\z"
 
@@ -41,10 +41,9 @@ def error_text(error, is_tool_error, error_type) -> Column:
 
 
 def sql_capabilities(name: str) -> str:
-    """Client capabilities as JSON; dropped whole when empty or too large."""
+    """Client capabilities as JSON; dropped when empty."""
     return (
-        f"CASE WHEN octet_length({name}) <= {S.MAX_CAPABILITIES_BYTES}"
-        f" AND NOT {name} RLIKE '^\\\\s*([{{]\\\\s*[}}]|null)?\\\\s*$' THEN {name} END"
+        f"CASE WHEN NOT {name} RLIKE '^\\\\s*([{{]\\\\s*[}}]|null)?\\\\s*$' THEN {name} END"
     )
 
 
@@ -56,8 +55,7 @@ def valid_capability(value) -> Column:
 
 def response_code(body, status) -> Column:
     """Diagnostic code of a failed delivery, from its body if that holds a valid one."""
-    text = truncate_utf8(body, S.MAX_RESPONSE_DETAIL_BYTES)
-    parsed = F.from_json(text, "error variant, errorCode variant, _corrupt_record string")
+    parsed = F.from_json(col(body), "error variant, errorCode variant, _corrupt_record string")
 
     def string_in(value: Column, path: str) -> Column:
         return F.try_variant_get(value, path, "string")

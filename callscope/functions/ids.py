@@ -3,7 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from callscope import schemas as S
 from callscope.functions.text import blank_to_null, col, trim_space
 
 ANONYMOUS_ACTOR = "anonymous"
@@ -122,6 +121,5 @@ def workflow_run_id(headers, name: str) -> Column:
 
 
 def actor_identifier(identifier) -> Column:
-    """The identifier verbatim; NULL when empty or above its size limit."""
-    value = blank_to_null(identifier)
-    return F.when(F.octet_length(value) <= S.MAX_IDENTIFIER_BYTES, value)
+    """The identifier verbatim; NULL when empty."""
+    return blank_to_null(identifier)

@@ -8,7 +8,7 @@ short recursion applies the same rules to nested values.
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,10 +21,10 @@ from callscope.functions.text import col
 UNDEFINED = "undefined"
 
 # Object keys whose values never leave, lower case without - and _.
-SENSITIVE_KEYS = frozenset(
-    "password passwd pwd secret apikey clientsecret authorization accesstoken refreshtoken"
-    " databaseurl token privatekey".split()
-)
+SENSITIVE_KEYS = frozenset({
+    "password", "passwd", "pwd", "secret", "apikey", "clientsecret",
+    "authorization", "accesstoken", "refreshtoken", "databaseurl", "token", "privatekey",
+})
 # Literals that send a payload to the recursion because a key rule may apply.
 _KEY_LITERALS = ["\"blob\"", "\"data\""]
 _KEY_PATTERN = "\"(" + "|".join(sorted(SENSITIVE_KEYS)) + ")\""
@@ -38,7 +38,6 @@ _FRAGILE_NUMBER = "[\\[:,\\s]-?([0-9]+[.eE]|[0-9]{18})|[\\[:,\\s]-0"
 
 def _sql_needs_recursion(name: str, secrets: bool) -> str:
     odd = [
-        f"octet_length({name}) > {S.SANITIZE_BUDGET}",
         f"NOT {name} RLIKE {tx.sql_text(_PLAIN_CHARS)}",
         f"{name} RLIKE {tx.sql_text(_FRAGILE_NUMBER)}",
         f"{name} RLIKE '[A-Za-z0-9+/_-]{{512}}'",
@@ -166,66 +165,36 @@ def redact_value(value):
     return value
 
 
-def _cut(text: str, limit: int) -> str:
-    return text.encode("utf-8", "replace")[:limit].decode("utf-8", "ignore")
-
-
-class _Allowance:
-    """Remaining bytes of one payload; strings, keys and list items draw on it."""
-
-    def __init__(self, left: int = S.SANITIZE_BUDGET):
-        self.left = left
-
-    def take(self, cost: int) -> bool:
-        enough = cost <= self.left
-        self.left = self.left - cost if enough else 0
-        return enough
-
-    def text(self, value: str) -> str:
-        value = _cut(_SURROGATE.sub("\ufffd", value), self.left)
-        size = len(value.encode("utf-8", "replace"))
-        data_uri = size >= 64 and value.startswith("data:") and ";base64," in value
-        if data_uri or (size >= tx.BASE64_MIN_BYTES and _WHOLE_BASE64.match(value)):
-            value = S.BASE64_REMOVED
-        elif size >= tx.BASE64_MIN_BYTES:
-            value = _RUN_BASE64.sub(S.BASE64_REMOVED, value)
-        value = _cut(value, self.left)
-        self.left -= len(value.encode("utf-8", "replace"))
+def without_binaries(value):
+    """A decoded value without encoded binaries, whole otherwise."""
+    if isinstance(value, Number):
         return value
-
-    def clean(self, value):
-        if isinstance(value, Number):
-            return value
-        if isinstance(value, str):
-            return self.text(value)
-        if isinstance(value, dict):
-            return dict(self._members(value))
-        return list(self._items(value)) if isinstance(value, list) else value
-
-    def _members(self, value: dict) -> Iterator:
-        media = value.get("type") in ("image", "audio")
-        for key, entry in sorted(value.items(), key=_key_bytes):
-            if not self.take(len(key.encode("utf-8", "replace")) + 2):
-                return
-            encoded = key == "blob" or (key == "data" and media)
-            if encoded and isinstance(entry, str) and not isinstance(entry, Number) and entry:
-                entry = S.BINARY_REMOVED
-            yield key, self.clean(entry)
-            if not self.left:
-                return
-
-    def _items(self, value: list) -> Iterator:
-        for entry in value:
-            if not self.take(2):
-                return
-            yield self.clean(entry)
-            if not self.left:
-                return
+    if isinstance(value, str):
+        return _plain_text(_SURROGATE.sub("\ufffd", value))
+    if isinstance(value, list):
+        return [without_binaries(item) for item in value]
+    if not isinstance(value, dict):
+        return value
+    binary = {"blob", "data"} if value.get("type") in ("image", "audio") else {"blob"}
+    return {
+        key: S.BINARY_REMOVED
+        if key in binary and entry and isinstance(entry, str) and not isinstance(entry, Number)
+        else without_binaries(entry)
+        for key, entry in value.items()
+    }
+
+
+def _plain_text(text: str) -> str:
+    if text.startswith("data:") and ";base64," in text and len(text.encode()) >= tx.DATA_URI_MIN_BYTES:
+        return S.BASE64_REMOVED
+    if len(text) < tx.BASE64_MIN_BYTES:  # encoded binaries are ASCII
+        return text
+    return S.BASE64_REMOVED if _WHOLE_BASE64.match(text) else _RUN_BASE64.sub(S.BASE64_REMOVED, text)
 
 
 def clean_value(value, secrets: bool = True):
     """Sanitized and redacted copy of one decoded value."""
-    cleaned = _Allowance().clean(value)
+    cleaned = without_binaries(value)
     return redact_value(cleaned) if secrets else cleaned
 
 
@@ -287,7 +256,7 @@ def with_preview(
     drop_marker: str | None = None,
     objects_only: bool = False,
 ) -> DataFrame:
-    """Add column `out`: the cleaned preview of JSON column `value`, not yet cut.
+    """Add column `out`: the cleaned preview of JSON column `value`, whole.
 
     `pick` takes one member of the JSON object instead of all of it; `strip` says
     where to leave out the telemetry block; `drop_marker` leaves out one key of the

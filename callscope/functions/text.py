@@ -223,7 +223,7 @@ def secret_hits(name: str) -> Column:
 
 def sql_clean_text(value: str, secrets: bool = True) -> str:
     """SQL that sanitizes, then redacts one string: the treatment of telemetry text."""
-    clean = sql_let(sql_truncate(value, S.SANITIZE_BUDGET), "cut", _sql_strip_base64("cut"))
+    clean = sql_let(value, "whole", _sql_strip_base64("whole"))
     return sql_let(clean, "bare", _sql_redact("bare")) if secrets else clean
 
 

@@ -42,6 +42,14 @@ _EMPTY = {
 }
 
 
+def _sized(name: str, limit: int | None) -> Column:
+    return F.col(name) if limit is None else truncate_utf8(name, limit)
+
+
+def _is_cut(name: str, limit: int | None) -> Column:
+    return F.lit(False) if limit is None else is_truncated(name, limit)
+
+
 def _event(df: DataFrame, emit_pos: int | str, metadata: str, **values: str | Column) -> DataFrame:
     """Select the wire fields in order; anything not given has its empty value."""
     values = {"metadata": metadata, **values}
@@ -129,7 +137,7 @@ def build_tool_calls(
     })
     request = ids.scoped_request_id("session_id", "request_id", "minted")
     values = {name: f"nullif(candidate.telemetry.{name}, '')" for name in telemetry.FIELDS}
-    df = df.withColumn("preview", truncate_utf8("candidate.input", S.MAX_PREVIEW_BYTES))
+    df = df.withColumn("preview", _sized("candidate.input", options.preview_bytes))
     return _event(
         df, 2,
         _metadata(
@@ -149,10 +157,10 @@ def build_tool_calls(
         duration_ms="candidate.duration_ms",
         ok="candidate.status = 'ok'",
         error="candidate.error_message",
-        script_source=truncate_utf8("source", S.MAX_SOURCE_BYTES),
-        script_source_truncated=is_truncated("source", S.MAX_SOURCE_BYTES),
-        result_preview=truncate_utf8("candidate.output", S.MAX_PREVIEW_BYTES),
-        result_truncated=is_truncated("candidate.output", S.MAX_PREVIEW_BYTES),
+        script_source=_sized("source", options.source_bytes),
+        script_source_truncated=_is_cut("source", options.source_bytes),
+        result_preview=_sized("candidate.output", options.preview_bytes),
+        result_truncated=_is_cut("candidate.output", options.preview_bytes),
         is_workflow="workflow_run_id IS NOT NULL",
         workflow_run_id="workflow_run_id",
     )

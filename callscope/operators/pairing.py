@@ -47,11 +47,12 @@ def relevant_messages(messages: DataFrame) -> DataFrame:
 def connection_key(adapter: str, session_header: str) -> Column:
     """Session id, or the connection where that is blank, so blank sessions never meet.
 
-    Middleware sees requests without any session: those go by their header, and
-    otherwise stand alone.
+    Every process has a `stdio` session of its own. Middleware sees requests without
+    any session: those go by their header, and otherwise stand alone.
     """
-    session = blank_to_null("transport_session_id")
-    connection = blank_to_null("connection_id")
+    session, connection = blank_to_null("transport_session_id"), blank_to_null("connection_id")
+    process = F.concat(F.lit("stdio:"), F.coalesce(blank_to_null("process_id"), connection, F.lit("")))
+    session = F.when(session == STDIO, process).otherwise(session)
     if adapter == HOOKS:
         return F.coalesce(session, connection, F.lit(""))
     header = blank_to_null(trim_space(ids.header("headers", session_header)))

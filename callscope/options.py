@@ -26,6 +26,8 @@ class BuildOptions:
     event_hook: function on the whole candidate; None drops the call.
     abandon_after: seconds after which a call without any answer counts as
       cancelled; needs `as_of`, the time the log ends.
+    preview_bytes, source_bytes: cut input and result previews, and the script source,
+      to so many bytes of UTF-8, as a receiver may ask; by default nothing is cut.
     random_ids: mint missing request ids at random instead of from the row.
     hot_rows: rows of one session above which its windows are sliced by time.
     """
@@ -41,6 +43,8 @@ class BuildOptions:
     abandon_after: int | None = None
     as_of: str | None = None
     random_ids: bool = False
+    preview_bytes: int | None = None
+    source_bytes: int | None = None
     disabled: bool = False
     workflow_header: str = "X-Workflow-Run-Id"
     seed_header: str = "X-Session-Seed"

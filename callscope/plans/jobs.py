@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callscope import schemas as S
 from callscope.functions import ids, payload
 from callscope.functions.text import blank_to_null, clean_text, is_truncated, trim_space, truncate_utf8
 from callscope.operators.envelopes import dedup_events, rejection_reason
@@ -15,16 +14,19 @@ def clean_payloads(
     json: list[str] | None = None,
     text: list[str] | None = None,
     secrets: bool = True,
-    limit: int = S.MAX_PREVIEW_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Clean columns of any table: no binaries, no secrets, bounded size.
+    """Clean columns of any table: no binaries, no secrets, values whole.
 
-    JSON columns become previews; text columns are cleaned as strings. Each gets a
+    JSON columns become previews; text columns are cleaned as strings. Only with a
+    `limit`, the bytes a receiver takes, are values cut, each with a
     `<column>_truncated` flag.
     """
     for name in json or []:
         df = payload.with_preview(df, name, name, secrets=secrets)
     df = df.withColumns({name: clean_text(name, secrets) for name in text or []})
+    if limit is None:
+        return df
     names = [*(json or []), *(text or [])]
     df = df.withColumns({f"{name}_truncated": is_truncated(name, limit) for name in names})
     return df.withColumns({name: truncate_utf8(name, limit) for name in names})

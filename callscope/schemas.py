@@ -9,15 +9,8 @@ SESSION_INIT = "session_init"
 ACTOR_IDENTITY = "actor_identity"
 
 # Fixed sizes, in UTF-8 bytes unless stated otherwise.
-MAX_PREVIEW_BYTES = 8 * 1024
-MAX_SOURCE_BYTES = 32 * 1024
-MAX_CAPABILITIES_BYTES = 4 * 1024
-MAX_IDENTIFIER_BYTES = 8 * 1024
 MAX_CAPABILITY_BYTES = 1000
-SANITIZE_BUDGET = 65_536
-RAW_JSON_CAP = 4 * SANITIZE_BUDGET
 ENVELOPE_CANDIDATES = 20
-MAX_RESPONSE_DETAIL_BYTES = 4_096
 
 # Fixed placeholder texts.
 BINARY_REMOVED = "[binary removed]"

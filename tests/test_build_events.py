@@ -40,7 +40,7 @@ scenario("basic").begin(
 
 log = scenario("outcomes").call(error="boom password=hunter2 x", request_id="1")
 log.call(result={"isError": True, "content": []}, request_id="2")
-log.begin(request_id="3").add("end", request_id="3", error="raw", error_type="auth_failed")
+log.begin(request_id="3").add("end", request_id="3", error="raw", error_type="quota_spent")
 
 log = scenario("pairing")
 log.begin("a").end().end()  # the second answer has no request
@@ -69,6 +69,11 @@ for i, who in enumerate(["a", "b", "a"]):
     log.call(identifier=who, request_id=str(i))
 log.call(identifier="z" * 9000, request_id="9")
 
+log = scenario("two processes")
+for phase, tool, process in (("begin", "a", "p1"), ("begin", "b", "p2"), ("end", None, "p1"), ("end", None, "p2")):
+    values = {"transport_session_id": "stdio", "connection_id": "", "process_id": process}
+    log.begin(tool, **values) if tool else log.end(**values)
+
 scenario("late start").call().initialize()
 
 scenario("stdio").call(transport_session_id="stdio", request_id="1")
@@ -194,7 +199,7 @@ def test_call_becomes_identity_init_and_call(built):
 
 def test_outcomes(built):
     assert [(c.ok, c.error) for c in calls_of(built("hooks", "outcomes"))] == [
-        (False, "boom password=[redacted:sensitive-kv] x"), (False, "tool_error"), (False, "auth_failed"),
+        (False, "boom password=[redacted:sensitive-kv] x"), (False, "tool_error"), (False, "quota_spent"),
     ]
 
 
@@ -228,7 +233,7 @@ def test_capabilities_only_with_middleware(built):
     middleware = built("middleware", "capabilities")[0]
     assert json.loads(middleware.metadata.capabilities) == {"roots": {}}
     assert middleware.metadata.protocol_version == "2025-06-18"
-    assert built("middleware", "large")[0].metadata.capabilities is None
+    assert json.loads(built("middleware", "large")[0].metadata.capabilities) == {"x": "y" * 5000}
 
 
 def test_blank_session_starts_are_always_sent(built):
@@ -237,8 +242,16 @@ def test_blank_session_starts_are_always_sent(built):
 
 def test_identity_is_sent_once_per_identifier(built):
     rows = built("hooks", "identity")
-    assert [r.metadata.identifier for r in rows if r.kind == "actor_identity"] == ["a", "b"]
-    assert calls_of(rows)[-1].actor_id == sha("anonymous")
+    assert [r.metadata.identifier for r in rows if r.kind == "actor_identity"] == ["a", "b", "z" * 9000]
+    assert calls_of(rows)[-1].actor_id != sha("anonymous")
+
+
+@pytest.mark.parametrize("adapter", ["hooks", "middleware"])
+def test_processes_share_no_request_ids(built, adapter):
+    got = calls_of(built(adapter, "two processes"))
+    assert sorted((c.metadata.tool_name, c.duration_ms) for c in got) == [("a", 2000), ("b", 2000)]
+    if adapter == "hooks":
+        assert {c.session_id_hint for c in got} == {"p1", "p2"}
 
 
 def test_call_before_explicit_start_shares_it(built):

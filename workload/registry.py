@@ -261,43 +261,32 @@ def client_families(spark, sf):
 
 # --- payloads ------------------------------------------------------------------------
 
-_CLEAN = f"""WITH {Q.PLANTED}, c AS (SELECT *, {Q.cut('body', 65536)} AS cut1 FROM planted),
-  s AS (SELECT *, {Q.strip_base64('cut1')} AS bare FROM c), r AS (SELECT *, {Q.redact('bare')} AS clean FROM s)"""
+_CLEAN = f"""WITH {Q.PLANTED}, s AS (SELECT *, {Q.strip_base64('body')} AS bare FROM planted),
+  r AS (SELECT *, {Q.redact('bare')} AS clean FROM s)"""
 
 
-@register("clean_documents", f"""{_CLEAN}, p AS (SELECT *, {Q.cut('clean', 8192)} AS body8 FROM r)
-SELECT doc_id, body8 AS body, strlen(clean) > 8192 AS body_truncated FROM p""")
+@register("clean_documents", f"{_CLEAN} SELECT doc_id, clean AS body FROM r")
 def clean_documents(spark, sf):
-    return clean_payloads(V.planted_documents(spark, sf), text=["body"]).select("doc_id", "body", "body_truncated")
+    return clean_payloads(V.planted_documents(spark, sf), text=["body"]).select("doc_id", "body")
 
 
 _JSON_ESCAPED = (
     r"replace(replace(replace(replace(replace(to_json(clean), '<', '\u003c'), '>', '\u003e'), '&', '\u0026'),"
     r" chr(8232), '\u2028'), chr(8233), '\u2029')"
 )
-# Keys cost their length and two bytes each, in key order: blob, body, id, password.
-_LEFT = f"65536 - 6 - 16 - 6"
 
 
-@register("clean_json", f"""WITH {Q.PLANTED}, c AS (SELECT *, {Q.cut('body', _LEFT)} AS cut1 FROM planted),
-  s AS (SELECT *, {Q.strip_base64('cut1')} AS bare FROM c), r AS (SELECT *, {Q.redact('bare')} AS clean FROM s),
-  j AS (SELECT doc_id, strlen(bare) AS used, '{{"blob":"[binary removed]","body":' || {_JSON_ESCAPED} ||
-    CASE WHEN strlen(bare) + 28 + 4 + 10 >= 65536 THEN '' ELSE ',"id":' || doc_id || ',"password":"[redacted:sensitive-field]"' END || '}}' AS payload FROM r),
-  p AS (SELECT *, {Q.cut('payload', 8192)} AS payload8 FROM j)
-SELECT doc_id, payload8 AS payload, strlen(payload) > 8192 AS payload_truncated FROM p""")
+@register("clean_json", f"""{_CLEAN}
+SELECT doc_id, '{{"blob":"[binary removed]","body":' || {_JSON_ESCAPED} || ',"id":' || doc_id || ',"password":"[redacted:sensitive-field]"}}' AS payload FROM r""")
 def clean_json(spark, sf):
-    return clean_payloads(V.json_payloads(spark, sf), json=["payload"]).select(
-        "doc_id", "payload", "payload_truncated"
-    )
+    return clean_payloads(V.json_payloads(spark, sf), json=["payload"]).select("doc_id", "payload")
 
 
-@register("clean_pages", f"""WITH c AS (SELECT page_id, {Q.cut('html', 65536)} AS cut1 FROM pages),
-  s AS (SELECT *, {Q.strip_base64('cut1')} AS bare FROM c), r AS (SELECT *, {Q.redact('bare')} AS clean FROM s),
-  p AS (SELECT *, {Q.cut('clean', 8192)} AS html8 FROM r)
-SELECT page_id, html8 AS html, strlen(clean) > 8192 AS html_truncated FROM p""")
+@register("clean_pages", f"""WITH s AS (SELECT *, {Q.strip_base64('html')} AS bare FROM pages)
+SELECT page_id, {Q.redact('bare')} AS html FROM s""")
 def clean_pages(spark, sf):
     pages = V.spread(V.table(spark, sf, "pages"))
-    return clean_payloads(pages, text=["html"]).select("page_id", "html", "html_truncated")
+    return clean_payloads(pages, text=["html"]).select("page_id", "html")
 
 
 _HITS = " UNION ALL ".join(
@@ -315,7 +304,7 @@ def secret_audit(spark, sf):
 @register("no_secret_survives", "SELECT '' AS event_id, '' AS \"column\", '' AS label, 0 AS hits WHERE false")
 def no_secret_survives(spark, sf):
     """The redacted documents, searched again as an exported column."""
-    clean = clean_payloads(V.planted_documents(spark, sf), text=["body"], limit=65536)
+    clean = clean_payloads(V.planted_documents(spark, sf), text=["body"])
     rows = clean.selectExpr("CAST(doc_id AS STRING) AS event_id", "body AS result_preview")
     return quality.leaked_secrets(rows, ["result_preview"])
 
