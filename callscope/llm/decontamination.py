@@ -17,9 +17,7 @@ item is neither listed nor counted. Repeated documents are judged alike. An empt
 documents gives an empty table, an empty benchmark leaves all clean.
 """
 
-import hashlib
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
