@@ -95,7 +95,9 @@ def rejected_by_ingest(deliveries: DataFrame, events: DataFrame | None = None) -
     if events is None:
         return rows
     known = events.select("event_id", "kind", "actor_id", "session_id_hint")
-    return rows.join(known, "event_id", "left")
+    # Refusals without an id match nothing; as one null key they would meet in one task.
+    named = rows.filter(F.col("event_id").isNotNull()).join(known, "event_id", "left")
+    return named.unionByName(rows.filter(F.col("event_id").isNull()), allowMissingColumns=True)
 
 
 def reason_totals(deliveries: DataFrame) -> DataFrame:
