@@ -48,7 +48,9 @@ def connection_key(adapter: str, session_header: str) -> Column:
     """Session id, or the connection where that is blank, so blank sessions never meet.
 
     Every process has a `stdio` session of its own. Middleware sees requests without
-    any session: those go by their header, and otherwise stand alone.
+    any session: those go by their header, and otherwise stand alone, under the log's
+    `request_uid`. A log without uids falls back to process and request id, which tells
+    lone requests apart only while their ids differ.
     """
     session, connection = blank_to_null("transport_session_id"), blank_to_null("connection_id")
     process = F.concat(F.lit("stdio:"), F.coalesce(blank_to_null("process_id"), connection, F.lit("")))
@@ -56,7 +58,8 @@ def connection_key(adapter: str, session_header: str) -> Column:
     if adapter == HOOKS:
         return F.coalesce(session, connection, F.lit(""))
     header = blank_to_null(trim_space(ids.header("headers", session_header)))
-    alone = F.concat(F.lit("request:"), F.coalesce("request_id", F.col("seq").cast("string")))
+    by_id = F.concat_ws(":", "process_id", F.coalesce("request_id", F.col("seq").cast("string")))
+    alone = F.concat(F.lit("request:"), F.coalesce(blank_to_null("request_uid"), by_id))
     return F.coalesce(session, connection, header, alone)
 
 
@@ -155,6 +158,8 @@ def prepare_messages(messages: DataFrame, options: BuildOptions) -> DataFrame:
     identifier = F.col("identifier")
     if options.actor_identifier is not None:
         identifier = options.actor_identifier
+    if "request_uid" not in messages.columns:
+        messages = messages.withColumn("request_uid", F.lit(None).cast("string"))
     return relevant_messages(messages).withColumns({
         "actor_seed": seed,
         "identifier": ids.actor_identifier(identifier),
@@ -198,23 +203,36 @@ def finish_call(pairs: DataFrame, options: BuildOptions) -> DataFrame:
     )
 
 
-def abandoned(calls: Sliced, options: BuildOptions) -> DataFrame:
-    """Requests without any later row of their id, older than the horizon, as cancels."""
+def pending_requests(calls: DataFrame) -> DataFrame:
+    """Requests without any later row of their id."""
     newest_first = [F.col(c).desc() for c in ORDER]
-    pending = keep_first(calls.df, [*CONNECTION, "request_id"], newest_first)
+    return keep_first(calls, [*CONNECTION, "request_id"], newest_first).filter(F.col("phase") == "begin")
+
+
+def expired(ts: Column, now: Column, options: BuildOptions) -> Column:
+    return ts + F.expr(f"interval {int(options.abandon_after)} seconds") <= now
+
+
+def as_cancelled(pending: DataFrame, options: BuildOptions) -> DataFrame:
+    """Requests as pairs with a cancel of their own, `abandon_after` seconds later."""
     horizon = F.expr(f"interval {int(options.abandon_after)} seconds")
-    pending = pending.filter(
-        (F.col("phase") == "begin") & (F.col("ts") + horizon <= F.lit(options.as_of).cast("timestamp"))
-    )
     request = {f"prev_{name}": F.col(name) for name in REQUEST_COLUMNS}
     return pending.withColumns(request).withColumns({
         "ts": F.col("ts") + horizon,
         "phase": F.lit("cancel"),
+        "prev_phase": F.lit("begin"),
         "error": F.lit(None).cast("string"),
         "result": F.lit(None).cast("string"),
     })
 
 
+def abandoned(calls: DataFrame, options: BuildOptions) -> DataFrame:
+    """Requests without any later row of their id, older than the horizon, as cancels."""
+    now = F.lit(options.as_of).cast("timestamp")
+    pending = pending_requests(calls).filter(expired(F.col("ts"), now, options))
+    return as_cancelled(pending, options)
+
+
 def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     """Pair each request with the next answer or cancel of its id on its connection.
 
@@ -241,8 +259,8 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     pairs = paired.filter(is_pair)
     sightings = sighting_rows(paired.filter(F.col("opens_session") | is_pair), options)
     if options.abandon_after is not None:
-        lost = abandoned(seen.replace(seen.df.filter(is_call)), options)
-        lost = lost.withColumns({"exchange": F.lit(None).cast("string"), "prev_phase": F.lit("begin")})
+        lost = abandoned(seen.df.filter(is_call), options)
+        lost = lost.withColumn("exchange", F.lit(None).cast("string"))
         pairs = pairs.unionByName(lost.select(pairs.columns))
         sightings = sightings.unionByName(sighting_rows(lost, options))
     starts = sighting_rows(seen.df.filter("opens_session"), options, only_starts=True)

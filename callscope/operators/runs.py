@@ -66,10 +66,10 @@ def correlate_runs(sessions: DataFrame, calls: DataFrame, runs: DataFrame) -> Da
     found = session_run_ids(sessions, calls, runs).groupBy(*SESSION).agg(
         F.count(F.lit(1)).alias("run_ids"), F.min("run_id").alias("__one")
     )
+    # Looked up before sessions without any run id come in, which would share a NULL key.
     dispatched = runs.select(F.col("run_id").alias("__known")).distinct()
-    out = sessions.join(found, SESSION, "left")
-    single = F.when(F.col("run_ids") == 1, F.col("__one"))
-    out = out.withColumn("run_id", single).join(dispatched, F.col("run_id") == F.col("__known"), "left")
+    found = found.join(dispatched, F.col("__one") == F.col("__known"), "left")
+    out = sessions.join(found, SESSION, "left").withColumn("run_id", F.when(F.col("run_ids") == 1, F.col("__one")))
     status = (
         F.when(F.coalesce("run_ids", F.lit(0)) == 0, "missing")
         .when(F.col("run_ids") > 1, "ambiguous")

@@ -46,6 +46,7 @@ MESSAGE_SCHEMA = _struct(
     identifier=_S,
     context_telemetry=_struct(user_intent=_S, agent_thinking=_S, user_frustration=_S),
     capability_provenance=_B,
+    request_uid=_S,  # the same on a request and its answer, unique among lone requests
 )
 
 TELEMETRY_SCHEMA = _struct(user_intent=_S, agent_thinking=_S, user_frustration=_S)

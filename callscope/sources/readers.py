@@ -9,16 +9,19 @@ from callscope.operators.delivery import with_response
 from callscope.operators.envelopes import unpack_envelopes
 
 
-def _load(spark, path, schema, fmt, streaming) -> DataFrame:
+def _load(spark, path, schema, fmt, streaming, files: int | None = None) -> DataFrame:
     reader = (spark.readStream if streaming else spark.read).format(fmt).schema(schema)
+    if streaming and files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
     return reader.load(path)
 
 
 def read_messages(
-    spark: SparkSession, path: str, fmt: str = "parquet", streaming: bool = False
+    spark: SparkSession, path: str, fmt: str = "parquet", streaming: bool = False,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Message log, as a table or a stream of files."""
-    return _load(spark, path, S.MESSAGE_SCHEMA, fmt, streaming)
+    """Message log, as a table or a stream of files, a bounded number in each micro-batch."""
+    return _load(spark, path, S.MESSAGE_SCHEMA, fmt, streaming, files_per_trigger)
 
 
 def read_calls(spark: SparkSession, path: str, fmt: str = "parquet", streaming: bool = False) -> DataFrame:

@@ -10,9 +10,13 @@ from callscope.operators.ordered import HOT_ROWS
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Event table laid out by day and kind, so that ranges and kinds prune files."""
-    day = F.to_date(F.to_timestamp("started_at"))
-    events.withColumn("day", day).write.mode(mode).partitionBy("day", "kind").parquet(path)
+    """Event table laid out by day and kind, so that ranges and kinds prune files.
+
+    Rows are dealt out by day and kind first, in parts of the advisory size, so that a
+    task writes few files and a hot day is split.
+    """
+    dealt = events.withColumn("day", F.to_date(F.to_timestamp("started_at"))).hint("rebalance", F.col("day"), F.col("kind"))
+    dealt.write.mode(mode).partitionBy("day", "kind").parquet(path)
 
 
 def write_envelopes(

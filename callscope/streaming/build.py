@@ -1,98 +1,19 @@
-"""Messages, calls and events as streams.
+"""Streams of events and finished calls; `log.py` pairs the message log itself.
 
-State is bounded by watermarks everywhere. What a watermark has already let go may
+State is bounded by watermarks. What a watermark has already let go may
 come once more; ids are stable, so the event table drops the copy.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.functions import ids
 from callscope.operators.assemble import (
     START_COLUMNS,
     build_identities,
     build_session_inits,
     build_tool_calls,
 )
-from callscope.operators.pairing import (
-    CONNECTION,
-    INITIALIZE,
-    REQUEST_COLUMNS,
-    TOOLS_CALL,
-    actor_seed,
-    analytics_session_id,
-    client_info,
-    finish_call,
-    prepare_messages,
-)
 from callscope.options import BuildOptions
-from callscope.schemas import CLIENT_SCHEMA
-
-
-def _prepared(messages: DataFrame, options: BuildOptions) -> DataFrame:
-    """Messages with their own session id; without any memory of the connection."""
-    no_memory = F.lit(None).cast("string")
-    session = analytics_session_id(options.adapter, options.session_header, no_memory)
-    return prepare_messages(messages, options).withColumns({
-        "session_id": F.coalesce(session, F.lit("")),
-        "client": F.lit(None).cast(CLIENT_SCHEMA),
-    })
-
-
-def pair_calls_stream(
-    messages: DataFrame,
-    options: BuildOptions,
-    horizon: str = "1 hour",
-    delay: str = "10 minutes",
-) -> DataFrame:
-    """Finished calls of a message stream: requests joined to answers within `horizon`.
-
-    One request id is expected to serve one call per connection and horizon. With
-    `options.abandon_after` set, requests whose horizon passed without an answer come
-    out as cancelled; without it they are dropped. The client is the one a session id
-    carries; `enrich_client` adds remembered ones per micro-batch.
-    """
-    rows = _prepared(messages, options).filter(F.col("method") == TOOLS_CALL)
-    keys = [*CONNECTION, "request_id"]
-    begins = rows.filter(F.col("phase") == "begin").select(
-        *[F.col(k).alias(f"begin_{k}") for k in keys],
-        *[F.col(c).alias(f"prev_{c}") for c in REQUEST_COLUMNS],
-    ).withWatermark("prev_ts", delay)
-    ends = rows.filter(F.col("phase").isin("end", "cancel")).select(
-        *keys, "ts", "seq", "phase", "result", "error", "error_type", "capability_provenance"
-    ).withWatermark("ts", delay)
-    within = [F.col(f"begin_{k}") == F.col(k) for k in keys]
-    within += [F.col("ts") >= F.col("prev_ts"), F.col("ts") <= F.col("prev_ts") + F.expr(f"interval {horizon}")]
-    how = "inner" if options.abandon_after is None else "leftOuter"
-    pairs = begins.join(ends, within, how)
-    lost = F.col("ts").isNull()
-    span = F.expr(f"interval {horizon}")
-    return finish_call(
-        pairs.withColumns({
-            "server_id": F.col("begin_server_id"),
-            "phase": F.when(lost, "cancel").otherwise(F.col("phase")),
-            "seq": F.when(lost, F.col("prev_seq")).otherwise(F.col("seq")),
-            "ts": F.when(lost, F.col("prev_ts") + span).otherwise(F.col("ts")),
-        }),
-        options,
-    )
-
-
-def starts_stream(messages: DataFrame, options: BuildOptions) -> DataFrame:
-    """Session starts of a message stream: every successful initialize."""
-    rows = _prepared(messages, options)
-    starts = rows.filter((F.col("method") == INITIALIZE) & (F.col("phase") == "end"))
-    return starts.select(
-        "server_id",
-        F.col("seq").alias("source_seq"),
-        F.col("ts").alias("recorded_at"),
-        "session_id",
-        F.coalesce("identifier", actor_seed()).alias("actor_seed"),
-        "identifier",
-        F.col("ts").alias("started_at"),
-        client_info(F.col("params"), options.adapter).alias("client"),
-        ids.workflow_run_id("headers", options.workflow_header).alias("workflow_run_id"),
-    )
 
 
 def dedup_stream(events: DataFrame, ts: str = "recorded_at", delay: str = "10 minutes") -> DataFrame:
@@ -123,9 +44,16 @@ def tool_calls_stream(
     return build_tool_calls(calls, options, owned)
 
 
-def session_rollup_stream(calls: DataFrame) -> DataFrame:
-    """Running counts per session, for update or complete output."""
-    return calls.filter(F.col("session_key") != "").groupBy("server_id", "session_key").agg(
+def session_rollup_stream(calls: DataFrame, delay: str = "10 minutes", span: str | None = None) -> DataFrame:
+    """Running counts per session, for update output.
+
+    With `span`, counts are per session and span of time, and the watermark lets a span go
+    once it has passed; the table of their last snapshots sums up to whole sessions. Without
+    it the state keeps one row for each session seen.
+    """
+    rows = calls.filter(F.col("session_key") != "").withWatermark("started", delay)
+    keys = ["server_id", "session_key", *([F.window("started", span).alias("span")] if span else [])]
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_if("ok").alias("ok_count"),
         F.count_if(~F.col("ok")).alias("error_count"),

@@ -1,15 +1,12 @@
-"""Sinks of streaming queries, idempotent per micro-batch, and their drop counts."""
+"""Sinks of streaming queries, idempotent per micro-batch."""
 
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from callscope.operators.envelopes import pack_envelopes
-from callscope.operators.ordered import Sliced, with_running
-from callscope.options import HOOKS, BuildOptions
 
 
 def start(
@@ -47,38 +44,3 @@ def snapshot_batch(path: str) -> Callable[[DataFrame, int], None]:
         rows.write.mode("overwrite").parquet(target)
 
     return write
-
-
-def enrich_client(calls: DataFrame, lifecycle: DataFrame, options: BuildOptions) -> DataFrame:
-    """Fill the client of calls from a table of session lifecycle rows, as of their begin.
-
-    `lifecycle` has (server_id, session_id, ts, client); a NULL client is a close, which
-    forgets. Used per micro-batch with the lifecycle table seen so far; only sessions of
-    the batch are read from it.
-    """
-    keys, order = ["server_id", "session_id"], ["at", "pos"]
-    no_client = F.lit(None).cast(lifecycle.schema["client"].dataType)
-    known = lifecycle.join(calls.select(*keys).distinct(), keys, "left_semi").select(
-        *keys, F.col("ts").alias("at"), F.lit(-1).cast("bigint").alias("pos"),
-        F.col("client").alias("found"),
-    )
-    asked = calls.select(
-        *keys, F.col("started_at").alias("at"), F.col("source_seq").alias("pos"), no_client.alias("found")
-    )
-    is_call = F.col("pos") >= 0
-    closes = (~is_call & F.col("found").isNull()).cast("bigint")
-    epochs = with_running(Sliced(known.unionByName(asked), keys), keys, order, sums={"epoch": closes})
-    pick = {"last" if options.adapter == HOOKS else "first": {"remembered": F.col("found")}}
-    seen = with_running(epochs, [*keys, "epoch"], order, **pick).df
-    answers = seen.filter(is_call).select(*keys, F.col("pos").alias("source_seq"), "remembered")
-    joined = calls.join(answers, [*keys, "source_seq"], "left")
-    return joined.withColumn("client", F.coalesce("remembered", "client")).drop("remembered")
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a finished or running query dropped for being behind its watermark."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )

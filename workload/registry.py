@@ -56,7 +56,7 @@ FLAT = [
 ]
 
 _OWNED = "((server = 'srv-0' AND b_tool = 'click') OR (server = 'srv-1' AND b_tool = 'view'))"
-_EVENTS_SQL = f"""WITH {Q.LOG}, tool AS (
+EVENTS_SQL = f"""WITH {Q.LOG}, tool AS (
   SELECT *, CASE WHEN {_OWNED} AND b_thinking IS NOT NULL THEN left(b_args, length(b_args) - 1) || ',"telemetry":{{"agent_thinking":"' || b_thinking || '"'
       || CASE WHEN b_level IS NOT NULL THEN ',"frustration_level":"high"' ELSE '' END
       || CASE WHEN b_intent IS NOT NULL THEN ',"user_intent":"' || b_intent || '"' ELSE '' END || '}}}}' ELSE b_args END AS input,
@@ -83,12 +83,12 @@ SELECT sha256(actor || ' actor_identity ' || who), 'actor_identity', actor, NULL
 FROM (SELECT * FROM sightings WHERE who IS NOT NULL QUALIFY row_number() OVER (PARTITION BY server, actor ORDER BY t, seq) = 1)"""
 
 
-@register("message_log_events", _EVENTS_SQL)
+@register("message_log_events", EVENTS_SQL)
 def message_log_events(spark, sf):
     return build_events(V.messages(spark, sf), BuildOptions(), owned_tools(spark, sf)).selectExpr(*FLAT)
 
 
-@register("message_log_events_sliced", _EVENTS_SQL)
+@register("message_log_events_sliced", EVENTS_SQL)
 def message_log_events_sliced(spark, sf):
     """The same with a limit so low that every session counts as hot."""
     return build_events(V.messages(spark, sf), BuildOptions(hot_rows=5), owned_tools(spark, sf)).selectExpr(*FLAT)
@@ -330,7 +330,7 @@ def envelopes_packed(spark, sf):
     )
 
 
-@register("envelope_round_trip", _EVENTS_SQL.replace(_OWNED, "false"))
+@register("envelope_round_trip", EVENTS_SQL.replace(_OWNED, "false"))
 def envelope_round_trip(spark, sf):
     """Packed, written as JSON, read back: nothing may change."""
     packed = envelopes.pack_envelopes(_event_table(spark, sf)).select("server_id", "body")

@@ -1,8 +1,12 @@
-"""Streaming queries over the driver's tables; each must give its batch form's rows."""
+"""Streaming queries over the driver's tables; each must give its batch form's rows.
+
+The log comes as FILES files in time order, one in each micro-batch.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callscope.functions import ids
 from callscope.operators import quality
 from callscope.operators.envelopes import unpack_envelopes
 from callscope.operators.pairing import pair_calls
@@ -11,19 +15,42 @@ from callscope.schemas import MESSAGE_SCHEMA
 from callscope.session import scratch_dir
 from callscope.sources.readers import read_messages
 from callscope.streaming import build, sinks
+from callscope.streaming.log import LogStream
 from workload import sql as Q
 from workload import views as V
-from workload.registry import register
+from workload.registry import EVENTS_SQL, FLAT, owned_tools, register
 
 OPTIONS = BuildOptions(hot_rows=None)
+FILES = 8
+
+
+def with_file(log: DataFrame) -> DataFrame:
+    """The file of each row: equal spans of the log's time."""
+    span = log.agg(F.min(F.unix_micros("ts")).alias("low"), F.max(F.unix_micros("ts")).alias("high")).first()
+    if span.low is None:
+        return log.withColumn("file", F.lit(0))
+    number = F.floor((F.unix_micros("ts") - F.lit(span.low)) * FILES / F.lit(span.high - span.low + 1))
+    return log.withColumn("file", number.cast("int"))
+
+
+def message_files(spark: SparkSession, sf: str, late: str = "false") -> str:
+    """The message log as files in time order, for a stream to read one by one.
+
+    Rows for which `late` holds come with the last file.
+    """
+    dealt, path = scratch_dir(spark, "messages-by-file"), scratch_dir(spark, "messages")
+    file = F.when(F.expr(late), FILES - 1).otherwise(F.col("file"))
+    with_file(V.messages(spark, sf)).withColumn("file", file).write.partitionBy("file").parquet(dealt)
+    # A stream takes the oldest file first, so they are written in turn.
+    rows = spark.read.parquet(dealt)
+    for number in range(FILES):
+        part = rows.filter(F.col("file") == number).select(MESSAGE_SCHEMA.fieldNames())
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
-def message_files(spark: SparkSession, sf: str) -> str:
-    """The message log written as files in time order, for a stream to read one by one."""
-    path = scratch_dir(spark, "messages")
-    log = V.messages(spark, sf).repartitionByRange(4, "ts")
-    log.select(MESSAGE_SCHEMA.fieldNames()).write.parquet(path)
-    return path
+def log_stream(spark: SparkSession, path: str) -> DataFrame:
+    return read_messages(spark, path, streaming=True, files_per_trigger=1)
 
 
 def drain(stream: DataFrame, **sink) -> None:
@@ -40,58 +67,80 @@ def collected(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-# In the log's tables an id is reused within the horizon only after long pauses; one
-# second is above every duration and far below the pauses.
-HORIZON = "1 second"
+def processed(spark, sf, owned=None, late="false", only_calls=True) -> LogStream:
+    """The whole log taken in micro-batches, with the default delay."""
+    taken = LogStream(spark, scratch_dir(spark, "stream-log"), OPTIONS, owned=owned, only_calls=only_calls)
+    drain(log_stream(spark, message_files(spark, sf, late)), batch=taken)
+    taken.finish()
+    return taken
+
 
 _PAIRED = f"""WITH {Q.LOG} SELECT server AS server_id, session AS session_id, b_tool AS tool_name, seq AS source_seq,
   {Q.stamp('b_at')} AS started_at, {Q.stamp('t')} AS finished_at FROM paired"""
 
 
-def _streamed_calls(spark, sf):
-    messages = read_messages(spark, message_files(spark, sf), streaming=True)
-    return build.pair_calls_stream(messages, OPTIONS, horizon=HORIZON, delay="2 days")
-
-
 @register("stream_paired_calls", _PAIRED)
 def stream_paired_calls(spark, sf):
-    calls = collected(_streamed_calls(spark, sf))
-    from callscope.functions import ids
-
-    return calls.select(
+    return processed(spark, sf).calls().select(
         "server_id", "session_id", "tool_name", "source_seq",
         ids.rfc3339("started_at").alias("started_at"), ids.rfc3339("finished_at").alias("finished_at"),
     )
 
 
+@register("stream_log_events", EVENTS_SQL)
+def stream_log_events(spark, sf):
+    """The whole event table, with session starts and identities from calls as well."""
+    return processed(spark, sf, owned_tools(spark, sf), only_calls=False).events().selectExpr(*FLAT)
+
+
 @register("stream_tool_calls", f"""WITH {Q.LOG} SELECT sha256(actor || ' tool_call ' || {Q.uuid_of('server', 'epoch_us(t)', 'seq')}) AS event_id,
   b_tool AS tool_name, b_args AS input_preview, phase = 'end' AND failure IS NULL AND NOT tool_error AS ok FROM paired""")
 def stream_tool_calls(spark, sf):
-    events = collected(build.tool_calls_stream(_streamed_calls(spark, sf), OPTIONS))
+    """Finished calls as a stream of their own, built without state."""
+    taken = processed(spark, sf)
+    calls = spark.readStream.schema(taken.calls().schema).parquet(f"{taken.folder}/calls/*")
+    events = collected(build.tool_calls_stream(calls, OPTIONS))
     return events.selectExpr(
         "event_id", "metadata.tool_name AS tool_name", "metadata.input_preview AS input_preview", "ok"
     )
 
 
-@register("stream_session_inits", f"""WITH {Q.EV} SELECT DISTINCT server AS server_id, session AS session_id_hint,
-  sha256(CASE WHEN user_id % 10 = 0 THEN 'user-' ELSE 'seed-' END || user_id) AS actor_id FROM ev WHERE event_id % 7 = 0""")
+_FIRST = "QUALIFY row_number() OVER (PARTITION BY server, actor, {0} ORDER BY t, seq) = 1"
+
+
+@register("stream_session_inits", f"""WITH {Q.LOG} SELECT server AS server_id, session AS session_id_hint, actor AS actor_id, {Q.stamp('began')} AS started_at,
+  client AS client_name, run AS workflow_run_id FROM (SELECT * FROM sightings {_FIRST.format('session')})""")
 def stream_session_inits(spark, sf):
-    messages = read_messages(spark, message_files(spark, sf), streaming=True)
-    starts = build.session_inits_stream(build.starts_stream(messages, OPTIONS), delay="60 days")
-    return collected(starts).select("server_id", "session_id_hint", "actor_id")
+    events = processed(spark, sf, only_calls=False).events().filter("kind = 'session_init'")
+    return events.selectExpr(
+        "server_id", "session_id_hint", "actor_id", "started_at", "metadata.client_name AS client_name", "workflow_run_id"
+    )
 
 
-@register("stream_identities", f"""WITH {Q.EV} SELECT DISTINCT server AS server_id, 'user-' || user_id AS identifier FROM ev WHERE event_id % 7 = 0 AND user_id % 10 = 0""")
+@register("stream_identities", f"""WITH {Q.LOG} SELECT server AS server_id, who AS identifier, {Q.stamp('began')} AS started_at
+  FROM (SELECT * FROM sightings WHERE who IS NOT NULL {_FIRST.format('who')})""")
 def stream_identities(spark, sf):
-    messages = read_messages(spark, message_files(spark, sf), streaming=True)
-    known = build.identities_stream(build.starts_stream(messages, OPTIONS), delay="60 days")
-    return collected(known).selectExpr("server_id", "metadata.identifier AS identifier")
+    events = processed(spark, sf, only_calls=False).events().filter("kind = 'actor_identity'")
+    return events.selectExpr("server_id", "metadata.identifier AS identifier", "started_at")
+
+
+_LATE = "event_id % 97 = 0 AND phase = 'begin'"
+
+
+@register("stream_late_rows", f"""WITH {Q.LOG}, span AS (SELECT min(epoch_us(t)) AS low, max(epoch_us(t)) - min(epoch_us(t)) + 1 AS width FROM log),
+  filed AS (SELECT server, seq, t, {_LATE} AS held, (epoch_us(t) - low) * {FILES} // width AS file FROM log, span)
+SELECT server AS server_id, seq FROM filed
+WHERE held AND file < {FILES - 1} AND epoch_us(t) <= (SELECT max(epoch_us(t)) FROM filed WHERE NOT held AND file < {FILES - 1}) - 600000000""")
+def stream_late_rows(spark, sf):
+    """Requests that come with the last file, after their time was decided."""
+    taken = processed(spark, sf, late="seq div 4 % 97 = 0 AND phase = 'begin'")
+    return taken.late().select("server_id", "seq")
 
 
 @register("stream_deduplicated", f"""WITH {Q.EV} SELECT DISTINCT server AS server_id, session AS event_id FROM ev""")
 def stream_deduplicated(spark, sf):
     """Every message of a session arrives as the same event; one may stay."""
-    messages = read_messages(spark, message_files(spark, sf), streaming=True)
+    messages = log_stream(spark, message_files(spark, sf))
     events = messages.filter("phase = 'begin'").selectExpr(
         "server_id", "transport_session_id AS event_id", "ts AS recorded_at"
     )
@@ -101,56 +150,47 @@ def stream_deduplicated(spark, sf):
 @register("stream_session_rollup", f"""WITH {Q.EV} SELECT server AS server_id, session AS session_key, count(*) AS event_count,
   count(*) FILTER (WHERE event_type <> 'error') AS ok_count, count(*) FILTER (WHERE event_type = 'error') AS error_count FROM ev GROUP BY ALL""")
 def stream_session_rollup(spark, sf):
-    """Running counts; the last snapshot of each session is the whole session."""
-    messages = read_messages(spark, message_files(spark, sf), streaming=True)
+    """Running counts by session and day; the last snapshots of a session sum up to it."""
+    messages = log_stream(spark, message_files(spark, sf))
     calls = messages.filter("phase = 'begin'").selectExpr(
         "server_id", "transport_session_id AS session_key", "ts AS started",
         "get_json_object(params, '$.name') <> 'error' AS ok",
     )
     path = scratch_dir(spark, "stream-rollup")
-    drain(build.session_rollup_stream(calls), batch=sinks.snapshot_batch(path), mode="update")
-    snapshots = spark.read.parquet(path)
-    return snapshots.groupBy("server_id", "session_key").agg(
-        F.max_by("event_count", "micro_batch").alias("event_count"),
-        F.max_by("ok_count", "micro_batch").alias("ok_count"),
-        F.max_by("error_count", "micro_batch").alias("error_count"),
+    drain(build.session_rollup_stream(calls, span="1 day"), batch=sinks.snapshot_batch(path), mode="update")
+    last = spark.read.parquet(path).groupBy("server_id", "session_key", "span").agg(
+        *[F.max_by(n, "micro_batch").alias(n) for n in ("event_count", "ok_count", "error_count")]
+    )
+    return last.groupBy("server_id", "session_key").agg(
+        *[F.sum(n).alias(n) for n in ("event_count", "ok_count", "error_count")]
     )
 
 
 @register("stream_envelopes", f"""WITH {Q.LOG} SELECT sha256(actor || ' tool_call ' || {Q.uuid_of('server', 'epoch_us(t)', 'seq')}) AS event_id, 1 AS schema_version FROM paired""")
 def stream_envelopes(spark, sf):
     """Envelopes written per micro-batch, read back as events."""
-    path = scratch_dir(spark, "stream-envelopes")
-    drain(build.tool_calls_stream(_streamed_calls(spark, sf), OPTIONS), batch=sinks.envelope_batch(path))
+    taken, path = processed(spark, sf), scratch_dir(spark, "stream-envelopes")
+    calls = spark.readStream.schema(taken.calls().schema).parquet(f"{taken.folder}/calls/*")
+    drain(build.tool_calls_stream(calls, OPTIONS), batch=sinks.envelope_batch(path))
     documents = spark.read.parquet(path).filter("event_count > 0").select("body")
     return unpack_envelopes(documents).select("event_id", "schema_version")
 
 
 @register("stream_client_enrichment", f"WITH {Q.LOG} SELECT seq AS source_seq, server AS server_id, b_client AS client_name FROM paired")
 def stream_client_enrichment(spark, sf):
-    """Client of each streamed call, filled per micro-batch from the session lifecycle."""
-    log = V.messages(spark, sf)
-    lifecycle = log.filter("phase = 'close' OR method = 'initialize'").selectExpr(
-        "server_id", "transport_session_id AS session_id", "ts", "seq",
-        """CASE WHEN method = 'initialize' THEN named_struct(
-             'name', get_json_object(params, '$.clientInfo.name'), 'version', get_json_object(params, '$.clientInfo.version'),
-             'protocol_version', get_json_object(params, '$.protocolVersion'), 'capabilities', CAST(NULL AS STRING)) END AS client""",
-    )
-    path = scratch_dir(spark, "stream-clients")
-
-    def enrich(calls, batch_id):
-        rows = sinks.enrich_client(calls, lifecycle, OPTIONS)
-        rows.select("source_seq", "server_id", F.col("client.name").alias("client_name")).write.mode(
-            "overwrite").parquet(f"{path}/micro_batch={batch_id}")
+    """Client of each streamed call, out of the starts that the state remembers."""
+    return processed(spark, sf).calls().select("source_seq", "server_id", F.col("client.name").alias("client_name"))
 
-    drain(_streamed_calls(spark, sf), batch=enrich)
-    return spark.read.parquet(path).drop("micro_batch")
 
-
-@register("stream_equals_batch", "SELECT '' AS session_id, 0 AS source_seq, '' AS tool_name, '' AS side WHERE false")
+@register("stream_equals_batch", f"""WITH {Q.LOG} SELECT server AS server_id, count(*) AS calls, count(*) AS streamed, 0 AS different FROM paired GROUP BY ALL""")
 def stream_equals_batch(spark, sf):
-    """Rows that only the stream or only the batch job has: none."""
-    columns = ["session_id", "source_seq", "tool_name"]
-    streamed = collected(_streamed_calls(spark, sf)).select(columns)
+    """Calls of the batch job and of the stream by server, and rows that only one of them has."""
+    columns = ["server_id", "session_id", "source_seq", "tool_name"]
+    streamed = processed(spark, sf).calls().select(columns)
     batch = pair_calls(V.messages(spark, sf), OPTIONS).calls.select(columns)
-    return quality.table_difference(streamed, batch).select("session_id", "source_seq", "tool_name", "side")
+    different = quality.table_difference(streamed, batch).select("server_id", F.lit("different").alias("what"))
+    rows = batch.select("server_id", F.lit("calls").alias("what")).unionByName(
+        streamed.select("server_id", F.lit("streamed").alias("what"))).unionByName(different)
+    return rows.groupBy("server_id").agg(
+        *[F.count_if(F.col("what") == w).alias(w) for w in ("calls", "streamed", "different")]
+    )
