@@ -200,6 +200,90 @@ def event_hook(spark, sf):
     )
 
 
+_STAMPED = f"""{Q.stamp('b_at')} AS started_at, {Q.stamp('t')} AS finished_at, phase = 'cancel' AS cancelled FROM paired"""
+
+
+def _call_columns(calls):
+    return calls.select(
+        "server_id", "session_id", "tool_name", "source_seq", F.col("client.name").alias("client_name"),
+        ids.rfc3339("started_at").alias("started_at"), ids.rfc3339("finished_at").alias("finished_at"),
+        F.coalesce(F.col("error") == "context canceled", F.lit(False)).alias("cancelled"),
+    )
+
+
+@register("stdio_calls", f"""WITH {Q.LOG} SELECT server AS server_id, session AS session_id, b_tool AS tool_name, seq AS source_seq,
+  b_client AS client_name, {_STAMPED}""")
+def stdio_calls(spark, sf):
+    """Many processes of a server, all with the session `stdio` and equal request ids."""
+    log = V.messages(spark, sf).withColumns({
+        "process_id": F.col("transport_session_id"), "transport_session_id": F.lit("stdio"), "connection_id": F.lit(None).cast("string"),
+    })
+    return _call_columns(pair_calls(log, BuildOptions()).calls)
+
+
+@register("middleware_calls", f"""WITH {Q.LOG.replace("last_value(client IGNORE NULLS)", "first_value(client IGNORE NULLS)")}
+SELECT server AS server_id, session AS session_id, b_tool AS tool_name, seq AS source_seq, b_client AS client_name, {_STAMPED}""")
+def middleware_calls(spark, sf):
+    """As a middleware sees the log: the first client since the last close stays."""
+    return _call_columns(pair_calls(V.messages(spark, sf), BuildOptions(adapter="middleware")).calls)
+
+
+@register("lone_requests", f"""WITH {Q.LOG}, lone AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY t, seq) AS k FROM log WHERE phase IN ('end', 'cancel'))
+SELECT server AS server_id, event_type AS tool_name, seq AS source_seq, {Q.stamp('ts')} AS started_at FROM lone WHERE k = 1""")
+def lone_requests(spark, sf):
+    """Requests without session or connection, all with one request id, told apart by their uid."""
+    nothing = F.lit(None).cast("string")
+    log = V.messages(spark, sf).withColumns({
+        "request_uid": F.concat(F.lit("u"), F.floor(F.col("seq") / 4)), "request_id": F.lit("1"),
+        "transport_session_id": nothing, "connection_id": nothing,
+    })
+    calls = pair_calls(log, BuildOptions(adapter="middleware")).calls
+    return calls.select("server_id", "tool_name", "source_seq", ids.rfc3339("started_at").alias("started_at"))
+
+
+# --- from the log to reports ---------------------------------------------------------
+
+_LOGGED = f"""WITH events_ AS ({EVENTS_SQL}), calls AS (SELECT server_id, session_id_hint AS session_key, event_id AS call_id, actor_id, tool_name AS tool,
+  started_at AS started, duration_ms, ok, error, user_intent, frustration_level AS user_frustration, client_name, input_preview AS input,
+  workflow_run_id FROM events_ WHERE kind = 'tool_call')"""
+
+
+def logged_calls(spark, sf):
+    """Flat calls out of the events of the message log."""
+    return sessions.calls_of(build_events(V.messages(spark, sf), BuildOptions(), owned_tools(spark, sf)))
+
+
+@register("log_session_rollup", f"""{_LOGGED} SELECT server_id, session_key, count(*) AS event_count, count(*) FILTER (WHERE ok) AS ok_count,
+  count(*) FILTER (WHERE NOT ok) AS error_count, min(actor_id) AS actor_id FROM calls GROUP BY ALL""")
+def log_session_rollup(spark, sf):
+    rolled = sessions.session_rollup(logged_calls(spark, sf))
+    return rolled.select("server_id", "session_key", "event_count", "ok_count", "error_count", "actor_id")
+
+
+@register("log_tool_usage", f"""{_LOGGED} SELECT tool, count(*) AS calls, count(DISTINCT (server_id, session_key)) AS sessions,
+  count(DISTINCT actor_id) AS actors FROM calls GROUP BY ALL""")
+def log_tool_usage(spark, sf):
+    return usage.tool_usage(logged_calls(spark, sf))
+
+
+@register("log_errors", f"{_LOGGED} SELECT tool, error, count(*) AS failed FROM calls WHERE NOT ok GROUP BY ALL")
+def log_errors(spark, sf):
+    return usage.error_breakdown(logged_calls(spark, sf))
+
+
+@register("log_latency", f"""{_LOGGED} SELECT tool, count(*) AS calls, quantile_disc(duration_ms, 0.5) AS p50_ms, quantile_disc(duration_ms, 0.9) AS p90_ms,
+  quantile_disc(duration_ms, 0.99) AS p99_ms, max(duration_ms) AS max_ms FROM calls GROUP BY ALL""")
+def log_latency(spark, sf):
+    return usage.tool_latency(logged_calls(spark, sf))
+
+
+@register("log_user_traffic", f"{_LOGGED} SELECT tool, count(*) AS calls FROM calls WHERE workflow_run_id IS NULL GROUP BY ALL")
+def log_user_traffic(spark, sf):
+    """Calls of the log that no workflow run made."""
+    events = build_events(V.messages(spark, sf), BuildOptions(), owned_tools(spark, sf))
+    return sessions.calls_of(events, include_workflow=False).groupBy("tool").agg(F.count("*").alias("calls"))
+
+
 # --- ids and sessions --------------------------------------------------------------
 
 
