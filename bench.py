@@ -15,7 +15,7 @@ from callscope.session import build_session  # noqa: E402
 from workload import registry, streams  # noqa: E402, F401
 
 HEADLINE = [
-    "message_log_events", "paired_calls", "clean_documents", "clean_json", "secret_audit",
+    "message_log_events", "message_log_events_sliced", "log_session_rollup", "paired_calls", "clean_documents", "clean_json", "secret_audit",
     "stateless_sessions", "session_rollup", "session_traces", "intent_breakdown", "retries",
     "tool_latency", "ingest_report", "deduplicated_events", "delivery_report",
     "correlated_sessions", "catalog_coverage", "stream_paired_calls",
@@ -28,6 +28,12 @@ INPUTS = {
 }
 
 
+def shuffled(spark) -> int:
+    """Bytes that all tasks so far wrote to shuffles."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -38,20 +44,21 @@ def main() -> None:
     }
     spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, megabytes = {}, {}
     for name in HEADLINE:
         for _ in range(2):
-            started = time.perf_counter()
+            before, started = shuffled(spark), time.perf_counter()
             frame = registry.QUERIES[name](spark, sf)
             frame.write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - started, 3)
+            megabytes[name] = round((shuffled(spark) - before) / 1e6, 2)
     rates = {}
     for name, source in INPUTS.items():
         rows = spark.read.parquet(f"{sf}/{source}.parquet").count()
         rates[name] = round(rows / seconds[name])
     print(json.dumps({
         "metric": "headline queries, warm run", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "rows_per_sec": rates, "sf": os.path.basename(sf.rstrip("/")),
+        "queries": seconds, "rows_per_sec": rates, "shuffle_mb": megabytes, "sf": os.path.basename(sf.rstrip("/")),
         "cpus": cpus, "settings": settings,
     }))
     spark.stop()

@@ -16,10 +16,11 @@ TIME_ORDER = ["started", "call_id"]
 PATH_PIECE = 100
 
 
-def calls_of(events: DataFrame, include_workflow: bool = True) -> DataFrame:
+def calls_of(events: DataFrame, include_workflow: bool = True, capability: str = "capability") -> DataFrame:
     """Flat `tool_call` rows: session, actor, tool, times, outcome, telemetry.
 
-    Without `include_workflow`, synthetic traffic stays out.
+    Without `include_workflow`, synthetic traffic stays out. The text of a capability
+    request is its argument `capability`.
     """
     m = F.col("metadata")
     rows = events.filter(F.col("kind") == S.TOOL_CALL)
@@ -41,6 +42,7 @@ def calls_of(events: DataFrame, include_workflow: bool = True) -> DataFrame:
         m["client_name"].alias("client_name"),
         m["input_preview"].alias("input"),
         F.coalesce(m["capability_request"], F.lit(False)).alias("capability_request"),
+        F.when(m["capability_request"], F.get_json_object(m["input_preview"], f"$.{capability}")).alias("capability"),
         "workflow_run_id",
     )
 

@@ -284,6 +284,18 @@ def log_user_traffic(spark, sf):
     return sessions.calls_of(events, include_workflow=False).groupBy("tool").agg(F.count("*").alias("calls"))
 
 
+@register("log_unmet_demand", f"""WITH {Q.LOG} SELECT 'need ' || b_tool || ' <x>' AS capability, count(*) AS requests, count(DISTINCT actor) AS actors
+  FROM paired WHERE b_tool IN ('signup', 'error') GROUP BY ALL""")
+def log_unmet_demand(spark, sf):
+    """Capability requests of the log, by the text in their arguments."""
+    log = V.messages(spark, sf).withColumn(
+        "params", F.expr("""CASE WHEN get_json_object(params, '$.name') IN ('signup', 'error') AND phase = 'begin' THEN concat('{"name":"',
+            get_json_object(params, '$.name'), '","arguments":{"capability":" Need ', get_json_object(params, '$.name'), ' <x> "}}') ELSE params END""")
+    ).withColumn("capability_provenance", F.col("phase").isin("end", "cancel") & (F.col("method") == "tools/call"))
+    calls = sessions.calls_of(build_events(log, BuildOptions()))
+    return usage.unmet_demand(calls.filter("tool IN ('signup', 'error')"))
+
+
 # --- ids and sessions --------------------------------------------------------------
 
 
