@@ -193,6 +193,49 @@ def test_one_document_of_each_component_stays(spark, hard):
     assert kept.columns == docs.columns and Counter(i for i in ids if i is not None) == Counter(c for c in components if c is not None) + Counter([2])
 
 
+def _copies(n: int):
+    """(doc_id, text): n texts of random words, each with three copies at similarities about 0.7 to 1."""
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = []
+    for i in range(n):
+        words = _prose(1000 + i, 60 + i % 200, vocabulary).split()
+        for copy in range(4):
+            edited, changes = list(words), copy * (1 + i % 3) * len(words) // 150
+            for j in range(changes):
+                edited[(j * 2654435761 + 7919 * i + 104729 * copy) % len(words)] = f"x{i}-{copy}-{j}"
+            rows.append((4 * i + copy, " ".join(edited)))
+    return rows
+
+
+def test_stage_drops_near_copies_at_similarity_four_fifths(spark):
+    rows = _copies(400)
+    sets = {i: {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} for i, t in rows for w in [t.split()]}
+    root, similar = {i: i for i, _ in rows}, []
+    for i in range(0, len(rows), 4):  # texts of different words share no shingle
+        for a in range(i, i + 4):
+            for b in range(i, a):
+                if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                    similar.append((b, a))
+                    high, low = max(root[a], root[b]), min(root[a], root[b])
+                    root |= {x: low for x in range(i, i + 4) if root[x] == high}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    want = {i for i, r in root.items() if i == r}
+    assert 100 < len(similar) and want <= kept  # nothing is dropped that has no copy
+    missed = len(kept - want) / (len(rows) - len(want))
+    assert missed <= 0.02
+    plain = {r.doc_id for r in near_duplicates.keep_one(docs).collect()}
+    assert len(plain - want) > 20 * max(1, len(kept - want))  # the query's constants miss most
+
+
+def test_texts_below_the_similarity_stay(spark):
+    words = [f"w{i}" for i in range(100)]
+    # 5 of 96 shingles go with each word changed in the middle: 91 / 101 = 0.90, and 81 / 111 = 0.73 for three.
+    texts = [" ".join(words), " ".join(["X" if i == 50 else w for i, w in enumerate(words)]), " ".join(["Y" if i in (20, 50, 80) else w for i, w in enumerate(words)])]
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[0].upper()), (4, ""), (5, None), (6, " ")], "doc_id long, text string")
+    assert {r.doc_id for r in near_duplicates.keep_one(docs, shingle=5, similarity=0.8).collect()} == {0, 2, 4}
+
+
 def test_edited_texts_and_likeness(spark, hard):
     docs = [d for d in _documents() if d[0] is not None and d[0] != 2]
     frame = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
