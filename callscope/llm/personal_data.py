@@ -13,9 +13,9 @@ half, each kind gets the lowest threshold at which the labelled proposals above
 base span or a better proposal go.
 
 All work on texts is built-in functions. Since features are small numbers, Spark reduces the
-proposals of a sample to counts by feature pattern, at most `MAX_PATTERNS`, and the trees are
-fitted on those counts; they come back as one column expression. The sample is about
-`TRAIN_DOCS` documents, those with the smallest hash of doc_id. No rows are shuffled but counts.
+proposals of all documents to counts by feature pattern, at most `MAX_PATTERNS`, and the trees are
+fitted on those counts; they come back as one column expression. Both halves are counted
+whole, so that a rare kind is learned and calibrated at any size. No rows are shuffled but counts.
 
 Cases: a null text is empty; without labelled proposals only base spans are returned; repeated
 rows are judged alike; equal scores prefer the earlier, then the longer span; an empty table
@@ -32,7 +32,6 @@ from callscope.llm.common import read_table, spare_name
 from callscope.llm.registry import register
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 40_000
 MAX_PATTERNS = 100_000
 PRECISION = 0.95
 ROUNDS = 12
@@ -226,7 +225,10 @@ def _leaf(tree, features: tuple[int, ...]) -> float:
 
 
 def margin(trees: list, features: tuple[int, ...]) -> float:
-    return sum(_leaf(t, features) for t in trees)
+    total = 0.0  # added one by one as in `_margin_column`; sum() rounds otherwise
+    for t in trees:
+        total += _leaf(t, features)
+    return total
 
 
 def _margin_column(trees: list, proposal: Column) -> Column:
@@ -256,14 +258,11 @@ def thresholds(trees: list, patterns: list[tuple[tuple[int, ...], int, int]], pr
     return out
 
 
-def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> tuple[list, list[float]]:
-    """Trees and thresholds from about `rows` documents (doc_id, text)."""
-    n = docs.count()
-    share = min(1.0, rows / n) if n else 0.0
-    fraction = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 11) / F.lit(float(1 << 53))
+def train(docs: DataFrame) -> tuple[list, list[float]]:
+    """Trees from one half of the documents (doc_id, text), thresholds from the other."""
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2))
-    sample = docs.filter(fraction < share).select(fold.alias("fold"), F.explode(proposals(F.coalesce("text", F.lit("")))).alias("p")).filter("p.label >= 0")
-    counted = sample.groupBy("fold", *[F.col(f"p.{f}").alias(f) for f in FEATURES]).agg(
+    labelled = docs.select(fold.alias("fold"), F.explode(proposals(F.coalesce("text", F.lit("")))).alias("p")).filter("p.label >= 0")
+    counted = labelled.groupBy("fold", *[F.col(f"p.{f}").alias(f) for f in FEATURES]).agg(
         F.sum("p.label").alias("yes"), F.sum(1 - F.col("p.label")).alias("no")
     ).limit(MAX_PATTERNS + 1).collect()
     if len(counted) > MAX_PATTERNS:
@@ -306,9 +305,9 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def detect(docs: DataFrame, rows: int = TRAIN_DOCS) -> tuple[DataFrame, str, str]:
+def detect(docs: DataFrame) -> tuple[DataFrame, str, str]:
     """`docs` with two columns of spans, base ones and all of them, and the columns' names."""
-    trees, least = train(docs.select("doc_id", "text"), rows)
+    trees, least = train(docs.select("doc_id", "text"))
     base, every = spare_name(docs, "base_spans"), spare_name(docs, "all_spans")
     text = F.coalesce(F.col("text"), F.lit(""))
     marked = docs.withColumn(base, base_spans(text))
@@ -316,9 +315,9 @@ def detect(docs: DataFrame, rows: int = TRAIN_DOCS) -> tuple[DataFrame, str, str
     return marked.withColumn(every, F.array_sort(F.concat(F.col(base), added))), base, every
 
 
-def redact(docs: DataFrame, rows: int = TRAIN_DOCS) -> DataFrame:
+def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every span of `text` replaced by its kind in brackets; overlapping spans are one."""
-    found_in, base, every = detect(docs, rows)
+    found_in, base, every = detect(docs)
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
     by_start = F.array_sort(F.transform(F.col(every), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
 
