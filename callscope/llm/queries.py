@@ -4,6 +4,7 @@ import corpus_pipeline
 from callscope.llm import (  # noqa: F401  each registers its query
     decontamination,
     filter_audit,
+    importance,
     language,
     mixing,
     near_duplicates,
