@@ -3,6 +3,7 @@
 import corpus_pipeline
 from callscope.llm import (  # noqa: F401  each registers its query
     decontamination,
+    embedding_links,
     filter_audit,
     importance,
     language,
