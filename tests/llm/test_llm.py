@@ -43,7 +43,7 @@ def _documents():
     return rows
 
 
-def _write(folder, docs, pages, items):
+def _write(folder, docs, pages, items, vectors):
     def table(name, names, kinds, rows, extra):
         columns = {n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds, strict=True))}
         pq.write_table(pa.table(columns | {e: pa.array(["x"] * len(rows), pa.string()) for e in extra}), f"{folder}/{name}.parquet")
@@ -52,6 +52,8 @@ def _write(folder, docs, pages, items):
     table("documents", ["doc_id", "text", "lang", "source", "n_chars"], [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()], [(*r, len(r[1] or "")) for r in docs], clash)
     table("pages", ["page_id", "url", "html"], [pa.int64(), pa.string(), pa.string()], pages, ["rule", "path", "digest", "payload"])
     table("benchmark", ["item_id", "text"], [pa.int64(), pa.string()], items, ["words"])
+    table("labels", ["doc_id", "quality", "toxic"], [pa.int64(), pa.int32(), pa.int32()], [(d[0], i % 2, int(i % 3 == 0)) for i, d in enumerate(docs[::2])], ["good", "n"])
+    table("embeddings", ["vec_id", "embedding", "label"], [pa.int64(), pa.list_(pa.float32()), pa.int32()], vectors, ["copies", "cell", "rep"])
 
 
 PAGES = [
@@ -63,25 +65,32 @@ PAGES = [
 ITEMS = [(1, ITEM), (2, "two"), (3, None), (4, ""), (5, ITEM), (None, _prose(61, 12)), (6, "never seen words here")]
 
 
+VECTORS = [
+    (3, [1.0, 0.0, 0.0, 0.0], 1), (1, [2.0, 0.1, 0.0, 0.0], 2), (2, [0.0, 1.0, 0.0, 0.0], 1), (7, None, 1), (8, [], 1), (9, [0.0] * 4, 1), (10, [1.0, None, 0.0, 0.0], 1),
+    (11, [1.0, float("nan"), 0.0, 0.0], 1), (12, [float("inf"), 0.0, 0.0, 0.0], 1), (13, [1.0, 0.0], 1), (14, [1.0, 0.01], 1), (None, [0.0, 1.0, 0.0, 0.0], 1),
+    (None, [0.0, 0.0, 1.0, 0.0], None), (3, [1.0, 0.0, 0.0, 0.0], 1), (3, [0.0, 0.0, 0.0, -1.0], 1), (20, [1e-30, 0.0, 0.0, 0.0], 1), (21, [1e30, 1e29, 0.0, 0.0], 1), (22, [5.0], 0), (23, [-5.0], 0), (24, [0.5], 0),
+]
+
+
 @pytest.fixture(scope="module")
 def hard(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("hard"))
-    _write(folder, _documents(), PAGES, ITEMS)
+    _write(folder, _documents(), PAGES, ITEMS, VECTORS)
     return folder
 
 
 @pytest.fixture(scope="module")
 def empty(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    _write(folder, [], [], [])
+    _write(folder, [], [], [], [])
     return folder
 
 
 OPS = sorted((n for n in QUERIES if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in OPS] == list(range(1, 11)) and "pipeline" in QUERIES
+def test_all_operators_and_the_pipeline_are_registered():
+    assert [int(n[2:].split("_")[0]) for n in OPS] == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", [*OPS, "pipeline"])
