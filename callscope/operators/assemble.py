@@ -12,7 +12,8 @@ from callscope.functions.text import (
     truncate_utf8,
 )
 from callscope.operators import hooks
-from callscope.operators.ordered import keep_first
+from callscope.operators.as_of import as_of_join
+from callscope.operators.ordered import HOT_ROWS, keep_first
 from callscope.options import HOOKS, BuildOptions
 
 
@@ -63,15 +64,22 @@ def _event(df: DataFrame, emit_pos: int | str, metadata: str, **values: str | Co
     return df.select(*fields, "server_id", "recorded_at", "source_seq", F.expr(str(emit_pos)).alias("emit_pos"))
 
 
-def join_ownership(calls: DataFrame, owned: DataFrame | None) -> DataFrame:
-    """Add `owned` from a table of (server_id, tool_name) that own their telemetry field.
+def join_ownership(calls: DataFrame, owned: DataFrame | None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Add `owned`: whether the tool of a call owns its telemetry field.
 
-    The table holds one row per tool; its size decides between broadcast and shuffle.
+    `owned` is either a table of the (server_id, tool_name) that do, whose size decides
+    between broadcast and shuffle, or a history of registrations (`ownership_history`), of which
+    each call sees the last one before it began. A tool that was not registered yet owns nothing.
     """
     if owned is None:
         return calls.withColumn("owned", F.lit(False))
-    marks = owned.select("server_id", "tool_name").distinct().withColumn("owned", F.lit(True))
-    joined = calls.join(marks, ["server_id", "tool_name"], "left")
+    if "registered_at" in owned.columns:
+        joined = as_of_join(
+            calls, owned, ["server_id", "tool_name"], ("started_at", "started_seq"), ("registered_at", "registered_seq"), ["owned"], hot_rows
+        )
+    else:
+        marks = owned.select("server_id", "tool_name").distinct().withColumn("owned", F.lit(True))
+        joined = calls.join(marks, ["server_id", "tool_name"], "left")
     return joined.withColumn("owned", F.coalesce("owned", F.lit(False)))
 
 
@@ -124,7 +132,7 @@ def build_tool_calls(
     calls: DataFrame, options: BuildOptions, owned: DataFrame | None = None
 ) -> DataFrame:
     """`tool_call` events of finished calls."""
-    df = with_candidate(join_ownership(calls, owned), options)
+    df = with_candidate(join_ownership(calls, owned, options.hot_rows), options)
     if options.event_hook is not None:
         df = hooks.with_event_hook(df, options.event_hook)
     actor = ids.actor_id("actor_seed")
@@ -182,14 +190,6 @@ def first_sightings(calls: DataFrame, starts: DataFrame) -> DataFrame:
 RECORD_ORDER = ["recorded_at", "source_seq"]
 
 
-def synthesize_inits(sightings: DataFrame) -> DataFrame:
-    """One start per actor and session, the first sighting; blank sessions only explicitly."""
-    named = sightings.filter(F.col("session_id") != "")
-    first = keep_first(named, ["server_id", "actor_id", "session_id"], RECORD_ORDER)
-    blank = sightings.filter((F.col("session_id") == "") & F.col("explicit"))
-    return first.unionByName(blank)
-
-
 def build_session_inits(inits: DataFrame) -> DataFrame:
     """`session_init` events; their id depends on actor and session alone."""
     df = inits.withColumns({
@@ -209,14 +209,6 @@ def build_session_inits(inits: DataFrame) -> DataFrame:
     )
 
 
-def first_identities(sightings: DataFrame) -> DataFrame:
-    """The first sighting of each identified actor."""
-    named = sightings.filter(F.col("identifier").isNotNull()).select(
-        "server_id", "actor_id", "identifier", "started_at", *RECORD_ORDER
-    )
-    return keep_first(named, ["server_id", "actor_id"], RECORD_ORDER)
-
-
 def build_identities(identities: DataFrame) -> DataFrame:
     """`actor_identity` events, addressed by the identifier they carry."""
     df = identities.withColumns({
@@ -233,12 +225,11 @@ def build_identities(identities: DataFrame) -> DataFrame:
     )
 
 
-def first_of_each(sightings: DataFrame) -> DataFrame:
-    """The sightings that become events, with their `role`: `init` or `identity`.
+def session_roles(sightings: DataFrame) -> DataFrame:
+    """Each sighting once for its session and, if identified, once for its actor.
 
-    Each sighting stands for its session and, if identified, for its actor; the first
-    one of each is kept in a single shuffle. Blank sessions start only explicitly, and
-    then every time.
+    `role` is `init` or `identity`, `about` what it is the first of. Blank sessions start
+    only explicitly, and then every time.
     """
     roles = F.expr(
         """filter(array(
@@ -247,10 +238,14 @@ def first_of_each(sightings: DataFrame) -> DataFrame:
           CASE WHEN identifier IS NOT NULL THEN named_struct('role', 'identity', 'about', '') END
         ), r -> r IS NOT NULL)"""
     )
-    each = sightings.withColumn("actor_id", ids.actor_id("actor_seed")).select(
+    return sightings.withColumn("actor_id", ids.actor_id("actor_seed")).select(
         "*", F.explode(roles).alias("__role")
     ).select("*", "__role.role", "__role.about").drop("__role")
-    return keep_first(each, ["server_id", "actor_id", "role", "about"], RECORD_ORDER)
+
+
+def first_of_each(sightings: DataFrame) -> DataFrame:
+    """The sightings that become events: the first of each session and identity, in one shuffle."""
+    return keep_first(session_roles(sightings), ["server_id", "actor_id", "role", "about"], RECORD_ORDER)
 
 
 def build_session_events(firsts: DataFrame) -> DataFrame:

@@ -66,6 +66,19 @@ def owned_tools(catalog: DataFrame) -> DataFrame:
     return latest_registrations(decisive).filter(F.col("status") == "owned").select(*TOOL)
 
 
+def ownership_history(catalog: DataFrame, seq: str | None = None) -> DataFrame:
+    """(server_id, tool_name, registered_at, registered_seq, owned): each registration that decides.
+
+    An unreadable schema changes nothing about ownership. `seq` is a column that orders
+    registrations among the rows of a log at the same instant; without one, and among equal
+    ones, the larger schema text counts, as in `latest_registrations`.
+    """
+    number = F.lit(None).cast("long") if seq is None else F.col(seq).cast("long")
+    decisive = audit_catalog(catalog).filter(F.col("status") != "unextendable")
+    at = [F.col("server_id"), F.col("tool_name"), F.col("registered_at"), number.alias("registered_seq")]
+    return decisive.groupBy(*at).agg(F.max_by(F.col("status") == "owned", "input_schema").alias("owned"))
+
+
 def catalog_coverage(catalog: DataFrame) -> DataFrame:
     """Share of tools in force that carry the telemetry contract, per server."""
     carries = (F.col("status") == "decorated") & F.col("has_hint")

@@ -200,6 +200,7 @@ def finish_call(pairs: DataFrame, options: BuildOptions) -> DataFrame:
         F.col("prev_context_telemetry").alias("telemetry"),
         ids.workflow_run_id("prev_headers", options.workflow_header).alias("workflow_run_id"),
         F.coalesce("capability_provenance", marked, F.lit(False)).alias("capability_request"),
+        F.col("prev_seq").alias("started_seq"),
     )
 
 

@@ -74,6 +74,7 @@ CALL_SCHEMA = _struct(
     telemetry=TELEMETRY_SCHEMA,
     workflow_run_id=_S,
     capability_request=_B,
+    started_seq=_L,  # place of the request among the rows of its log, where that is known
 )
 
 METADATA_SCHEMA = _struct(

@@ -94,6 +94,40 @@ def message_log_events_sliced(spark, sf):
     return build_events(V.messages(spark, sf), BuildOptions(hot_rows=5), owned_tools(spark, sf)).selectExpr(*FLAT)
 
 
+# The registration in force when a call began: the last one by time and number.
+_REGISTERED = """registered AS (SELECT server AS at_server, event_type AS at_tool, epoch_us(ts)::HUGEINT * 1099511627776 + event_id * 4 + event_id % 3 AS place,
+    event_id // 11 % 5 IN (0, 3) AS owned_then FROM ev WHERE event_id % 11 = 0 AND event_id // 11 % 5 <> 1),
+  owned_calls AS (SELECT p.*, coalesce(owned_then, false) AS owned_now FROM paired p ASOF LEFT JOIN registered r
+    ON server = at_server AND b_tool = at_tool AND epoch_us(b_at)::HUGEINT * 1099511627776 + b_seq >= place)"""
+_AS_OF_EVENTS_SQL = EVENTS_SQL.replace(f"WITH {Q.LOG}, tool AS", f"WITH {Q.LOG}, {_REGISTERED}, tool AS").replace("answered FROM paired)", "answered FROM owned_calls)").replace(_OWNED, "owned_now")
+
+
+def ownership_history(spark, sf):
+    return catalog.ownership_history(V.registrations(spark, sf), "seq")
+
+
+@register("message_log_events_as_of", _AS_OF_EVENTS_SQL)
+def message_log_events_as_of(spark, sf):
+    """The whole event table where tools change hands in mid-log: each call has the ownership of its time."""
+    return build_events(V.messages(spark, sf), BuildOptions(), ownership_history(spark, sf)).selectExpr(*FLAT)
+
+
+_OWNED_AS_OF_SQL = f"""WITH {Q.LOG}, {_REGISTERED} SELECT server AS server_id, b_tool AS tool_name, b_seq AS started_seq, owned_now AS owned FROM owned_calls"""
+
+
+@register("ownership_as_of", _OWNED_AS_OF_SQL)
+def ownership_as_of(spark, sf):
+    calls = pair_calls(V.messages(spark, sf), BuildOptions()).calls
+    return join_ownership(calls, ownership_history(spark, sf)).select("server_id", "tool_name", "started_seq", "owned")
+
+
+@register("ownership_as_of_sliced", _OWNED_AS_OF_SQL)
+def ownership_as_of_sliced(spark, sf):
+    """The same with every tool cut into slices."""
+    calls = pair_calls(V.messages(spark, sf), BuildOptions()).calls
+    return join_ownership(calls, ownership_history(spark, sf), hot_rows=50).select("server_id", "tool_name", "started_seq", "owned")
+
+
 @register("paired_calls", f"""WITH {Q.LOG}
 SELECT server AS server_id, session AS session_id, b_tool AS tool_name, b_seq + seq - b_seq AS source_seq,
   {Q.stamp('b_at')} AS started_at, {Q.stamp('t')} AS finished_at, phase = 'cancel' AS cancelled FROM paired""")
