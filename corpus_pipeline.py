@@ -6,9 +6,8 @@ folder and hands it to the next one.
 
 - language: documents of no known language go (null texts, texts without letters, or a
   posterior below 0.5). The model learns from the stage's own labelled rows.
-- near_duplicates: of each component of near copies (Jaccard similarity of five-word shingles of
-  0.8 or more, searched by SimHash pivots, verified by texts) the document with the smallest
-  doc_id stays.
+- near_duplicates: of each component of documents whose SimHash fingerprints are linked (three-word
+  shingles, at most two bits apart) the document with the smallest doc_id stays.
 - decontamination: documents that hold a window of a benchmark item go.
 - mixing: documents are repeated or left out so that sources reach their target words.
 - sharding: the rows in Hilbert order, cut into shards.
@@ -28,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_duplicates.keep_one(docs, shingle=5, similarity=0.8)
+    return near_duplicates.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
