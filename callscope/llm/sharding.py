@@ -6,13 +6,17 @@ order are the shards, so that each shard, and each file of one, covers a small b
 dimensions and a reader's filter on any of them skips most files. Law `rows`: the counts of
 shards are at most one apart.
 
-Scale: the cuts come from mergeable quantile sketches, (2^bits - 1) numbers a dimension. Rows are
-dealt out by ranges of (index, hash, id), so that a cell with a third of all rows is split
-between tasks, and are numbered where they lie; one count for each partition comes to the driver.
+Numbers are cut at quantiles, strings at equal steps of the rank among their distinct values.
+
+Scale: the cuts of numbers come from mergeable quantile sketches, those of strings from the
+distributed order of their distinct values: (2^bits - 1) of each come to the driver. Only narrow
+rows of keys are ordered and numbered, dealt out by ranges of all keys, so that a cell with a third of
+all rows is split between tasks; whole texts move once, to the task their key belongs to. One
+count for each task comes to the driver.
 
 Cases: null in a dimension sorts before every value; a null text has size 1 and the checksum of
-the empty text; equal points are ordered by a hash of doc_id, then by doc_id and checksum, and
-rows equal in all of these are interchangeable; an empty table gives an empty table; with fewer
+the empty text; equal points are ordered by a hash of doc_id, then by doc_id and checksum (the stage:
+by a hash of doc_id and text), and rows equal in all of these are interchangeable; an empty table gives an empty table; with fewer
 rows than shards some shards are empty.
 """
 
@@ -26,6 +30,8 @@ from callscope.llm.registry import register
 
 SHARDS = 8
 BITS = 5
+#: Bytes of text one task of the stage writes, about.
+TASK_BYTES = 128 << 20
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -62,31 +68,30 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index.astype(np.int64)
 
 
-def string_number(value: Column) -> Column:
-    """A number that orders strings like their first six bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def number_cell(df: DataFrame, values: Column, cells: int) -> Column:
+    """The cell of a number, cut at the quantiles of all rows' numbers."""
+    shares = F.array(*[F.lit((i + 1) / cells) for i in range(cells - 1)])
+    return _cell(values.cast("double"), df.agg(F.percentile_approx(values.cast("double"), shares, F.lit(10_000))).first()[0] or [])
 
 
-def curve_column(df: DataFrame, dimensions: dict[str, Column], bits: int = BITS) -> Column:
-    """Hilbert index of each row of `df` over `dimensions`: numbers, quantised by quantiles."""
-    if not 0 < bits * len(dimensions) < 64:
-        raise ValueError("bits times dimensions must be 1 to 63")
-    cells = (1 << bits) - 1
-    shares = F.array(*[F.lit((i + 1) / (cells + 1)) for i in range(cells)])
-    cuts = df.agg(*[F.percentile_approx(c, shares, F.lit(10_000)).alias(n) for n, c in dimensions.items()]).first()
-    edges = [np.array(cuts[name] or [], dtype=np.float64) for name in dimensions]
+def string_cell(df: DataFrame, values: Column, cells: int) -> Column:
+    """The cell of a string, cut at equal steps of the rank among the distinct values.
+
+    Up to `cells` values have a cell each, and common prefixes change nothing. Only the cuts
+    come to the driver.
+    """
+    distinct = df.select(values.cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+    placed, n = ordered_rows(distinct, shuffle_partitions(df.sparkSession), F.col("value"))
+    step = F.expr(f"(position * {cells}L) DIV {max(n, 1)}L != ((position - 1) * {cells}L) DIV {max(n, 1)}L")
+    return _cell(values.cast("string"), sorted(r.value for r in placed.filter(step & (F.col("position") > 0)).select("value").collect()))
 
-    @F.pandas_udf("long")
-    def index(points: pd.DataFrame) -> pd.Series:
-        grid = np.empty((len(points), len(edges)), dtype=np.uint64)
-        for d, edge in enumerate(edges):
-            values = points.iloc[:, d].to_numpy(dtype=np.float64, na_value=np.nan)
-            cell = np.searchsorted(edge, values, side="right")
-            grid[:, d] = np.where(np.isnan(values), 0, cell)
-        return pd.Series(hilbert_index(grid, bits))
 
-    return index(F.struct(*[c.cast("double").alias(f"d{i}") for i, c in enumerate(dimensions.values())]))
+def _cell(value: Column, cuts: list) -> Column:
+    """How many of the cuts the value has reached; 0 for null."""
+    reached = F.lit(0)
+    for cut in cuts:
+        reached = reached + (value >= F.lit(cut)).cast("int")
+    return F.coalesce(reached, F.lit(0))
 
 
 def text_size(text: Column) -> Column:
@@ -101,37 +106,73 @@ def dimensions_of(size: Column) -> dict[str, Column]:
     return {"source": string_number(F.col("source")), "lang": string_number(F.col("lang")), "size": size.cast("double")}
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+def curve_column(df: DataFrame, dimensions: dict[str, Column], bits: int = BITS) -> Column:
+    """Hilbert index of each row of `df` over `dimensions`, numbers or strings, quantised each."""
+    if not 0 < bits * len(dimensions) < 64:
+        raise ValueError("bits times dimensions must be 1 to 63")
+    kinds = dict(df.select(*[c.alias(n) for n, c in dimensions.items()]).dtypes)
+    cells = [(string_cell if kinds[n] == "string" else number_cell)(df, c, 1 << bits) for n, c in dimensions.items()]
+
+    @F.pandas_udf("long")
+    def index(points: pd.DataFrame) -> pd.Series:
+        return pd.Series(hilbert_index(points.to_numpy(dtype=np.uint64), bits))
+
+    return index(F.struct(*[c.alias(f"d{i}") for i, c in enumerate(cells)]))
+
+
+def dimensions_of(size: Column) -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "size": size}
+
+
+def interval_of(cuts: list[tuple[int, int]], first: Column, second: Column) -> Column:
+    """The last of the ascending `cuts` that (first, second) has reached; -1 before all of them."""
+    at = np.array(cuts, dtype=np.int64).reshape(-1, 2)
+
+    @F.pandas_udf("int")
+    def intervals(one: pd.Series, two: pd.Series) -> pd.Series:
+        high, low = np.concatenate((at[:, 0], one)), np.concatenate((at[:, 1], two))
+        is_cut = np.arange(len(high)) < len(at)
+        order = np.lexsort((~is_cut, low, high))
+        reached = np.empty(len(high), dtype=np.int32)
+        reached[order] = np.cumsum(is_cut[order]) - 1
+        return pd.Series(reached[len(at):])
+
+    return intervals(first, second)
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, task_bytes: int = TASK_BYTES) -> DataFrame:
     """`docs` in curve order with `shard` and `slot`, which replace columns of these names.
 
-    `docs` has doc_id, text, lang and source; all its columns travel with the rows once.
+    `docs` has doc_id, text, lang and source. A narrow table of the rows' keys is numbered first;
+    it gives the cuts between tasks and the rows before each of them, so that the texts move once,
+    straight to their place, and are numbered where they lie.
     """
     spark = docs.sparkSession
-    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    docs = docs.select(*kept)
-    names = [spare_name(docs, f"shard_{x}") for x in ("curve", "tie", "crc")]
-    curve, tie, crc = names
-    with_keys = docs.withColumns({
-        curve: curve_column(docs, dimensions_of(text_size(F.col("text"))), bits),
-        tie: F.xxhash64("doc_id"),
-        crc: text_crc(F.col("text")),
-    })
-    return _cut(with_keys, [F.col(curve), F.col(tie), F.col("doc_id"), F.col(crc)], shards, shuffle_partitions(spark)).drop(*names)
-
-
-def _cut(rows: DataFrame, keys: list[Column], shards: int, partitions: int) -> DataFrame:
-    """Runs of the order of `keys` whose counts are at most one apart."""
-    moved = rows
-    clash = [c for c in rows.columns if c.lower() == "position"]
-    if clash:
-        moved = rows.withColumnRenamed(clash[0], spare_name(rows, "kept_position"))
-    placed, n = ordered_rows(moved, partitions, *keys)
-    total = max(n, 1)
-    number = F.expr(f"CAST((({shards}L * (position + 1)) - 1) DIV {total}L AS INT)")
-    numbered = placed.withColumn("shard", number).withColumn("slot", F.expr(f"position - (CAST(shard AS BIGINT) * {total}L) DIV {shards}L")).drop("position")
-    if clash:
-        numbered = numbered.withColumnRenamed(spare_name(rows, "kept_position"), clash[0])
-    return numbered
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in ("shard", "slot")])
+    names = curve, tie, size, task, row = [spare_name(docs, f"shard_{x}") for x in ("curve", "tie", "size", "task", "row")]
+    tie_of = F.xxhash64("doc_id", "text")
+    facts = materialise(docs.select("source", "lang", text_size(F.col("text")).alias(size), tie_of.alias(tie)), "shard-facts")
+    curve_of = curve_column(facts, dimensions_of(F.col(size)), bits)
+    placed, total = ordered_rows(facts.select(curve_of.alias(curve), tie, size), shuffle_partitions(spark), F.col(curve), F.col(tie))
+    held = placed.agg(F.sum(size)).first()[0] or 0
+    tasks = max(shuffle_partitions(spark), -(-held // task_bytes))
+    at_cut = placed.filter(F.expr(f"position % {max(1, -(-total // tasks))}L = 0")).orderBy("position").select(curve, tie).collect()
+    cuts = list(dict.fromkeys((r[0], r[1]) for r in at_cut)) or [(0, 0)]
+    number = interval_of(cuts, F.col(curve), F.col(tie))
+    counts = {r[0]: r[1] for r in placed.groupBy(number.alias("task")).agg(F.count("*")).collect()}
+    before = np.concatenate(([0], np.cumsum([counts.get(i, 0) for i in range(len(cuts))]))).tolist()
+    starts = F.create_map(*[F.lit(x) for pair in enumerate(before) for x in pair])
+    keyed = docs.withColumns({size: text_size(F.col("text")), tie: tie_of}).withColumn(curve, curve_of).withColumn(task, number)
+    dealt = keyed.repartitionById(len(cuts), F.col(task)).sortWithinPartitions(curve, tie).withColumn(row, F.monotonically_increasing_id())
+    position = starts[F.col(task)] + F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
+    return _runs(dealt.withColumn(row, position), row, total, shards).drop(*names)
+
+
+def _runs(rows: DataFrame, position: str, total: int, shards: int) -> DataFrame:
+    """`shard` and `slot` of each position: runs whose counts are at most one apart."""
+    total = max(total, 1)
+    number = F.expr(f"CAST((({shards}L * ({position} + 1)) - 1) DIV {total}L AS INT)")
+    return rows.withColumn("shard", number).withColumn("slot", F.expr(f"{position} - (CAST(shard AS BIGINT) * {total}L) DIV {shards}L"))
 
 
 @register("op5_hilbert_sharding")
@@ -142,7 +183,7 @@ def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     curve = curve_column(narrow, dimensions_of(F.col("size")))
     keyed = narrow.select("doc_id", "size", "text_crc32", curve.alias("curve"), F.xxhash64("doc_id").alias("tie"))
-    keys = [F.col(c) for c in ("curve", "tie", "doc_id", "text_crc32")]
-    return _cut(keyed, keys, SHARDS, shuffle_partitions(spark)).select(
+    placed, total = ordered_rows(keyed, shuffle_partitions(spark), *[F.col(c) for c in ("curve", "tie", "doc_id", "text_crc32")])
+    return _runs(placed, "position", total, SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
