@@ -1,10 +1,8 @@
 """Near duplicates: SimHash fingerprints, linked through pivot distance tables.
 
-Two searches share the method: that of the query, by the distance of fingerprints alone, and
-that of `keep_one` with a `similarity`, which verifies texts.
-
-The query. A fingerprint has 64 bits; a bit is set if it is set in over half of the XXH64 hashes of the
-text's 3-word shingles. Two fingerprints are linked if at most `DISTANCE` bits differ.
+A fingerprint has 64 bits; a bit is set if it is set in over half of the XXH64 hashes of the
+text's 3-word shingles. Two fingerprints are linked if at most `DISTANCE` bits differ. The query
+returns components, `keep_one` one document of each; both use the same constants.
 
 The search uses tables of Hamming distances to reference fingerprints (pivots):
 
@@ -18,18 +16,6 @@ The search uses tables of Hamming distances to reference fingerprints (pivots):
    such pairs of a cell are discarded.
 3. Survivors are verified by the bits that differ.
 
-By similarity (`similar_classes`). Texts are linked if the Jaccard similarity of their sets of
-n-word shingles is at least `similarity`. Prints have `WIDE` bits, since 64 tell 0.8 from 0.6
-badly; they are searched up to the distance that all but a few of 1,000 pairs at that similarity
-keep (`reach`). That many bits may differ anywhere, so no choice of groups left out is sure; the
-coordinates relative to the one-bit references are dealt anew in each of `tables` tables, the
-first ones are the cell, the others the order inside it, and a print meets the `WINDOW` next ones
-of its cell. The number of coordinates in a cell grows with the logarithm of the number of texts,
-the number of tables so that a pair at the threshold shares a cell with odds of `RECALL`. A window
-returns a spanning forest of least distances and each print's `NEAREST`; these candidates are
-verified by their texts. What is missed: pairs that share no cell, and links of cells larger than
-a window that no table brings together.
-
 Scale: equal fingerprints are one, whatever the number of copies, pre-aggregated before the
 shuffle. A cell fixes all positions but those of two groups, so it holds at most 2^14 distinct
 fingerprints, however large a cluster is; of the links in a cell only a spanning forest is
@@ -43,9 +29,7 @@ are ignored by the query and stay in `keep_one`, which for rows that agree in do
 keeps one of them.
 """
 
-import math
 import re
-from collections import OrderedDict
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -65,13 +49,6 @@ SEED = 42
 DISTANCE = 2
 SEGMENTS = 10
 PIVOTS = 32
-#: The search by similarity: bits of a print, odds of a shared cell, prints a print meets, links it keeps.
-WIDE = 128
-RECALL = 0.99
-WINDOW = 64
-NEAREST = 2
-#: Rows of one cell that are held at a time.
-_HELD = 1 << 14
 
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -243,221 +220,35 @@ def classes(fingerprints: DataFrame) -> DataFrame:
     return rooted.join(ids, "root").select("print", "root", "component_id")
 
 
-# --- by similarity of texts ------------------------------------------------------------------------
-
-
-def shingle_set(text: str | None, shingle: int) -> set[bytes]:
-    line, starts, last = _shingles(text, shingle)
-    return {line[s:e] for s, e in zip(starts, last, strict=True)}
-
-
-def jaccard(left: set[bytes], right: set[bytes]) -> float:
-    """Two empty sets are equal."""
-    common = len(left & right)
-    return common / (len(left) + len(right) - common) if left or right else 1.0
-
-
-def wide_print(text: str | None, shingle: int) -> bytes:
-    """WIDE bits, each set if it is set in over half of the XXH3 hashes of the distinct shingles."""
-    parts = list(shingle_set(text, shingle))
-    counts = np.zeros(WIDE, dtype=np.int64)
-    for low in range(0, len(parts), _BLOCK):
-        hashes = b"".join([xxhash.xxh3_128_digest(x, SEED) for x in parts[low:low + _BLOCK]])
-        counts += np.unpackbits(np.frombuffer(hashes, dtype=np.uint8).reshape(-1, WIDE // 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(parts)).tobytes()
-
-
-def _odds(similarity: float) -> float:
-    """Odds that a bit differs between two texts: the angle of their shingle sets over pi."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def reach(similarity: float) -> int:
-    """The distance of wide prints that pairs at `similarity` exceed in about 5 of 1,000 cases."""
-    p = _odds(similarity)
-    return math.ceil(WIDE * p + 2.6 * math.sqrt(WIDE * p * (1 - p)))
-
-
-def tables(similarity: float, prints: int) -> tuple[int, int]:
-    """Coordinates that make up a cell, and the number of tables, for so many prints."""
-    length = min(40, max(8, prints.bit_length() - 3))
-    return length, math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - _odds(similarity)) ** length))
-
-
-def _dealt(length: int, count: int):
-    """Tasks that give every print (key, high, low) in each table's order of its coordinates."""
-    orders = []
-    for t in range(count):
-        # Tables of one permutation have cells without common coordinates.
-        turn, step = divmod(t, WIDE // length)
-        names = [xxhash.xxh64_intdigest(f"{turn} {i}".encode(), SEED) for i in range(WIDE)]
-        orders.append(np.roll(np.argsort(names), -step * length))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                key, high, low = (batch.column(i).slice(start, 1024).to_numpy(zero_copy_only=False) for i in range(3))
-                bits = np.unpackbits(np.stack((high, low), axis=1).astype(">i8").view(np.uint8).reshape(len(key), -1), axis=1)
-                turned = np.ascontiguousarray(np.concatenate([np.packbits(bits[:, o], axis=1) for o in orders])).view(">i8").astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(count, dtype=np.int32), len(key))), pa.array(turned[:, 0]), pa.array(turned[:, 1]), pa.array(np.tile(key, count))],
-                    ["table", "high", "low", "key"],
-                )
-
-    return rows
-
-
-def _candidates(high: np.ndarray, low: np.ndarray, key: np.ndarray, group: np.ndarray, distance: int) -> pa.RecordBatch:
-    """Pairs of keys in windows of the groups: a forest of least distances, and the nearest of each."""
-    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True))
-    longest = int(np.diff(np.append(-1, ends)).max())
-    high, low = high.view(np.uint64), low.view(np.uint64)
-    found = []
-    for step in range(1, min(WINDOW, longest - 1) + 1):
-        a = np.flatnonzero(group[step:] == group[:-step])
-        apart = np.bitwise_count(high[a] ^ high[a + step]).astype(np.int16) + np.bitwise_count(low[a] ^ low[a + step])
-        near = apart <= distance
-        found.append(np.stack((apart[near], a[near], a[near] + step), axis=1))
-    root: dict[int, int] = {}
-    degree: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
-
-    kept = []
-    pairs = np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
-    for _, x, y in pairs[np.argsort(pairs[:, 0], kind="stable")].tolist():
-        p, q = top(x), top(y)
-        few = min(degree.get(x, 0), degree.get(y, 0)) < NEAREST
-        if p != q or few:
-            root[q] = p
-            kept.append((x, y))
-            degree[x], degree[y] = degree.get(x, 0) + 1, degree.get(y, 0) + 1
-    at = np.array(kept, dtype=np.int64).reshape(-1, 2)
-    left, right = key[at[:, 0]], key[at[:, 1]]
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], ["u", "v"])
-
-
-def _near(length: int, distance: int):
-    """Tasks that search rows (table, high, low, key) sorted by the first three."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            if not len(now[0]):
-                continue
-            group = _cell_numbers(now[0], now[1], length)
-            whole = int(np.searchsorted(group, group[-1]))
-            if len(group) - whole > _HELD:  # a large cell: only the last window meets the rows to come
-                yield _candidates(now[1], now[2], now[3], group, distance)
-                whole = len(group) - WINDOW
-            elif whole:
-                yield _candidates(*[x[:whole] for x in now[1:]], group[:whole], distance)
-            held = [x[whole:] for x in now]
-        if held is not None:
-            yield _candidates(*held[1:], np.zeros(len(held[0]), dtype=np.int64), distance)
-
-    return rows
-
-
-def _cell_numbers(table: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
-    cell = high >> np.int64(64 - length)
-    return np.concatenate(([0], np.cumsum((table[1:] != table[:-1]) | (cell[1:] != cell[:-1]))))
-
-
-def _verified(shingle: int, similarity: float):
-    """Tasks that keep the pairs (u, v, left text, right text) that are similar enough."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: OrderedDict[int, set[bytes]] = OrderedDict()
-
-        def of(key: int, text) -> set[bytes]:
-            if key not in sets:
-                sets[key] = shingle_set(text.as_py(), shingle)
-                if len(sets) > 64:
-                    sets.popitem(last=False)
-            return sets[key]
-
-        for batch in batches:
-            u, v, left, right = batch.columns
-            kept = [
-                jaccard(of(a, left[i]), of(b, right[i])) >= similarity
-                for i, (a, b) in enumerate(zip(u.to_pylist(), v.to_pylist(), strict=True))
-            ]
-            yield pa.RecordBatch.from_arrays([x.filter(pa.array(kept, pa.bool_())) for x in (u, v)], ["u", "v"])
-
-    return rows
-
-
-def similar_classes(docs: DataFrame, shingle: int, similarity: float, distance: int | None = None) -> DataFrame:
-    """(text_hash, root) of the texts of `docs` that are linked; `distance` is `reach` unless given."""
-    spark = docs.sparkSession
-    partitions = shuffle_partitions(spark)
-
-    @F.pandas_udf("high long, low long")
-    def prints(texts: pd.Series) -> pd.DataFrame:
-        both = np.frombuffer(b"".join([wide_print(t, shingle) for t in texts]), dtype=">i8").reshape(-1, 2)
-        return pd.DataFrame({"high": both[:, 0].astype(np.int64), "low": both[:, 1].astype(np.int64)})
-
-    hashed = docs.select(F.xxhash64("text").alias("key"), prints("text").alias("p")).select("key", "p.high", "p.low")
-    distinct = materialise(hashed.groupBy("key").agg(F.first("high").alias("high"), F.first("low").alias("low")), "wide-prints")
-    length, count = tables(similarity, distinct.count())
-    cells = distinct.mapInArrow(_dealt(length, count), "table int, high long, low long, key long")
-    near = (
-        cells.repartition(partitions, "table", F.shiftright("high", 64 - length)).sortWithinPartitions("table", "high", "low")
-        .mapInArrow(_near(length, reach(similarity) if distance is None else distance), "u long, v long")
-    )
-    pairs = materialise(near.distinct(), "candidates")
-    linked = pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("key"), "text").join(linked, "key", "left_semi")
-    texts = materialise(texts.groupBy("key").agg(F.first("text").alias("text")), "candidate-texts")
-    both = pairs.join(texts.select(F.col("key").alias("u"), F.col("text").alias("left")), "u").join(
-        texts.select(F.col("key").alias("v"), F.col("text").alias("right")), "v"
-    )
-    edges = both.select("u", "v", "left", "right").mapInArrow(_verified(shingle, similarity), "u long, v long")
-    return components(edges).select(F.col("node").alias("text_hash"), "root")
+# --- one of each component -------------------------------------------------------------------------
 
 
-# --- one of each component -------------------------------------------------------------------------
+def _text_key(text: Column) -> Column:
+    """128 bits that stand for a text; null has a key of its own."""
+    return F.coalesce(F.unhex(F.md5(F.encode(text, "UTF-8"))), F.lit(b""))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int | None = None, similarity: float | None = None) -> DataFrame:
-    """One document of each component: that with the smallest doc_id.
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each component of linked fingerprints: that with the smallest doc_id.
 
-    Without `similarity` components are those of the query (3 words, DISTANCE bits); with it
-    they are those of texts whose `shingle`-word sets are so similar.
+    Null ids come last; equal ids are told apart by their texts, and of rows that agree in
+    both one stays.
     """
-    key = spare_name(docs, "text_hash")
-    # Null ids come last; equal ids are told apart by their texts.
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
-    if similarity is None:
-        if shingle != SHINGLE or distance not in (None, DISTANCE):
-            raise ValueError("other shingles and distances are searched by similarity")
-        narrow = materialise(
-            docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint_of(F.col("text")).alias("print")), "fingerprints"
-        )
-        rooted = narrow.join(classes(narrow).select("print", "root"), "print")
-    else:
-        narrow = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-        least = narrow.groupBy("text_hash").agg(F.min(order).alias("f")).select("f.doc_id", "text_hash")
-        found = similar_classes(docs, shingle, similarity, distance)
-        rooted = least.join(found, "text_hash", "left").withColumn("root", F.coalesce("root", "text_hash"))
-    first = rooted.groupBy("root").agg(F.min(order).alias("f")).select("f.doc_id", "f.text_hash")
-    same = narrow.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
-    on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash"))
-    kept = materialise(first.alias("a").join(same.alias("b"), on).select("a.doc_id", "a.text_hash", "rows"), "kept-documents")
-    on = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{key}") == F.col("k.text_hash"))
-    chosen = docs.withColumn(key, F.xxhash64("text")).alias("d").join(kept.alias("k"), on)
+    key = spare_name(docs, "text_key")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("text_key").alias("text_key"))
+    narrow = materialise(docs.select("doc_id", _text_key(F.col("text")).alias("text_key"), fingerprint_of(F.col("text")).alias("print")), "fingerprints")
+    # One row for each fingerprint before anything is joined, so that copies never meet in a task.
+    least = narrow.groupBy("print").agg(F.min(order).alias("f"))
+    first = least.join(classes(narrow).select("print", "root"), "print").groupBy("root").agg(F.min("f").alias("f")).select("f.doc_id", "f.text_key")
+    same = narrow.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
+    on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key"))
+    kept = materialise(first.alias("a").join(same.alias("b"), on).select("a.doc_id", "a.text_key", "rows"), "kept-documents")
+    on = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{key}") == F.col("k.text_key"))
+    chosen = docs.withColumn(key, _text_key(F.col("text"))).alias("d").join(kept.alias("k"), on)
     columns = [F.col(f"d.`{c}`") for c in docs.columns]
     single = chosen.filter("k.rows = 1").select(*columns)
     repeated = (
-        chosen.filter("k.rows > 1").select(F.col("k.doc_id").alias("i"), F.col("k.text_hash").alias("h"), F.struct(*columns).alias("row"))
+        chosen.filter("k.rows > 1").select(F.col("k.doc_id").alias("i"), F.col("k.text_key").alias("h"), F.struct(*columns).alias("row"))
         .groupBy("i", "h").agg(F.first("row").alias("row")).select("row.*")
     )
     return single.union(repeated)
