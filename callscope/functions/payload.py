@@ -1,9 +1,11 @@
 """Previews of JSON payloads: cleaned, key-sorted, compact, HTML-escaped text.
 
-Most payloads are plain: no encoded binaries, no trigger of a secret rule, no
-number that a JSON round trip could change. Those are rendered by built-in
-variant functions. Only the rest crosses into Python, as Arrow batches, where a
-short recursion applies the same rules to nested values.
+Built-in functions do the work on JSON text. Numbers that a round trip could change are put into
+marked strings first; a variant then gives the canonical text, with sorted keys and every string in
+one form. In that text members are rewritten by their keys, and, where a cheap test finds a
+trigger, the string values are taken apart from keys and structure, cleaned each for itself and
+joined again. Only what JSON text does not decide well (see `_ODD`, `_UNCLEAR`) crosses into
+Python, as Arrow batches, where a short recursion applies the same rules to nested values.
 """
 
 import json
@@ -25,57 +27,140 @@ SENSITIVE_KEYS = frozenset({
     "password", "passwd", "pwd", "secret", "apikey", "clientsecret",
     "authorization", "accesstoken", "refreshtoken", "databaseurl", "token", "privatekey",
 })
-# Literals that send a payload to the recursion because a key rule may apply.
-_KEY_LITERALS = ["\"blob\"", "\"data\""]
-_KEY_PATTERN = "\"(" + "|".join(sorted(SENSITIVE_KEYS)) + ")\""
-_PLAIN_CHARS = "\\A[\\x20-\\x5B\\x5D-\\x7E\\t\\r\\n]*\\z"  # ASCII without backslash
+_SENSITIVE = "[-_]*(?:" + "|".join("[-_]*".join(name) for name in sorted(SENSITIVE_KEYS)) + ")[-_]*"
+_SENSITIVE_HINT = "\"(" + "|".join(sorted(SENSITIVE_KEYS)) + ")\""
+
+# --- native path -----------------------------------------------------------------
+
+# One JSON string. Possessive, so that the matcher needs no stack for long ones.
+_STRING = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
+_FLAT = rf"(?:{_STRING}|true|false|null|-?[0-9]+)"
+_NUMBER = r"(?<![0-9A-Za-z.+-])(-?(?:0|[1-9][0-9]*)(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?)(?![0-9A-Za-z.+-])"
 # A number that a round trip could change: fraction, exponent, minus zero, many digits.
-_FRAGILE_NUMBER = "[\\[:,\\s]-?([0-9]+[.eE]|[0-9]{18})|[\\[:,\\s]-0"
+_FRAGILE_NUMBER = r"[\[:,\s]-?([0-9]+[.eE]|[0-9]{18})|[\[:,\s]-0|\A\s*-?[0-9]"
+# Marks around a number in a string, and after each token while they are placed.
+_OPEN, _SHUT = "\ue010", "\ue011"
+# Texts for the recursion: lone surrogates and rare control characters, whose escapes differ;
+# private-use characters, which are our marks; a letter whose lower case is that of another.
+_ODD = (
+    "[\ue000-\uf8ff\u212a]|" r"\\u(?:00[01]|[eE]|[fF][0-8]|212[aA])|\\u[dD][89abAB][0-9a-fA-F]{2}(?!\\u[dD][c-fC-F])|(?<!\\u[dD][89abAB][0-9a-fA-F]{2})\\u[dD][c-fC-F]"
+)
+# Keys of these two kinds sort otherwise by UTF-16 than by bytes.
+_HIGH, _HIGHER = "[\uf900-\uffff]", r"[\x{10000}-\x{10ffff}]|\\u[dD][89abAB]"
 
+_KEY = r"(?<=[{,])"
+_FILLED = rf'(?!"["{_OPEN}]){_STRING}'
+_BLOB = rf'{_KEY}"blob":{_FILLED}'
+# `data` of an image or audio: flat members, then the type, in the same object.
+_BETWEEN = rf'(?:,(?!"type":){_STRING}:{_FLAT})*+'
+_DATA = rf'{_KEY}"data":{_FILLED}(?={_BETWEEN},"type":"(?:image|audio)"[,}}])'
+# A nested member between `data` and where its type would be, or below a sensitive key.
+_UNCLEAR_DATA = rf'{_KEY}"data":(?!"\[binary removed\]"){_FILLED}{_BETWEEN},(?!"type":){_STRING}:[{{\[]'
+_UNCLEAR = rf'{_KEY}"(?i:{_SENSITIVE})":[{{\[]'
+_SENSITIVE_MEMBER = rf'{_KEY}"((?i:{_SENSITIVE}))":(?!null){_FLAT}'
 
-# --- native path -----------------------------------------------------------------
+
+def _sql_replace(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, {tx.sql_text(pattern)}, {tx.sql_text(by)})"
 
 
-def _sql_needs_recursion(name: str, secrets: bool) -> str:
-    odd = [
-        f"NOT {name} RLIKE {tx.sql_text(_PLAIN_CHARS)}",
-        f"{name} RLIKE {tx.sql_text(_FRAGILE_NUMBER)}",
-        f"{name} RLIKE '[A-Za-z0-9+/_-]{{512}}'",
-        f"contains({name}, ';base64,')",
-    ]
-    odd += [f"contains({name}, {tx.sql_text(x)})" for x in _KEY_LITERALS]
-    if secrets:
-        odd += [tx.sql_may_hold_secret(name), f"translate(lower({name}), '-_', '') RLIKE {tx.sql_text(_KEY_PATTERN)}"]
-    return tx.sql_when_any(odd)
+def _sql_marked(text: str) -> str:
+    """Every number of a JSON text as a marked string."""
+    tokens = _sql_replace(text, f"({_STRING})|{_NUMBER}", f"$1{_OPEN}$2{_SHUT}")
+    bare = f"replace({tokens}, '{_OPEN}{_SHUT}', '')"
+    return f"replace(replace({bare}, '{_OPEN}', '\"{_OPEN}'), '{_SHUT}', '{_SHUT}\"')"
 
 
-def needs_recursion(name: str, secrets: bool = True) -> Column:
-    """Whether a payload leaves the native path; for measuring its share."""
-    return F.expr(_sql_needs_recursion(name, secrets))
+def _sql_frame(text: str) -> str:
+    """What is left of a JSON text without strings and white space."""
+    return _sql_replace(text, rf"{_STRING}|[ \t\r\n]+", "")
 
 
 def _sql_escape_html(text: str) -> str:
-    for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026")):
+    for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         text = f"replace({text}, '{char}', {tx.sql_text(code)})"
     return text
 
 
-def with_native_preview(df: DataFrame, out: str, text: str, strip: str | None) -> DataFrame:
-    """Add `out`: the preview of plain JSON texts, NULL for JSON it cannot render.
-
-    `text` is NULL wherever the recursion has to do the work.
-    """
-    parsed = f"__{out}_parsed"
-    df = df.withColumn(parsed, F.try_parse_json(text))
-    whole = f"to_json({parsed})"
+def _with_canonical(df: DataFrame, out: str, value: str, pick: str | None, strip: str | None, marker: str | None, objects: bool) -> DataFrame:
+    """Add `out`: canonical JSON of the payload, `undefined` if absent, NULL for the recursion."""
+    marked, parsed, whole, member = (f"__{out}_{x}" for x in ("marked", "parsed", "whole", "member"))
+    odd = [f"{value} RLIKE {tx.sql_text(_ODD)}", f"({value} RLIKE {tx.sql_text(_HIGH)} AND {value} RLIKE {tx.sql_text(_HIGHER)})"]
+    if marker:
+        odd.append(f"contains({value}, {tx.sql_text(marker)})")
+    exact = f"CASE WHEN {value} RLIKE {tx.sql_text(_FRAGILE_NUMBER)} THEN {_sql_marked(value)} ELSE {value} END"
+    df = df.withColumn(marked, F.expr(f"CASE WHEN NOT {tx.sql_when_any(odd)} THEN {exact} END"))
+    df = df.withColumn(parsed, F.expr(f"try_parse_json({marked})")).withColumn(whole, F.expr(f"to_json({parsed})"))
+    # A parser stops after the first value; what follows it is in the frame alone.
+    is_json = f"length({_sql_frame(marked)}) = length({_sql_frame(whole)})"
+    taken = parsed if pick is None else f"try_variant_get({parsed}, {tx.sql_text('$.' + pick)}, 'variant')"
+    df = df.withColumn(member, F.expr(f"CASE WHEN {is_json} THEN {taken} END"))
+    text = whole if pick is None else f"to_json({member})"
     if strip is not None:
-        block = f"({strip} AND contains({text}, '\"telemetry\"') AND startswith(ltrim({text}), '{{'))"
+        block = f"({strip} AND contains({marked}, '\"telemetry\"') AND startswith(schema_of_variant({member}), 'OBJECT'))"
         order = "(a, b) -> CASE WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END"
-        entries = f"map_entries(from_json(CASE WHEN {block} THEN {text} END, 'map<string,variant>'))"
+        entries = f"map_entries(CASE WHEN {block} THEN try_variant_get({member}, '$', 'map<string,variant>') END)"
         kept = f"array_sort(filter({entries}, e -> e.key != 'telemetry'), {order})"
-        without = f"CASE WHEN {parsed} IS NOT NULL THEN to_json(map_from_entries({kept})) END"
-        whole = f"CASE WHEN {block} THEN {without} ELSE {whole} END"
-    return df.withColumn(out, F.expr(_sql_escape_html(whole))).drop(parsed)
+        text = f"CASE WHEN {block} THEN to_json(map_from_entries({kept})) ELSE {text} END"
+    absent = [f"{member} IS NULL", f"is_variant_null({member})"]
+    if objects:
+        absent.append(f"NOT startswith(schema_of_variant({member}), 'OBJECT')")
+    shown = f"CASE WHEN {is_json} THEN CASE WHEN {tx.sql_when_any(absent)} THEN '{UNDEFINED}' ELSE {text} END END"
+    return df.withColumn(out, F.expr(shown)).drop(marked, parsed, whole, member)
+
+
+def _sql_members(text: str, secrets: bool) -> str:
+    """Binary members and, with `secrets`, those under sensitive keys replaced; NULL if unclear."""
+    binary = f"CASE WHEN contains({text}, '\"blob\":') THEN {_sql_replace(text, _BLOB, f'"blob":"{S.BINARY_REMOVED}"')} ELSE {text} END"
+    media = f"contains(m, '\"data\":') AND m RLIKE '\"type\":\"(image|audio)\"'"
+    data = _sql_replace("m", _DATA, f'"data":"{S.BINARY_REMOVED}"')
+    clear = f"CASE WHEN d RLIKE {tx.sql_text(_UNCLEAR_DATA)} THEN NULL ELSE d END"
+    out = tx.sql_let(binary, "m", f"CASE WHEN {media} THEN {tx.sql_let(data, 'd', clear)} ELSE m END")
+    if not secrets:
+        return out
+    hint = f"translate(lower(k), '-_', '') RLIKE {tx.sql_text(_SENSITIVE_HINT)}"
+    hidden = _sql_replace("k", _SENSITIVE_MEMBER, f'"$1":"{S.SENSITIVE_FIELD}"')
+    return tx.sql_let(out, "k", f"CASE WHEN NOT {hint} THEN k WHEN NOT k RLIKE {tx.sql_text(_UNCLEAR)} THEN {hidden} END")
+
+
+def _sql_clean_token(secrets: bool) -> str:
+    """One string value `t` cleaned; without a trigger it stays as it is."""
+    odd = ["octet_length(t) >= 64"] + ([tx.sql_may_hold_secret("t")] if secrets else [])
+    quoted = "substring(to_json(struct(clean AS v)), 6, length(to_json(struct(clean AS v))) - 6)"
+    clean = tx.sql_let(tx.sql_clean_text("plain", secrets), "clean", f"CASE WHEN clean = plain THEN t ELSE {quoted} END")
+    decoded = tx.sql_let("try_variant_get(try_parse_json(t), '$', 'string')", "plain", clean)
+    return f"CASE WHEN startswith(t, '\"{_OPEN}') OR NOT {tx.sql_when_any(odd)} THEN t ELSE {decoded} END"
+
+
+def _sql_strings(text: str, secrets: bool) -> str:
+    """All string values of a canonical text cleaned, if it holds anything to clean."""
+    odd = [f"contains({text}, ';base64,')", f"{text} RLIKE '[A-Za-z0-9+/_-]{{512}}'"] + ([tx.sql_may_hold_secret(text)] if secrets else [])
+    tokens = f"regexp_extract_all({text}, {tx.sql_text(_STRING)}, 0)"
+    frame = f"split({_sql_replace(text, _STRING, '"')}, '\"', -1)"
+    # A string before a colon is a key and stays.
+    values = f"transform(tokens, (t, i) -> CASE WHEN startswith(get(frame, i + 1), ':') THEN t ELSE {_sql_clean_token(secrets)} END)"
+    joined = f"array_join(zip_with(frame, {values}, (f, t) -> concat(f, coalesce(t, ''))), '')"
+    return f"CASE WHEN {tx.sql_when_any(odd)} THEN {tx.sql_let(tokens, 'tokens', tx.sql_let(frame, 'frame', joined))} ELSE {text} END"
+
+
+def with_native_preview(
+    df: DataFrame, out: str, value: str, *, pick: str | None = None, strip: str | None = None, secrets: bool = True,
+    marker: str | None = None, objects: bool = False,
+) -> DataFrame:
+    """Add `out`: the preview of JSON column `value`, NULL where the recursion has to do the work."""
+    canonical, members = f"__{out}_canonical", f"__{out}_members"
+    df = _with_canonical(df, canonical, value, pick, strip, marker, objects)
+    df = df.withColumn(members, F.expr(_sql_members(canonical, secrets)))
+    df = df.withColumn(members, F.expr(_sql_strings(members, secrets)))
+    unmarked = f"replace(replace({members}, '\"{_OPEN}', ''), '{_SHUT}\"', '')"
+    return df.withColumn(out, F.expr(_sql_escape_html(unmarked))).drop(canonical, members)
+
+
+def with_recursion_flag(df: DataFrame, out: str, value: str, secrets: bool = True) -> DataFrame:
+    """Add whether a payload leaves the native path; for measuring its share."""
+    native = f"__{out}_probe"
+    df = with_native_preview(df, native, value, secrets=secrets)
+    return df.withColumn(out, F.col(value).isNotNull() & F.col(native).isNull()).drop(native)
 
 
 # --- recursion for the rest ------------------------------------------------------
@@ -263,22 +348,15 @@ def with_preview(
     object's `_meta`; with `objects_only` any other value counts as absent. Absent
     and JSON null both give `undefined`.
     """
-    native, slow, source = f"__{out}_native", f"__{out}_slow", f"__{out}_source"
-    flag = f"__{out}_flag"
+    native, slow, flag = f"__{out}_native", f"__{out}_slow", f"__{out}_flag"
     df = df.withColumn(flag, F.lit(False) if strip is None else F.coalesce(strip, F.lit(False)))
     if redactor is None:
-        # A member is read natively only when the whole text is plain.
-        taken = value if pick is None else f"get_json_object({value}, '$.{pick}')"
-        plain = f"CASE WHEN NOT {_sql_needs_recursion(value, secrets)} THEN {taken} END"
-        simple = f"{source} RLIKE " + ("'^\\\\s*[{]'" if objects_only else "'^\\\\s*[{\\\\[]'")
-        if drop_marker:
-            simple += f" AND NOT contains({source}, {tx.sql_text(drop_marker)})"
-        df = df.withColumn(source, F.expr(plain))
-        df = df.withColumn(source, F.expr(f"CASE WHEN {simple} THEN {source} END"))
-        df = with_native_preview(df, native, source, None if strip is None else flag)
+        df = with_native_preview(
+            df, native, value, pick=pick, strip=None if strip is None else flag, secrets=secrets, marker=drop_marker, objects=objects_only,
+        )
     else:
-        df = df.withColumn(native, F.lit(None).cast("string")).withColumn(source, F.lit(None))
+        df = df.withColumn(native, F.lit(None).cast("string"))
     slow_udf = _slow_preview(pick, secrets, redactor, drop_marker, objects_only)
     df = df.withColumn(slow, slow_udf(F.when(F.col(native).isNull(), F.col(value)), F.col(flag)))
     merged = F.coalesce(F.col(native), F.col(slow), F.lit(UNDEFINED))
-    return df.withColumn(out, merged).drop(native, slow, source, flag)
+    return df.withColumn(out, merged).drop(native, slow, flag)

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from callscope import schemas as S
 from callscope.functions import payload, telemetry
@@ -40,8 +41,56 @@ def test_native_path_leaves_nothing_to_the_rules(spark):
     numbers = ["1.0", "10e2", "-0", "1234567890123456789", "[1.50]", "2.0e-3"]
     values = [f'{{"d":"2024-01-05 x1e5","n":{n}}}' for n in numbers]
     assert preview(spark, values) == values
-    df = spark.createDataFrame([(v,) for v in values + ['{"d":"2024-01-05 x1e5","n":12}']], "v string")
-    assert [r.x for r in df.select(payload.needs_recursion("v").alias("x")).collect()] == [True] * 6 + [False]
+    assert not any(leaves(spark, values + ['{"d":"2024-01-05 x1e5","n":12}']))
+
+
+def leaves(spark, values, **options):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r.out for r in payload.with_recursion_flag(df, "out", "v", **options).orderBy("i").collect()]
+
+
+ROUGH = [
+    {"s": "line\nend\ttab \" \\ / é 中 😀 \u2028 <b>&"}, {"n": [1.50, -0.0, 1e-7, 12345678901234567890], "m": {"x": 2.0, "y": True, "z": None}},
+    {"password": "a\nb", "Api-Key": 12, "_to_ken_": True, "pwd": None, "database_URL": 1.5, "passwords": "kept", "note": "password"},
+    {"content": [{"type": "image", "data": "QQ==", "mimeType": "a/b"}, {"type": "text", "data": "kept"}, {"type": "audio", "data": ""}, {"data": "x", "name": 1}, {"type": "image", "data": 1.5}]},
+    {"blob": "x", "in": {"blob": ""}, "l": [{"blob": 1.5}, {"blob": "é\n"}], "t": '"blob":"kept"', "k,\"blob": "kept"},
+    {"a": RUN, "b": "see " + RUN + "\nend", "c": ["data:image/png;base64," + "QUFB" * 20, RUN.replace("C", "/")], RUN: RUN},
+    {"u": "postgres://a:b@h", "v": "x", "w": "://q", "x": "y@z"}, {"lines": "token=abc\nnext", "quote": 'pwd="q"', "multi": "-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----\n!"},
+    {"key token=x": 1, "é": {"ü": ["secret=é&x"]}}, [], {}, [[], {}, [1.0]], {"": ""}, {"deep": {"data": "v", "inner": [1], "note": "no type here"}},
+    {"e": "bearer abcdefghijklmnopqrstuvwxyz", "f": ["AKIA" + "ABCDEFGHIJKLMNOP", 3.25]}, {"x": "," , "y": ':"', "z": "{[\\"},
+]
+#: Texts the recursion has to see: what follows a value, wrong numbers, repeated keys and the like.
+STRANGE = [
+    '{"a":1} x', "[1] [2]", "[01]", "[1.]", '{"a":1,"a":2}', '{"a":"\\ud800"}', '{"a":"\\u0001"}', '{"a":"\ue010"}', '{"password":{"x":[1]}}', '{"secret":["a"]}',
+    '{"data":"x","more":{"q":1},"type":"image"}', "text", '{"a":"\\ue010"}', '{"to\\u212aen":"x"}', '{"a":NaN}', '{"\uff01":1,"😀":2}', "[1]], [[2]", '{"a":1}}', "",
+]
+#: The same, as far as the native path can tell.
+PLAIN = ['"text"', "5", "1.50", ' "q" ', "[1 , 2.0 ]", '{ "b" : 1e5 , "a" : "\\u00e9\\/" }', '{"a":"\\ud83d\\ude00"}', "true"]
+
+
+@pytest.mark.parametrize("secrets", [True, False])
+def test_text_rewriting_gives_what_the_recursion_gives(spark, secrets):
+    values = [json.dumps(v) for v in ROUGH] + [json.dumps(v, ensure_ascii=False, indent=1) for v in ROUGH] + STRANGE + PLAIN
+    want = [payload.stringify(payload.clean_value(payload.decode(v), secrets)) for v in values]
+    assert preview(spark, values, secrets=secrets) == want
+    flags = leaves(spark, values, secrets=secrets)
+    assert not any(flags[:2 * len(ROUGH)]) and not any(flags[-len(PLAIN):])
+
+
+def test_member_of_a_rough_payload(spark):
+    values = [json.dumps({"name": "t", "arguments": v}) for v in (*ROUGH, None, 5, "text")] + ["[1]", '{"name":"no arguments"}', '{"arguments":{"a":1}} x']
+    for objects in (True, False):
+        want = [payload.stringify(payload.clean_value(payload.select_payload(v, "arguments", True, "mark", objects))) for v in values]
+        assert preview(spark, values, pick="arguments", strip=F.lit(True), drop_marker="mark", objects_only=objects) == want
+    owned = [json.dumps({"arguments": {"telemetry": {"n": 1.50, "a": "é\n"}, "b": [2.50], "a": "token=q"}})]
+    assert preview(spark, owned, pick="arguments", strip=F.lit(True)) == ['{"a":"token=[redacted:sensitive-kv]","b":[2.5]}'.replace("2.5", "2.5")]
+    assert preview(spark, owned, pick="arguments") == ['{"a":"token=[redacted:sensitive-kv]","b":[2.5],"telemetry":{"a":"é\\n","n":1.5}}']
+
+
+def test_long_strings_with_many_escapes(spark):
+    value = {"a": "line\n" * 100_000 + "token=abc", "b": [1.5] * 1000}
+    want = payload.stringify(payload.clean_value(payload.decode(json.dumps(value))))
+    assert preview(spark, [json.dumps(value)]) == [want] and leaves(spark, [json.dumps(value)]) == [False]
 
 
 def test_exact_numbers_and_odd_values(spark):

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callscope.functions import clients, ids, telemetry
+from callscope.functions import clients, ids, payload, telemetry
 from callscope.operators import catalog, delivery, envelopes, quality, runs, sessions, usage
 from callscope.operators.assemble import build_tool_calls, join_ownership
 from callscope.operators.pairing import pair_calls
@@ -412,6 +412,33 @@ def clean_json(spark, sf):
     return clean_payloads(V.json_payloads(spark, sf), json=["payload"]).select("doc_id", "payload")
 
 
+_RULES_LEFT = ",".join(f'"{left}"' for _, left in V.RULE_VALUES)
+_KEYS_LEFT = ",".join(
+    f'"{name}":' + (value if value == "null" or name == "token_count" else '"[redacted:sensitive-field]"') for name, value in V.KEY_VALUES.items() if name != "zero_password"
+)
+_ROUGH_LEFT = f',"keys":{{{_KEYS_LEFT},"zero_password":null}},"n":'
+_ROUGH_TAIL = ',"quote":"\\"é\\"\\nü /","rules":[' + _RULES_LEFT.replace("&", "\\u0026") + "]}"
+_ROUGH_BODY = _JSON_ESCAPED.replace("to_json(clean)", "to_json(CASE WHEN doc_id % 10 = 4 THEN clean ELSE clean || chr(10) END)")
+
+
+@register("clean_rough_json", f"""{_CLEAN}
+SELECT doc_id, '{{"body":' || {_ROUGH_BODY} || ',"content":[{{"data":"[binary removed]","type":"image"}},{{"data":' || {_ROUGH_BODY} || ',"type":"text"}},{{"blob":"[binary removed]","data":1.50}}]'
+  || '{_ROUGH_LEFT}' || (doc_id % 100) || '.50' || '{_ROUGH_TAIL}' AS payload FROM r""")
+def clean_rough_json(spark, sf):
+    """Every rule, key and binary member in nested JSON with escapes, accents and fractions."""
+    return clean_payloads(V.rough_payloads(spark, sf), json=["payload"]).select("doc_id", "payload")
+
+
+@register("json_in_python", "SELECT source, count(*) AS payloads, true AS few FROM documents GROUP BY source")
+def json_in_python(spark, sf):
+    """Payloads by source, and whether at most one in twenty leaves the built-in functions."""
+    sources = V.table(spark, sf, "documents").select("doc_id", "source")
+    flagged = payload.with_recursion_flag(V.rough_payloads(spark, sf), "slow", "payload").select("doc_id", "slow")
+    return sources.join(flagged, "doc_id").groupBy("source").agg(
+        F.count("*").alias("payloads"), (F.count_if("slow") * 20 <= F.count("*")).alias("few")
+    )
+
+
 @register("clean_pages", f"""WITH s AS (SELECT *, {Q.strip_base64('html')} AS bare FROM pages)
 SELECT page_id, {Q.redact('bare')} AS html FROM s""")
 def clean_pages(spark, sf):
