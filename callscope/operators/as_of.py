@@ -42,7 +42,7 @@ def as_of_join(
     # Right values travel as one struct, so that a null value hides an earlier one.
     offered = tagged(right.filter(known), right_order, 0).select(*names, _AT, _TIE, _SIDE, F.struct(*values).alias(_VALUES))
     rows = tagged(left, left_order, 1).unionByName(offered, allowMissingColumns=True)
-    sliced = slice_hot(rows, names, _AT, hot_rows)
+    sliced = slice_hot(rows, names, [_AT, _TIE, _SIDE], hot_rows)
     found = with_running(sliced, names, [_AT, _TIE, _SIDE], last={"__as_of_found": F.col(_VALUES)}).done()
     fits = F.lit(True)
     for column in (*keys, left_order[0]):

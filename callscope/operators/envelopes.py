@@ -77,17 +77,25 @@ def event_json() -> Column:
 def with_envelope(
     events: DataFrame, size: int = S.ENVELOPE_CANDIDATES, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Add `slice` and `batch`: the envelope each event belongs to, first in, first out.
+    """Add `batch`: the envelope each event belongs to, first in, first out per server.
 
     A batch takes `size` candidates; the events of one candidate (up to three) stay
-    together. Servers with very many events are cut into time slices and counted in
-    each of them, so the order still holds but the last batch of a slice may be short.
+    together. Servers with very many events are cut into slices: candidates are numbered within
+    each, and the numbers of the slices before it, summed up over one row a slice, are
+    added. So the numbers are the same at any size.
     """
-    sliced = slice_hot(events, ["server_id"], "recorded_at", hot_rows)
-    window = Window.partitionBy(*sliced.window_keys(["server_id"])).orderBy("recorded_at", "source_seq")
-    batch = F.floor((F.dense_rank().over(window) - 1) / size).cast("bigint")
-    part = F.lit(0).cast("bigint") if sliced.hot is None else F.col(SLICE)
-    return sliced.df.withColumns({"batch": batch, "slice": part}).drop(SLICE)
+    order = ["recorded_at", "source_seq"]
+    sliced = slice_hot(events, ["server_id"], order, hot_rows)
+    window = Window.partitionBy(*sliced.window_keys(["server_id"])).orderBy(*order)
+    local = sliced.df.withColumn("__candidate", F.dense_rank().over(window))
+    number = F.col("__candidate")
+    if sliced.hot is not None:
+        before = Window.partitionBy("server_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        counts = sliced.df.select("server_id", SLICE, *order).distinct().groupBy("server_id", SLICE).agg(F.count(F.lit(1)).alias("__held"))
+        carried = counts.withColumn("__before", F.coalesce(F.sum("__held").over(before), F.lit(0))).drop("__held")
+        local = local.join(carried, ["server_id", SLICE])
+        number = number + F.col("__before")
+    return local.withColumn("batch", F.floor((number - 1) / size).cast("bigint")).drop(SLICE, "__candidate", "__before")
 
 
 def pack_envelopes(
@@ -101,7 +109,7 @@ def pack_envelopes(
         F.array_join(F.transform(in_order, lambda e: e["json"]), ","),
         F.lit("]}"),
     )
-    return placed.groupBy("server_id", "slice", "batch").agg(
+    return placed.groupBy("server_id", "batch").agg(
         F.count(F.lit(1)).alias("event_count"),
         F.min("recorded_at").alias("first_at"),
         body.alias("body"),

@@ -2,7 +2,9 @@
 
 A plain window sorts all rows of one key in one task. `slice_hot` looks for keys
 with more than `HOT_ROWS` rows first. Without any, the windows stay plain. With
-some, those keys are cut into time slices: every window then runs per key and
+some, the narrow (key, order) rows of those keys are numbered in their order, and the keys
+are cut at every `hot_rows`-th place: slices hold equal numbers of rows, however the
+rows lie in time, and rows of one place stay together. Every window then runs per key and
 slice, and what a slice needs from earlier slices arrives as one small carried
 row, joined on the hash layout the window already has. Key columns must not be
 NULL.
@@ -17,23 +19,55 @@ from callscope.session import scratch_dir
 
 HOT_ROWS = 2_000_000
 SLICE = "__slice"
+#: Starts of slices that are looked through at a time.
+_GROUP = 128
 
 
-def hot_keys(df: DataFrame, keys: list[str], ts: str, hot_rows: int) -> DataFrame:
-    """Keys with more than `hot_rows` rows, and how to slice their time span.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """`df` by way of the shared scratch folder: its size is known, its lineage ends."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Counting is pre-aggregated before its shuffle. At most (rows / hot_rows) keys
-    come out.
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys with more than `hot_rows` rows; at most (rows / hot_rows) of them.
+
+    Counting is pre-aggregated before its shuffle.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(micros).alias("__from"), F.max(micros).alias("__to")
-    )
-    slices = F.ceil(F.col("__rows") / F.lit(hot_rows))
-    width = F.ceil((F.col("__to") - F.col("__from") + 1) / slices)
-    return stats.filter(F.col("__rows") > hot_rows).select(
-        *keys, F.col("__from"), width.cast("bigint").alias("__width")
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows).select(*keys)
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """`df` with the position of each row in the order of all columns of `order`, from 0.
+
+    Rows are dealt out by ranges of all these columns and numbered where they lie; one
+    count for each task comes to the driver.
+    """
+    rows, part = f"__{name}_row", F.shiftright(F.col(f"__{name}_row"), 33)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn(rows, F.monotonically_increasing_id())
+    placed = _written(dealt, "numbered")
+    counts = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, offsets = 0, [F.lit(-1), F.lit(0)]
+    for number in sorted(counts):
+        offsets += [F.lit(number), F.lit(before)]
+        before += counts[number]
+    at = F.create_map(*offsets)[part] + F.col(rows).bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn(name, at.cast("bigint")).drop(rows)
+
+
+def slice_starts(df: DataFrame, keys: list[str], order: list[str], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """For each hot key the places where its slices begin: groups of `_GROUP`, in order."""
+    narrow = df.select(*keys, F.struct(*order).alias("__place")).join(hot, keys, "left_semi")
+    placed = numbered(narrow, [*keys, "__place"], "__position")
+    first = placed.groupBy(*keys).agg(F.min("__position").alias("__first"))
+    starts = placed.join(first, keys).filter((F.col("__position") - F.col("__first")) % hot_rows == 0)
+    ranked = starts.groupBy(*keys).agg(F.array_distinct(F.array_sort(F.collect_list("__place"))).alias("__all"))
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / _GROUP).cast("int")), lambda i: F.slice("__all", i * _GROUP + 1, F.lit(_GROUP))
     )
+    return ranked.select(*keys, groups.alias("__starts"))
 
 
 @dataclass
@@ -58,9 +92,9 @@ class Sliced:
 
 
 def slice_hot(
-    df: DataFrame, keys: list[str], ts: str, hot_rows: int | None = HOT_ROWS
+    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = HOT_ROWS
 ) -> Sliced:
-    """Measure the keys with one narrow aggregation, then slice the hot ones by time.
+    """Measure the keys with one narrow aggregation, then cut the hot ones by rank.
 
     `hot_rows=None` skips the measurement. The hot keys are written to the shared
     scratch folder, so their size is known to the optimizer, which broadcasts them
@@ -68,19 +102,16 @@ def slice_hot(
     """
     if hot_rows is None:
         return Sliced(df, keys)
-    hot = hot_keys(df, keys, ts, hot_rows)
+    hot = hot_keys(df, keys, hot_rows)
     if hot.isEmpty():
         return Sliced(df, keys)
-    path = scratch_dir(df.sparkSession, "hot-keys")
-    hot.write.parquet(path)
-    hot = df.sparkSession.read.schema(hot.schema).parquet(path)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    number = F.floor((micros - F.col("__from")) / F.col("__width"))
-    sliced = (
-        df.join(hot, keys, "left")
-        .withColumn(SLICE, F.coalesce(number, F.lit(0)))
-        .drop("__from", "__width")
-    )
+    hot = _written(hot, "hot-keys")
+    starts = _written(slice_starts(df, keys, order, hot, hot_rows), "slice-starts")
+    place = F.struct(*order)
+    # The group whose first start was reached last, then the start within it.
+    group = F.size(F.filter("__starts", lambda g: g[0] <= place))
+    number = (group - 1) * _GROUP + F.size(F.filter(F.get("__starts", group - 1), lambda s: s <= place)) - 1
+    sliced = df.join(starts, keys, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0))).drop("__starts")
     return Sliced(sliced, keys, hot)
 
 

@@ -243,7 +243,7 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     network once, on the connection; client look-up and pairing share that layout.
     """
     prepared = prepare_messages(messages, options)
-    sliced = slice_hot(prepared, CONNECTION, "ts", options.hot_rows)
+    sliced = slice_hot(prepared, CONNECTION, ORDER, options.hot_rows)
     seen = with_client(sliced, options)
 
     # Starts ride along the pairing window under keys of their own, so that one pass

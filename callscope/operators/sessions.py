@@ -87,7 +87,7 @@ def list_sessions(
 
 def session_trace(calls: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Calls of each session with their position in time order, from 1."""
-    sliced = slice_hot(calls.filter(F.col("session_key") != ""), SESSION, "started", hot_rows)
+    sliced = slice_hot(calls.filter(F.col("session_key") != ""), SESSION, TIME_ORDER, hot_rows)
     return with_running(sliced, SESSION, TIME_ORDER, sums={"position": F.lit(1)}).done()
 
 
@@ -109,7 +109,6 @@ def with_turns(
     rows: DataFrame,
     keys: list[str] | None = None,
     order: list[str] | None = None,
-    ts: str = "started",
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add `turn`, `turn_intent` and `turn_frustration`.
@@ -120,7 +119,7 @@ def with_turns(
     keys, order = keys or SESSION, order or TIME_ORDER
     opens = F.col("user_intent").isNotNull()
     opening = F.when(opens, F.struct("user_intent", "user_frustration"))
-    sliced = slice_hot(rows, keys, ts, hot_rows)
+    sliced = slice_hot(rows, keys, order, hot_rows)
     out = with_running(
         sliced, keys, order, sums={"turn": opens.cast("bigint")}, last={"__opening": opening}
     ).done()
@@ -146,7 +145,7 @@ def find_retries(calls: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame
     `same_input` tells whether the input preview was the same as well.
     """
     named = calls.filter(F.col("session_key") != "").withColumn("input_hash", F.xxhash64("input"))
-    sliced = slice_hot(named, SESSION, "started", hot_rows)
+    sliced = slice_hot(named, SESSION, TIME_ORDER, hot_rows)
     seen = with_previous(sliced, [*SESSION, "tool"], TIME_ORDER, ["ok", "input_hash", "call_id"]).done()
     return seen.filter(F.col("prev_row") & ~F.col("prev_ok")).select(
         *SESSION, "tool", "call_id",

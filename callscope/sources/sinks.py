@@ -34,7 +34,7 @@ def emit_to(
     A failure never stops the others. The result has one row per failed envelope, with
     its error, and is evaluated by whoever writes it.
     """
-    packed = pack_envelopes(events, size, hot_rows).select("server_id", "slice", "batch", "event_count", "body")
+    packed = pack_envelopes(events, size, hot_rows).select("server_id", "batch", "event_count", "body")
 
     def send(batches):
         for frame in batches:
@@ -48,5 +48,5 @@ def emit_to(
             frame = frame.assign(error=errors)
             yield frame[frame["error"].notna()]
 
-    schema = "server_id string, slice bigint, batch bigint, event_count bigint, body string, error string"
+    schema = "server_id string, batch bigint, event_count bigint, body string, error string"
     return packed.mapInPandas(send, schema)

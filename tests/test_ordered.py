@@ -20,7 +20,7 @@ def skewed(spark, sf):
 @pytest.mark.parametrize("hot_rows", [None, 10**9, 50, 1])
 def test_running_values_do_not_depend_on_slicing(skewed, hot_rows):
     order = ["ts", "event_id"]
-    sliced = slice_hot(skewed, ["k"], "ts", hot_rows)
+    sliced = slice_hot(skewed, ["k"], order, hot_rows)
     assert (sliced.hot is not None) == (hot_rows in (50, 1))
     sliced = with_previous(sliced, ["k", "event_type"], order, ["v", "event_id"])
     got = with_running(
@@ -46,11 +46,24 @@ def test_running_values_do_not_depend_on_slicing(skewed, hot_rows):
 
 
 def test_hot_keys_are_bounded_and_split(skewed):
-    rows = hot_keys(skewed, ["k"], "ts", 100).collect()
+    rows = hot_keys(skewed, ["k"], 100).collect()
     assert [r.k for r in rows] == ["hot"]
-    slices = slice_hot(skewed, ["k"], "ts", 80).df.filter("k = 'hot'")
+    slices = slice_hot(skewed, ["k"], ["ts", "event_id"], 80).df.filter("k = 'hot'")
     sizes = [r["count"] for r in slices.groupBy("__slice").count().collect()]
-    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 3
+    assert len(sizes) > 4 and max(sizes) <= 80 and sorted(sizes)[1:] == [80] * (len(sizes) - 1)
+
+
+def test_bursts_are_split(spark):
+    """Nearly all rows within one instant, and many rows of one place."""
+    rows = spark.range(5000).selectExpr(
+        "'k' AS k", "IF(id < 4900, timestamp '2024-01-01', timestampadd(DAY, CAST(id AS INT), timestamp '2024-01-01')) AS ts", "IF(id < 60, 7, id) AS seq"
+    )
+    sizes = {r["__slice"]: r["count"] for r in slice_hot(rows, ["k"], ["ts", "seq"], 20).df.groupBy("__slice").count().collect()}
+    # 250 slices of 20, past one group of starts, but for the rows of one place.
+    assert max(n for s, n in sizes.items() if n != max(sizes.values())) <= 40 and sum(sizes.values()) == 5000 and len(sizes) > 240
+    number = slice_hot(rows, ["k"], ["ts", "seq"], 20)
+    got = with_running(number, ["k"], ["ts", "seq"], sums={"n": F.lit(1)}).done().agg(F.max("n"), F.count_distinct("n")).first()
+    assert got[0] == 5000
 
 
 def test_keep_first_limits_before_the_shuffle(skewed, capsys):

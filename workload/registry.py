@@ -473,20 +473,33 @@ def _event_table(spark, sf):
     return build_events(V.messages(spark, sf), BuildOptions(hot_rows=None))
 
 
-@register("envelopes", f"""WITH {Q.LOG}, e AS (
+_ENVELOPES_SQL = f"""WITH {Q.LOG}, e AS (
   SELECT server, t, seq FROM paired
   UNION ALL SELECT server, t, seq FROM (SELECT * FROM sightings QUALIFY row_number() OVER (PARTITION BY server, actor, session ORDER BY t, seq) = 1)
   UNION ALL SELECT server, t, seq FROM (SELECT * FROM sightings WHERE who IS NOT NULL QUALIFY row_number() OVER (PARTITION BY server, actor ORDER BY t, seq) = 1)),
 b AS (SELECT *, (dense_rank() OVER (PARTITION BY server ORDER BY t, seq) - 1) // 20 AS batch FROM e)
-SELECT server AS server_id, batch, count(*) AS event_count, strftime(min(t), '%Y-%m-%d %H:%M:%S.%f') AS first_at FROM b GROUP BY ALL""")
-def envelopes_packed(spark, sf):
-    packed = envelopes.pack_envelopes(_event_table(spark, sf))
+SELECT server AS server_id, batch, count(*) AS event_count, strftime(min(t), '%Y-%m-%d %H:%M:%S.%f') AS first_at FROM b GROUP BY ALL"""
+
+
+def _packed_envelopes(spark, sf, **given):
+    packed = envelopes.pack_envelopes(_event_table(spark, sf), **given)
     return packed.select(
         "server_id", "batch", "event_count",
         F.date_format("first_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("first_at"),
     )
 
 
+@register("envelopes", _ENVELOPES_SQL)
+def envelopes_packed(spark, sf):
+    return _packed_envelopes(spark, sf)
+
+
+@register("envelopes_sliced", _ENVELOPES_SQL)
+def envelopes_sliced(spark, sf):
+    """The same envelopes with every server cut into slices."""
+    return _packed_envelopes(spark, sf, hot_rows=50)
+
+
 @register("envelope_round_trip", EVENTS_SQL.replace(_OWNED, "false"))
 def envelope_round_trip(spark, sf):
     """Packed, written as JSON, read back: nothing may change."""
@@ -617,7 +630,7 @@ def session_paths(spark, sf):
   n AS (SELECT *, sum(CASE WHEN user_intent IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY conv ORDER BY line, user_intent ROWS UNBOUNDED PRECEDING) AS turn FROM c)
 SELECT conv, line, CAST(turn AS BIGINT) AS turn, max(user_intent) OVER (PARTITION BY conv, turn) AS turn_intent, max(level) OVER (PARTITION BY conv, turn) AS turn_frustration FROM n""")
 def chat_turns(spark, sf):
-    turns = sessions.with_turns(V.chat(spark, sf), ["conv"], ["line"], ts="at")
+    turns = sessions.with_turns(V.chat(spark, sf), ["conv"], ["line"])
     return turns.select("conv", "line", "turn", "turn_intent", "turn_frustration")
 
 
