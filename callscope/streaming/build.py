@@ -1,4 +1,4 @@
-"""Streams of events and finished calls; `log.py` pairs the message log itself.
+"""Streams of events and finished calls; `keyed.py` pairs the message log itself.
 
 State is bounded by watermarks. What a watermark has already let go may
 come once more; ids are stable, so the event table drops the copy.
@@ -7,12 +7,7 @@ come once more; ids are stable, so the event table drops the copy.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.operators.assemble import (
-    START_COLUMNS,
-    build_identities,
-    build_session_inits,
-    build_tool_calls,
-)
+from callscope.operators.assemble import build_tool_calls
 from callscope.options import BuildOptions
 
 
@@ -21,22 +16,6 @@ def dedup_stream(events: DataFrame, ts: str = "recorded_at", delay: str = "10 mi
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["server_id", "event_id"])
 
 
-def session_inits_stream(rows: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """One start per actor and session out of calls or explicit starts.
-
-    Memory is the watermark delay: a session that returns later starts again under the
-    same event id.
-    """
-    named = rows.filter(F.col("session_id") != "").select(*START_COLUMNS)
-    return dedup_stream(build_session_inits(named), "recorded_at", delay)
-
-
-def identities_stream(rows: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """One identity event per identifier within the watermark delay."""
-    named = rows.filter(F.col("identifier").isNotNull()).select(*START_COLUMNS)
-    return dedup_stream(build_identities(named), "recorded_at", delay)
-
-
 def tool_calls_stream(
     calls: DataFrame, options: BuildOptions, owned: DataFrame | None = None
 ) -> DataFrame:

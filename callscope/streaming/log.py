@@ -1,198 +1,86 @@
-"""A message log taken micro-batch by micro-batch, paired and built into events as in batch.
+"""Tables of a message log that arrives as a stream, equal to those of the batch job.
 
-Rows wait until the watermark (the latest time seen, less `delay`) has passed them, so that
-each micro-batch decides one span of time whose rows have all come. What a span needs from
-earlier ones is carried in a table: requests without an answer, with the client and session
-they began under, and of each connection the starts that are still in force. Pairing is thus
-take-once, and calls, session starts and identities are those of the batch job.
-
-Rows that come after their span was decided, or without a time, go to a table of their own. The state holds the
-waiting rows, one row for each unanswered request, at most three for each connection that was
-not closed, and the ids of the sessions and identities sent; `forget_after` drops what is older.
+Two streaming queries with checkpoints of their own: one pairs the log over keyed state
+(`keyed.observe`) into the table `decided`, the other picks the first sighting of each session and
+identity out of it. Calls, events and late rows are views of these tables; `call_stream` reads them
+as a stream again. Both queries resume where they stopped, and their sinks hold each
+micro-batch once.
 """
 
 import os
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from callscope.operators.assemble import (
-    build_session_events,
-    build_tool_calls,
-    first_of_each,
-    first_sightings,
-)
-from callscope.operators.ordered import slice_hot, with_previous
-from callscope.operators.pairing import (
-    CONNECTION,
-    INITIALIZE,
-    ORDER,
-    REQUEST_COLUMNS,
-    TOOLS_CALL,
-    analytics_session_id,
-    as_cancelled,
-    expired,
-    finish_call,
-    pending_requests,
-    prepare_messages,
-    sighting_rows,
-    with_client,
-)
+from callscope import schemas as S
+from callscope.operators.assemble import START_COLUMNS, build_session_events, build_tool_calls
 from callscope.options import BuildOptions
-from callscope.schemas import MESSAGE_SCHEMA, SESSION_INIT, TOOL_CALL
-
-_CLOCK = "micro_batch bigint, watermark bigint"
-_SENT = "server_id string, event_id string, at timestamp"
-_EVERYTHING = (1 << 62) - 1
+from callscope.streaming import keyed, sinks
 
 
-class LogStream:
-    """Function on the micro-batches of a message log; its tables lie below `folder`.
+def end_of_log(spark: SparkSession, messages: DataFrame, options: BuildOptions, delay: int) -> DataFrame:
+    """One row that moves the watermark past all of `messages`, or to `as_of` where that is given.
 
-    Every micro-batch overwrites what an earlier attempt of the same number wrote, and
-    reads the state of the one before it, of which two generations are kept.
+    It closes a connection that does not exist. A log that goes on needs none: its later rows
+    move the time.
     """
+    row = messages.agg(F.max("ts").alias("last"), F.lit(options.as_of).cast("timestamp").alias("as_of")).first()
+    last = max((t for t in (row.last, row.as_of) if t is not None), default=None)
+    if last is None:
+        return spark.createDataFrame([], S.MESSAGE_SCHEMA)
+    given = {"seq": 0, "ts": last + timedelta(seconds=delay, milliseconds=1), "phase": "close"}
+    return spark.createDataFrame([tuple(given.get(f.name) for f in S.MESSAGE_SCHEMA)], S.MESSAGE_SCHEMA)
+
+
+class LogTables:
+    """The tables of one log below `folder`, and the queries that write them."""
 
     def __init__(
         self, spark: SparkSession, folder: str, options: BuildOptions | None = None,
         delay: int = 600, owned: DataFrame | None = None, forget_after: int | None = None,
-        only_calls: bool = False,
     ):
-        """`delay` and `forget_after` in seconds; `only_calls` builds no events."""
+        """`delay` and `forget_after` in seconds; see `keyed`."""
         self.spark, self.folder, self.options = spark, folder, options or BuildOptions()
-        self.delay, self.owned, self.forget_after = delay * 1_000_000, owned, forget_after
-        empty = spark.createDataFrame([], MESSAGE_SCHEMA)
-        self._row = prepare_messages(empty, self.options).schema
-        self._seen = self._with_memory(prepare_messages(empty, self.options)).schema
-        self.only_calls, self._last = only_calls, None
+        self.delay, self.owned, self.forget_after = delay, owned, forget_after
 
-    # --- tables ----------------------------------------------------------------------
+    def _path(self, *name: str) -> str:
+        return os.path.join(self.folder, *name)
 
-    def _path(self, name: str, number: int) -> str:
-        return os.path.join(self.folder, name, f"micro_batch={number}")
+    def start(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
+        """Pair a stream of messages into the table `decided`."""
+        decided = keyed.observe(messages, self.options, f"{self.delay} seconds", self.forget_after)
+        return sinks.start(decided, self._path("checkpoints", "decided"), path=self._path("decided"), available_now=available_now)
 
-    def _state(self, name: str, number: int) -> str:
-        return os.path.join(self.folder, "state", str(number % 2), name)
+    def start_sessions(self, available_now: bool = True) -> StreamingQuery:
+        """Write the session starts and identities that the table `decided` holds or gets."""
+        decided = self._decided(streaming=True)
+        calls = keyed.decided_calls(decided, self.options).select(*START_COLUMNS, F.lit(False).alias("explicit"))
+        starts = keyed.decided_starts(decided, self.options).select(*START_COLUMNS, "explicit")
+        firsts = keyed.first_of_each_stream(calls.unionByName(starts), self.forget_after)
+        return sinks.start(build_session_events(firsts), self._path("checkpoints", "sessions"), path=self._path("sessions"), available_now=available_now)
 
-    def _read_state(self, name: str, number: int, schema) -> DataFrame:
-        if number < 0:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._state(name, number))
+    def _decided(self, streaming: bool = False) -> DataFrame:
+        reader = self.spark.readStream if streaming else self.spark.read
+        return reader.schema(keyed.DECIDED).parquet(self._path("decided"))
 
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.folder, name))
+    def call_stream(self) -> DataFrame:
+        """Finished calls as a stream of their own."""
+        return keyed.decided_calls(self._decided(streaming=True), self.options)
 
     def calls(self) -> DataFrame:
-        return self._table("calls").drop("micro_batch")
+        return keyed.decided_calls(self._decided(), self.options)
+
+    def session_events(self) -> DataFrame:
+        schema = build_session_events(self.spark.createDataFrame([], keyed.FIRSTS)).schema
+        return self.spark.read.schema(schema).parquet(self._path("sessions"))
 
     def events(self) -> DataFrame:
-        return self._table("events").drop("micro_batch")
+        """The whole event table; `disabled` exports nothing."""
+        events = self.session_events().unionByName(build_tool_calls(self.calls(), self.options, self.owned))
+        return events.filter("false") if self.options.disabled else events
 
     def late(self) -> DataFrame:
-        """Rows that came too late to be decided, with the micro-batch they came in."""
-        return self._table("late")
-
-    # --- a micro-batch ----------------------------------------------------------------
-
-    def __call__(self, batch: DataFrame, number: int) -> None:
-        self._take(prepare_messages(batch, self.options), number, final=False)
-
-    def finish(self) -> None:
-        """Decide all that still waits, at the end of a log."""
-        if self._last is None:
-            return
-        self._take(self.spark.createDataFrame([], self._row), self._last + 1, final=True)
-
-    def _take(self, fresh: DataFrame, number: int, final: bool) -> None:
-        before = number - 1
-        clock = self._read_state("clock", before, _CLOCK).first()
-        if clock is not None and clock.micro_batch != before:
-            raise ValueError(f"the state is of micro-batch {clock.micro_batch}, not {before}")
-        passed = clock.watermark if clock else -_EVERYTHING
-        micros = F.unix_micros("ts")
-        latest = fresh.agg(F.max(micros)).first()[0]
-        watermark = passed if latest is None else max(passed, latest - self.delay)
-        if final:
-            watermark = _EVERYTHING
-
-        self._write(fresh.filter((micros <= passed) | F.col("ts").isNull()), self._path("late", number))
-        waiting = self._read_state("waiting", before, self._row).unionByName(fresh.filter(micros > passed))
-        self._write(waiting.filter(micros > watermark), self._state("waiting", number))
-
-        memory = self._read_state("memory", before, self._row)
-        due = memory.unionByName(waiting.filter(micros <= watermark))
-        self._write(self._with_memory(due).filter(micros > passed), self._state("seen", number))
-        seen = self._read_state("seen", number, self._seen)
-
-        oldest = None
-        if self.forget_after is not None and not final:
-            oldest = watermark - self.forget_after * 1_000_000
-        self._write(self._younger(self._in_force(due), oldest), self._state("memory", number))
-
-        is_call = F.col("method").eqNullSafe(TOOLS_CALL)
-        pending = self._read_state("pending", before, self._seen)
-        rows = pending.unionByName(seen.filter(is_call))
-        left = pending_requests(rows)
-        sliced = slice_hot(rows, CONNECTION, "ts", self.options.hot_rows)
-        keys = [*CONNECTION, "request_id"]
-        paired = with_previous(sliced, keys, ORDER, ["phase", *REQUEST_COLUMNS]).done()
-        pairs = paired.filter(F.col("phase").isin("end", "cancel") & (F.col("prev_phase") == "begin")).drop("prev_row")
-        if self.options.abandon_after is not None:
-            now = F.lit(self.options.as_of).cast("timestamp") if final else F.timestamp_micros(F.lit(watermark))
-            is_lost = expired(F.col("ts"), now, self.options)
-            pairs = pairs.unionByName(as_cancelled(left.filter(is_lost), self.options).select(pairs.columns))
-            left = left.filter(~is_lost)
-        self._write(self._younger(left, oldest), self._state("pending", number))
-
-        calls = finish_call(pairs, self.options)
-        self._write(calls, self._path("calls", number))
-        if not self.only_calls:
-            calls = self.spark.read.schema(calls.schema).parquet(self._path("calls", number))
-            self._send(calls, seen, number, oldest)
-
-        stamp = self.spark.createDataFrame([(number, watermark)], _CLOCK)
-        self._write(stamp, self._state("clock", number))
-        self._last = number
-
-    def _send(self, calls: DataFrame, seen: DataFrame, number: int, oldest: int | None) -> None:
-        """Write the events of a micro-batch, and which sessions and identities were sent."""
-        starts = sighting_rows(seen.filter("opens_session"), self.options, only_starts=True)
-        sessions = build_session_events(first_of_each(first_sightings(calls, starts)))
-        sent = self._read_state("sent", number - 1, _SENT)
-        events = self._unsent(sessions, sent).unionByName(build_tool_calls(calls, self.options, self.owned))
-        self._write(events.filter("false") if self.options.disabled else events, self._path("events", number))
-        events = self.spark.read.schema(events.schema).parquet(self._path("events", number))
-        ids = events.filter(F.col("kind") != TOOL_CALL).select("server_id", "event_id", F.col("recorded_at").alias("at"))
-        self._write(self._younger(sent.unionByName(ids), oldest, "at"), self._state("sent", number))
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        df.write.mode("overwrite").parquet(path)
-
-    def _younger(self, rows: DataFrame, oldest: int | None, ts: str = "ts") -> DataFrame:
-        return rows if oldest is None else rows.filter(F.unix_micros(ts) > oldest)
-
-    def _with_memory(self, due: DataFrame) -> DataFrame:
-        return with_client(slice_hot(due, CONNECTION, "ts", self.options.hot_rows), self.options).done()
-
-    def _in_force(self, rows: DataFrame) -> DataFrame:
-        """The starts that later rows may still look back to: first, last and first with an id."""
-        place = F.struct(*ORDER)
-        is_start = F.col("method").eqNullSafe(INITIALIZE) & (F.col("phase") == "end")
-        own_id = analytics_session_id(self.options.adapter, self.options.session_header, F.lit(None).cast("string"))
-
-        def at(condition: Column) -> Column:
-            return F.when(condition, place)
-
-        closes = rows.groupBy(*CONNECTION).agg(F.max(at(F.col("phase") == "close")).alias("closed"))
-        starts = rows.filter(is_start).withColumn("place", place).join(closes, CONNECTION)
-        starts = starts.filter(F.col("closed").isNull() | (F.col("place") > F.col("closed"))).drop("closed")
-        kept = starts.groupBy(*CONNECTION).agg(
-            F.array_distinct(F.array(F.min("place"), F.max("place"), F.min(at(F.coalesce(own_id, F.lit("")) != "")))).alias("places")
-        ).select(*CONNECTION, F.explode("places").alias("place"))
-        return starts.join(kept, [*CONNECTION, "place"], "left_semi").select(rows.columns)
-
-    def _unsent(self, events: DataFrame, sent: DataFrame) -> DataFrame:
-        """Events whose id was not sent before; starts of blank sessions are sent every time."""
-        blank = (F.col("kind") == SESSION_INIT) & (F.coalesce("session_id_hint", F.lit("")) == "")
-        new = events.filter(~blank).join(sent, ["server_id", "event_id"], "left_anti").select(events.columns)
-        return new.unionByName(events.filter(blank))
+        """Rows that came after their time was decided, or without a time."""
+        return self._decided().filter("kind = 'late'").select("server_id", "seq", F.timestamp_micros("micros").alias("ts"))

@@ -1,6 +1,6 @@
 """Streaming queries over the driver's tables; each must give its batch form's rows.
 
-The log comes as FILES files in time order, one in each micro-batch.
+The log comes as FILES spans of time in order, one in each micro-batch.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,42 +15,48 @@ from callscope.schemas import MESSAGE_SCHEMA
 from callscope.session import scratch_dir
 from callscope.sources.readers import read_messages
 from callscope.streaming import build, sinks
-from callscope.streaming.log import LogStream
+from callscope.streaming.log import LogTables, end_of_log
 from workload import sql as Q
 from workload import views as V
 from workload.registry import EVENTS_SQL, FLAT, owned_tools, register
 
 OPTIONS = BuildOptions(hot_rows=None)
+DELAY = 600
 FILES = 8
+#: Rows of one file of the log, about; a time span of more comes in several files.
+FILE_ROWS = 250_000
 
 
-def with_file(log: DataFrame) -> DataFrame:
+def with_file(log: DataFrame, spans: int = FILES) -> DataFrame:
     """The file of each row: equal spans of the log's time."""
     span = log.agg(F.min(F.unix_micros("ts")).alias("low"), F.max(F.unix_micros("ts")).alias("high")).first()
     if span.low is None:
         return log.withColumn("file", F.lit(0))
-    number = F.floor((F.unix_micros("ts") - F.lit(span.low)) * FILES / F.lit(span.high - span.low + 1))
+    number = F.floor((F.unix_micros("ts") - F.lit(span.low)) * spans / F.lit(span.high - span.low + 1))
     return log.withColumn("file", number.cast("int"))
 
 
-def message_files(spark: SparkSession, sf: str, late: str = "false") -> str:
-    """The message log as files in time order, for a stream to read one by one.
+def message_files(spark: SparkSession, sf: str, late: str = "false", spans: int = FILES) -> tuple[str, int]:
+    """The message log as files in time order, for a stream to read span by span, and the files of a span.
 
-    Rows for which `late` holds come with the last file.
+    Rows for which `late` holds come with the last span; one row after it ends the log. Each
+    span is written in parallel, in as many files as the log's size asks for.
     """
     dealt, path = scratch_dir(spark, "messages-by-file"), scratch_dir(spark, "messages")
-    file = F.when(F.expr(late), FILES - 1).otherwise(F.col("file"))
-    with_file(V.messages(spark, sf)).withColumn("file", file).write.partitionBy("file").parquet(dealt)
-    # A stream takes the oldest file first, so they are written in turn.
-    rows = spark.read.parquet(dealt)
-    for number in range(FILES):
-        part = rows.filter(F.col("file") == number).select(MESSAGE_SCHEMA.fieldNames())
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    file = F.when(F.expr(late), spans - 1).otherwise(F.col("file"))
+    with_file(V.messages(spark, sf), spans).withColumn("file", file).write.partitionBy("file").parquet(dealt)
+    # A stream takes the oldest files first, so the spans are written in turn.
+    rows = spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in MESSAGE_SCHEMA)}, file int").parquet(dealt)
+    sizes = dict(rows.groupBy("file").count().collect())
+    files = max(1, min([-(-max(sizes.values(), default=1) // FILE_ROWS), *sizes.values()]))
+    for number in sorted(sizes):
+        rows.filter(F.col("file") == number).select(MESSAGE_SCHEMA.fieldNames()).repartition(files).write.mode("append").parquet(path)
+    end_of_log(spark, rows, OPTIONS, DELAY).repartition(1).write.mode("append").parquet(path)
+    return path, files
 
 
-def log_stream(spark: SparkSession, path: str) -> DataFrame:
-    return read_messages(spark, path, streaming=True, files_per_trigger=1)
+def log_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
+    return read_messages(spark, path, streaming=True, files_per_trigger=files)
 
 
 def drain(stream: DataFrame, **sink) -> None:
@@ -67,11 +73,15 @@ def collected(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def processed(spark, sf, owned=None, late="false", only_calls=True) -> LogStream:
-    """The whole log taken in micro-batches, with the default delay."""
-    taken = LogStream(spark, scratch_dir(spark, "stream-log"), OPTIONS, owned=owned, only_calls=only_calls)
-    drain(log_stream(spark, message_files(spark, sf, late)), batch=taken)
-    taken.finish()
+def processed(spark, sf, owned=None, late="false", only_calls=True, spans=FILES, watched=None) -> LogTables:
+    """The whole log taken in micro-batches, with the default delay; `watched` gets their progress."""
+    taken = LogTables(spark, scratch_dir(spark, "stream-log"), OPTIONS, delay=DELAY, owned=owned)
+    query = taken.start(log_stream(spark, *message_files(spark, sf, late, spans)))
+    query.awaitTermination()
+    if watched is not None:
+        watched.extend(query.recentProgress)
+    if not only_calls:
+        taken.start_sessions().awaitTermination()
     return taken
 
 
@@ -98,8 +108,7 @@ def stream_log_events(spark, sf):
 def stream_tool_calls(spark, sf):
     """Finished calls as a stream of their own, built without state."""
     taken = processed(spark, sf)
-    calls = spark.readStream.schema(taken.calls().schema).parquet(f"{taken.folder}/calls/*")
-    events = collected(build.tool_calls_stream(calls, OPTIONS))
+    events = collected(build.tool_calls_stream(taken.call_stream(), OPTIONS))
     return events.selectExpr(
         "event_id", "metadata.tool_name AS tool_name", "metadata.input_preview AS input_preview", "ok"
     )
@@ -111,7 +120,7 @@ _FIRST = "QUALIFY row_number() OVER (PARTITION BY server, actor, {0} ORDER BY t,
 @register("stream_session_inits", f"""WITH {Q.LOG} SELECT server AS server_id, session AS session_id_hint, actor AS actor_id, {Q.stamp('began')} AS started_at,
   client AS client_name, run AS workflow_run_id FROM (SELECT * FROM sightings {_FIRST.format('session')})""")
 def stream_session_inits(spark, sf):
-    events = processed(spark, sf, only_calls=False).events().filter("kind = 'session_init'")
+    events = processed(spark, sf, only_calls=False).session_events().filter("kind = 'session_init'")
     return events.selectExpr(
         "server_id", "session_id_hint", "actor_id", "started_at", "metadata.client_name AS client_name", "workflow_run_id"
     )
@@ -120,7 +129,7 @@ def stream_session_inits(spark, sf):
 @register("stream_identities", f"""WITH {Q.LOG} SELECT server AS server_id, who AS identifier, {Q.stamp('began')} AS started_at
   FROM (SELECT * FROM sightings WHERE who IS NOT NULL {_FIRST.format('who')})""")
 def stream_identities(spark, sf):
-    events = processed(spark, sf, only_calls=False).events().filter("kind = 'actor_identity'")
+    events = processed(spark, sf, only_calls=False).session_events().filter("kind = 'actor_identity'")
     return events.selectExpr("server_id", "metadata.identifier AS identifier", "started_at")
 
 
@@ -140,7 +149,7 @@ def stream_late_rows(spark, sf):
 @register("stream_deduplicated", f"""WITH {Q.EV} SELECT DISTINCT server AS server_id, session AS event_id FROM ev""")
 def stream_deduplicated(spark, sf):
     """Every message of a session arrives as the same event; one may stay."""
-    messages = log_stream(spark, message_files(spark, sf))
+    messages = log_stream(spark, *message_files(spark, sf))
     events = messages.filter("phase = 'begin'").selectExpr(
         "server_id", "transport_session_id AS event_id", "ts AS recorded_at"
     )
@@ -151,7 +160,7 @@ def stream_deduplicated(spark, sf):
   count(*) FILTER (WHERE event_type <> 'error') AS ok_count, count(*) FILTER (WHERE event_type = 'error') AS error_count FROM ev GROUP BY ALL""")
 def stream_session_rollup(spark, sf):
     """Running counts by session and day; the last snapshots of a session sum up to it."""
-    messages = log_stream(spark, message_files(spark, sf))
+    messages = log_stream(spark, *message_files(spark, sf))
     calls = messages.filter("phase = 'begin'").selectExpr(
         "server_id", "transport_session_id AS session_key", "ts AS started",
         "get_json_object(params, '$.name') <> 'error' AS ok",
@@ -170,8 +179,7 @@ def stream_session_rollup(spark, sf):
 def stream_envelopes(spark, sf):
     """Envelopes written per micro-batch, read back as events."""
     taken, path = processed(spark, sf), scratch_dir(spark, "stream-envelopes")
-    calls = spark.readStream.schema(taken.calls().schema).parquet(f"{taken.folder}/calls/*")
-    drain(build.tool_calls_stream(calls, OPTIONS), batch=sinks.envelope_batch(path))
+    drain(build.tool_calls_stream(taken.call_stream(), OPTIONS), batch=sinks.envelope_batch(path))
     documents = spark.read.parquet(path).filter("event_count > 0").select("body")
     return unpack_envelopes(documents).select("event_id", "schema_version")
 
