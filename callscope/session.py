@@ -37,8 +37,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        # The setting itself cannot be changed in a running session; the context keeps the folder.
         root = tempfile.mkdtemp(prefix="callscope-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        spark.sparkContext.setCheckpointDir(root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
