@@ -173,6 +173,10 @@ def sql_may_hold_secret(name: str) -> str:
     return _sql_any_trigger(name, SECRET_RULES)
 
 
+def may_hold_secret(name: str) -> Column:
+    return F.expr(sql_may_hold_secret(name))
+
+
 def _sql_apply(name: str, rules, label) -> str:
     for rule, pattern, before, after in rules:
         text = sql_text(before + label(rule) + after)

@@ -1,12 +1,10 @@
 """Checks on finished tables; each gives one row per finding or a small verdict row."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callscope.functions.clients import client_family
-from callscope.functions.text import secret_hits
+from callscope.functions.text import may_hold_secret, secret_hits
 
 
 def session_isolation(sessions: DataFrame, group: list[str]) -> DataFrame:
@@ -59,14 +57,16 @@ EXPORTED_TEXTS = ["error", "script_source", "result_preview", "metadata.input_pr
 def leaked_secrets(events: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Secret rules that still match in exported columns; empty for a clean table.
 
-    Labels are taken out first: a label in the place of a password is no password.
+    All columns are searched in one pass over the table: texts without any literal of a rule
+    are left out before the patterns run. Labels are taken out first: a label in the place
+    of a password is no password.
     """
-    checked = []
-    for name in columns or EXPORTED_TEXTS:
-        bare = events.select("event_id", F.regexp_replace(name, "\\[redacted:[a-z-]+\\]", "\n!").alias("bare"))
-        hits = bare.select("event_id", F.lit(name).alias("column"), F.explode(secret_hits("bare")).alias("label", "hits"))
-        checked.append(hits.filter("hits > 0"))
-    return reduce(DataFrame.unionByName, checked)
+    names = columns or EXPORTED_TEXTS
+    texts = F.array(*[F.struct(F.lit(n).alias("column"), F.regexp_replace(n, "\\[redacted:[a-z-]+\\]", "\n!").alias("bare")) for n in names])
+    rows = events.select("event_id", F.explode(F.filter(texts, lambda t: t["bare"].isNotNull())).alias("t")).select("event_id", "t.column", "t.bare")
+    held = rows.filter(may_hold_secret("bare"))
+    hits = held.select("event_id", "column", F.explode(secret_hits("bare")).alias("label", "hits"))
+    return hits.filter("hits > 0")
 
 
 def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -146,3 +146,34 @@ def settled_at(polls: DataFrame, quiet_seconds: int = 30, min_sessions: int = 4)
     return keep_first(done, ["watch_id"], ["polled_at"]).select(
         "watch_id", "stable_since", F.col("polled_at").alias("settled_at"), "sessions"
     )
+
+
+def settled_windows(
+    calls: DataFrame, watch: str, ts: str, span: str = "30 seconds", quiet: str = "30 seconds", min_sessions: int = 4
+) -> DataFrame:
+    """When each watch settled, out of the calls themselves: enough sessions, and no window of
+    `span` added a call for `quiet`.
+
+    A watch's set of sessions and their counts is the same in two snapshots exactly when no
+    window between them holds a call, so snapshots are never compared: windows that hold calls
+    are the islands, and the first long enough gap behind one with `min_sessions` settles.
+    The gap behind the last window ends with the last window of all.
+    """
+    seen = calls.select(F.col(watch).alias("watch_id"), F.window(ts, span)["end"].alias("upto"), "session_key")
+    windows = seen.groupBy("watch_id", "upto").agg(F.count(F.lit(1)).alias("calls"))
+    last = windows.agg(F.max("upto").alias("end")).first().end
+    # Counts by first window, so that a session's calls never meet in a task.
+    firsts = seen.groupBy("watch_id", "session_key").agg(F.min("upto").alias("upto")).groupBy("watch_id", "upto").agg(F.count(F.lit(1)).alias("fresh"))
+    fresh = windows.join(firsts, ["watch_id", "upto"], "left").withColumn("new_sessions", F.coalesce("fresh", F.lit(0)))
+    in_time = Window.partitionBy("watch_id").orderBy("upto")
+    gaps = fresh.withColumns({
+        "sessions": F.sum("new_sessions").over(in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "next_upto": F.lead("upto").over(in_time),
+    })
+    settled = F.col("upto") + F.expr(f"interval {quiet}")
+    # A call in the next window may lie anywhere in it: the gap ends where that window begins.
+    gap_ends = F.coalesce(F.col("next_upto") - F.expr(f"interval {span}"), F.lit(last))
+    done = gaps.filter((F.col("sessions") >= min_sessions) & (settled <= gap_ends))
+    return keep_first(done, ["watch_id"], ["upto"]).select(
+        "watch_id", F.col("upto").alias("stable_since"), settled.alias("settled_at"), F.col("sessions")
+    )

@@ -193,3 +193,12 @@ def test_leaks_are_found(spark):
     rows = [("a", "password=[redacted:sensitive-kv]"), ("b", "token=live"), ("c", "x://u:[redacted:connection-string]@h")]
     df = spark.createDataFrame(rows, "event_id string, error string")
     assert [(r.event_id, r.label) for r in quality.leaked_secrets(df, ["error"]).collect()] == [("b", "sensitive-kv")]
+
+
+def test_watches_settle_in_gaps_of_their_own_calls(spark):
+    rows = [("w", s, t) for t, s in [(5, "a"), (12, "b"), (13, "a"), (41, "c"), (95, "a")]] + [("x", "a", 0), ("x", "b", 3)]
+    calls = spark.createDataFrame(rows, "watch string, session_key string, t long").withColumn("at", F.timestamp_seconds("t"))
+    settled = lambda n: [(r.watch_id, r.stable_since.second, r.settled_at.minute * 60 + r.settled_at.second, r.sessions) for r in runs.settled_windows(calls, "watch", "at", "10 seconds", "30 seconds", n).orderBy("watch_id").collect()]
+    assert settled(3) == [("w", 50, 80, 3)]
+    assert settled(2) == [("w", 50, 80, 3), ("x", 10, 40, 2)]
+    assert settled(4) == []

@@ -458,6 +458,29 @@ def secret_audit(spark, sf):
     return usage.secret_audit(V.planted_documents(spark, sf), ["source"], "body")
 
 
+_LEAKS = {
+    "error": "'cannot reach postgres://u:pw' || event_id || '@db'", "result_preview": "'api_key=k' || event_id || ' then'",
+    "metadata.input_preview": "'AKIA' || 'ABCDEFGHIJKLMNOP'", "metadata.agent_thinking": "'use Bearer q7Zk20mWx91LtB44Rvne'",
+}
+_LEAK_RULES = {"error": "connection-string", "result_preview": "sensitive-kv", "metadata.input_preview": "aws-access-key-id", "metadata.agent_thinking": "bearer"}
+
+
+@register("secrets_before_and_after", " UNION ALL ".join(
+    f"SELECT '{column}' AS \"column\", '{_LEAK_RULES[column]}' AS label, count(*) AS before, 0 AS after FROM events WHERE event_type <> 'signup' AND event_id % 4 = {i}"
+    + (" AND event_id % 17 <> 0" if column in ("error", "result_preview") else " AND (event_id % 17 <> 0 OR event_id % 34 = 0)")
+    for i, column in enumerate(_LEAKS)
+))
+def secrets_before_and_after(spark, sf):
+    """Secrets planted in errors, results, arguments and telemetry of the log: what an export holds without and with redaction."""
+    log = V.leaky_messages(spark, sf)
+    found = []
+    for name, secrets in (("before", False), ("after", True)):
+        events = build_events(log, BuildOptions(hot_rows=None, redact_secrets=secrets))
+        rows = quality.leaked_secrets(events.filter("metadata.tool_name <> 'signup'"), list(_LEAKS))
+        found.append(rows.groupBy("column", "label").agg(F.sum("hits").alias(name)))
+    return found[0].join(found[1], ["column", "label"], "left").select("column", "label", "before", F.coalesce("after", F.lit(0)).alias("after"))
+
+
 @register("no_secret_survives", "SELECT '' AS event_id, '' AS \"column\", '' AS label, 0 AS hits WHERE false")
 def no_secret_survives(spark, sf):
     """The redacted documents, searched again as an exported column."""
@@ -556,12 +579,12 @@ def delivery_report(spark, sf):
     return delivery.classify_deliveries(V.attempts(spark, sf)).drop("response")
 
 
-@register("refusals_with_events", f"""WITH {Q.ATTEMPTS}, known AS (SELECT DISTINCT 'e' || c_custkey AS event_id, c_mktsegment AS kind FROM customer WHERE c_custkey % 2 = 0),
+@register("refusals_with_events", f"""WITH {Q.ATTEMPTS}, known AS (SELECT DISTINCT 'e' || c_custkey AS event_id, c_mktsegment AS kind FROM customer),
   x AS (SELECT batch_id, unnest([{{'event_id': 'e' || o_custkey, 'reason': 'quota'}}, {{'event_id': NULL, 'reason': 'schema_version_mismatch'}}, {{'event_id': NULL, 'reason': 'quota'}}, {{'event_id': 'x', 'reason': ''}}]) AS r
     FROM verdicts WHERE kind = 2 AND failure IS NULL AND status < 300)
 SELECT x.r.event_id AS event_id, batch_id, x.r.reason AS reason, known.kind AS kind FROM x LEFT JOIN known ON x.r.event_id = known.event_id""")
 def refusals_with_events(spark, sf):
-    known = V.table(spark, sf, "customer").filter("c_custkey % 2 = 0").selectExpr(
+    known = V.table(spark, sf, "customer").selectExpr(
         "concat('e', c_custkey) AS event_id", "c_mktsegment AS kind", "'' AS actor_id", "'' AS session_id_hint"
     )
     done = delivery.classify_deliveries(V.attempts(spark, sf)).filter("status BETWEEN 200 AND 299")
@@ -760,19 +783,24 @@ def run_balance(spark, sf):
     return runs.run_balance(V.runs(spark, sf))
 
 
-@register("settled_watches", f"""WITH {Q.EV}, s AS (SELECT user_id, session, count(*) AS n FROM ev GROUP BY ALL),
-  p AS (SELECT 'w' || user_id AS watch_id, step, session, least(n, step + 1) AS c FROM s, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS step)),
-  f AS (SELECT watch_id, step, count(*) AS sessions, string_agg(session || ':' || c || ':0', '|' ORDER BY session) AS fp FROM p GROUP BY ALL),
-  c AS (SELECT *, fp IS DISTINCT FROM lag(fp) OVER (PARTITION BY watch_id ORDER BY step) AS changed FROM f),
-  z AS (SELECT *, max(CASE WHEN changed THEN step END) OVER (PARTITION BY watch_id ORDER BY step ROWS UNBOUNDED PRECEDING) AS since FROM c),
-  d AS (SELECT * FROM z WHERE sessions >= 4 AND (step - since) * 10 >= 30 QUALIFY row_number() OVER (PARTITION BY watch_id ORDER BY step) = 1)
-SELECT watch_id, since AS stable_step, step AS settled_step, sessions FROM d""")
+_SPAN = 6 * 3600
+
+
+@register("settled_watches", f"""WITH {Q.EV}, w AS (SELECT 'w' || user_id AS watch_id, session AS session_id, epoch_us(ts) // 1000000 // {_SPAN} AS span, count(*) AS n,
+    count(*) FILTER (WHERE event_type = 'error') AS bad FROM ev GROUP BY ALL),
+  added AS (SELECT DISTINCT watch_id, span FROM w),
+  quiet AS (SELECT watch_id, span, lead(span) OVER (PARTITION BY watch_id ORDER BY span) AS next_span FROM added),
+  seen AS (SELECT watch_id, session_id, min(span) AS first_span FROM w GROUP BY ALL),
+  known AS (SELECT q.watch_id, q.span, q.next_span, (SELECT count(*) FROM seen s WHERE s.watch_id = q.watch_id AND s.first_span <= q.span) AS sessions FROM quiet q),
+  last AS (SELECT max(span) AS end_span FROM w)
+SELECT watch_id, (span + 1) * {_SPAN} AS stable_since, (span + 1) * {_SPAN} + 86400 AS settled_at, sessions FROM known, last
+WHERE sessions >= 4 AND (coalesce(next_span, end_span + 1) - span - 1) * {_SPAN} >= 86400
+QUALIFY row_number() OVER (PARTITION BY watch_id ORDER BY span) = 1""")
 def settled_watches(spark, sf):
-    done = runs.settled_at(V.polls(spark, sf))
-    step = lambda c: ((F.unix_seconds(c) - 1700000000) / 10).cast("bigint")
-    return done.select(
-        "watch_id", step("stable_since").alias("stable_step"), step("settled_at").alias("settled_step"), "sessions"
-    )
+    """Users whose set of sessions stayed as it was for a day, out of windows of six hours."""
+    calls = V.calls(spark, sf).withColumn("watch_id", F.concat(F.lit("w"), F.split("session_key", "-")[0]))
+    done = runs.settled_windows(calls, "watch_id", "started", span="6 hours", quiet="1 day", min_sessions=4)
+    return done.select("watch_id", F.unix_seconds("stable_since").alias("stable_since"), F.unix_seconds("settled_at").alias("settled_at"), "sessions")
 
 
 # --- quality -------------------------------------------------------------------------------------
