@@ -6,11 +6,13 @@ them, generators of high recall propose spans that may overlap: addresses with o
 or written out, card and phone numbers next to more digits, phones without a plus. Each proposal
 has small features of its format and context.
 
-Learning: proposals that the base patterns match whole are labelled by their check; the trees are
-fitted by Newton steps on those, in half of the documents, and score all proposals. In the other
+Learning: a match of a whole base pattern is labelled by its check, which is no feature, and each
+match that passes is also labelled 0 at the place `AWAY` characters before it: the same format in
+another context. The trees are fitted by Newton steps on those, in half of the documents, so that they
+tell contexts and formats of real data from others, and score all proposals. In the other
 half, each kind gets the lowest threshold at which the labelled proposals above it reach
-`PRECISION`; a kind that never reaches it adds nothing. Of proposals that pass, those that overlap a
-base span or a better proposal go.
+`PRECISION`; a kind that never reaches it adds nothing. A proposal is added if it passes its
+kind's check and its threshold and overlaps neither a base span nor a better proposal.
 
 All work on texts is built-in functions. Since features are small numbers, Spark reduces the
 proposals of all documents to counts by feature pattern, at most `MAX_PATTERNS`, and the trees are
@@ -19,7 +21,9 @@ whole, so that a rare kind is learned and calibrated at any size. No rows are sh
 
 Cases: a null text is empty; without labelled proposals only base spans are returned; repeated
 rows are judged alike; equal scores prefer the earlier, then the longer span; an empty table
-gives an empty table. Repetitions in patterns are possessive, so that very long texts neither
+gives an empty table. Positions, overlaps with base spans and runs of overlapping proposals come from
+running sums and maxima in blocks, so that a text of very many spans takes little more than linear
+time; only proposals that overlap one another in a chain are compared among themselves. Repetitions in patterns are possessive, so that very long texts neither
 overflow the stack nor are searched twice. Extra columns are ignored by the query and stay in `redact`.
 """
 
@@ -38,6 +42,12 @@ ROUNDS = 12
 RATE = 0.5
 #: Weight that pulls leaves towards zero.
 RIDGE = 1.0
+#: What a match that fails its check counts as a negative: of numbers that are no card one in ten
+#: passes Luhn's check, so each that fails stands for a ninth of one that passes. By kind.
+CHANCE = (1.0, 1.0, 1 / 9, 1.0)
+#: Characters of context before a span, and how far a labelled span is moved to be a negative one.
+CONTEXT = 20
+AWAY = 20
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _CHAIN = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
@@ -70,10 +80,14 @@ GENERATORS = {
 _NEEDS = {"email": r"@|[\[(]\x20?(?i:at)\x20?[\])]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]{2}|[0-9][\x20.-][0-9]", "phone": r"[0-9]{3}[\x20.-]?[0-9]{3}|\+[0-9]"}
 #: One cheap test for all of them: most texts end here.
 _ANY = r"[0-9@\[(]"
-_KEYWORD = r"(?i)(e-?mail|mail|contact|tel|phone|call|fax|mobile|card|visa|credit|\bip|addr|server|host)[^0-9@]{0,12}$"
+_KEYWORDS = {
+    "email": r"e-?mail|mail|contact|addr", "ip": r"\bip|addr|server|host",
+    "card": r"card|visa|credit|pay", "phone": r"tel|phone|call|fax|mobile|contact",
+}
+_NEAR = r"[^0-9@]{0,12}$"
 
 _SPAN = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
-FEATURES = ("kind", "digits", "marks", "plus", "brackets", "valid", "keyword", "left", "right", "groups")
+FEATURES = ("kind", "digits", "marks", "plus", "brackets", "keyword", "left", "right", "groups")
 
 
 def _let(value: Column, body) -> Column:
@@ -81,23 +95,45 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def found(text: Column, pattern: str, needs: str) -> Column:
+def running(values: Column, merge) -> Column:
+    """Running merges of an array<int> (sums or maxima of numbers from 0 on), in blocks of its size's root.
+
+    Appending to an array copies it, so one walk over all values would take quadratic time.
+    """
+    none = F.array().cast("array<int>")
+
+    def walked(xs: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            return _let(merge(state["at"], x), lambda m: F.struct(m.alias("at"), F.concat(state["out"], F.array(m)).alias("out")))
+
+        return F.aggregate(xs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    def joined(blocks: Column) -> Column:
+        upto = walked(F.transform(blocks, lambda b: b[F.size(b) - 1]))
+        before = _let(upto, lambda u: F.concat(F.array(F.lit(0)), F.slice(u, F.lit(1), F.size(u) - 1)))
+        return F.flatten(F.zip_with(blocks, before, lambda b, c: F.transform(b, lambda x: merge(c, x))))
+
+    def cut(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        return _let(F.transform(F.sequence(F.lit(0), F.size(v) - 1, width), lambda i: walked(F.slice(v, i + 1, width))), joined)
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, cut(v)).otherwise(none))
+
+
+def found(text: Column, pattern: str, needs: str, context: int = CONTEXT) -> Column:
     """array<struct<start, end, value, left, right>>: leftmost matches and the text around them."""
 
     def placed(parts: Column) -> Column:
-        def step(state: Column, i: Column) -> Column:
-            value, gap = parts["hits"][i], parts["gaps"][i]
-            start = state["at"] + F.char_length(gap)
-            end = start + F.char_length(value)
-            one = F.struct(
-                start.alias("start"), end.alias("end"), value.alias("value"),
-                F.right(gap, F.lit(20)).alias("left"), F.left(parts["gaps"][i + 1], F.lit(2)).alias("right"),
-            )
-            return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
-
-        first = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-        walked = F.aggregate(F.sequence(F.lit(0), F.size(parts["hits"]) - 1), first, step, lambda s: s["out"])
-        return F.when(F.size(parts["hits"]) > 0, walked).otherwise(F.array().cast(_SPAN))
+        hits, gaps = parts["hits"], parts["gaps"]
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.char_length(g) + F.char_length(h))
+
+        def at(ends: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: F.struct(
+                (ends[i] - F.char_length(hits[i])).alias("start"), ends[i].alias("end"), hits[i].alias("value"),
+                F.right(gaps[i], F.lit(context)).alias("left"), F.left(gaps[i + 1], F.lit(2)).alias("right"),
+            ))
+
+        return F.when(F.size(hits) > 0, _let(running(lengths, lambda a, b: a + b), at)).otherwise(F.array().cast(_SPAN))
 
     parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), 0).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
     return F.when(text.rlike(needs), _let(parts, placed)).otherwise(F.array().cast(_SPAN))
@@ -146,38 +182,60 @@ def _edge(near: Column) -> Column:
     return F.when((near == "") | near.rlike(r"^\s$"), 0).when(near.rlike(r"^[\p{L}\p{N}]$"), 2).otherwise(1)
 
 
-def proposals(text: Column) -> Column:
-    """array<struct<start, end, label, features...>>; label 1 or 0 by the base check, -1 without."""
-    def described(place: int, kind: str, h: Column) -> Column:
-        value = h["value"]
-        whole, valid = value.rlike(f"^(?:{BASE[kind]})$"), _valid(kind, value)
+def _keyword(kind: str, left: Column) -> Column:
+    """2: a word of this kind shortly before, 1: one of another kind, 0: none."""
+    anything = "|".join(_KEYWORDS.values())
+    return F.when(~left.rlike(f"(?i)(?:{anything}){_NEAR}"), 0).when(left.rlike(f"(?i)(?:{_KEYWORDS[kind]}){_NEAR}"), 2).otherwise(1)
+
+
+def _context(kind: str, left: Column, right: Column) -> list[Column]:
+    return [_keyword(kind, left).alias("keyword"), _edge(F.right(left, F.lit(1))).alias("left"), _edge(F.left(right, F.lit(1))).alias("right")]
+
+
+def proposals(text: Column, moved: bool = False) -> Column:
+    """array<struct<start, end, label, valid, features...>>; label 1 or 0 by the base check, -1 without.
+
+    With `moved` each one that is labelled 1 comes a second time, labelled 0, in the context `AWAY`
+    characters before it, if the text reaches that far.
+    """
+    def described(place: int, kind: str, h: Column, negative: bool) -> Column:
+        value, left, right = h["value"], h["left"], h["right"]
+        label = F.when(~value.rlike(f"^(?:{BASE[kind]})$"), -1).otherwise(_valid(kind, value).cast("int"))
+        if negative:
+            left, right = F.left(left, F.char_length(left) - AWAY), F.right(left, F.lit(AWAY))
+            label = F.lit(0)
+        elif moved:
+            left = F.right(left, F.lit(CONTEXT))
         return F.struct(
-            h["start"].alias("start"), h["end"].alias("end"),
-            F.when(~whole, -1).otherwise(valid.cast("int")).alias("label"),
+            h["start"].alias("start"), h["end"].alias("end"), label.alias("label"), _valid(kind, value).cast("int").alias("valid"),
             F.lit(place).alias("kind"),
             F.least(F.length(_digits(value)), F.lit(24)).alias("digits"),
             F.least(F.length(F.regexp_replace(value, r"[\p{L}\p{N}]", "")), F.lit(9)).alias("marks"),
             value.startswith("+").cast("int").alias("plus"),
             value.rlike(r"[()\[\]]").cast("int").alias("brackets"),
-            valid.cast("int").alias("valid"),
-            h["left"].rlike(_KEYWORD).cast("int").alias("keyword"),
-            _edge(F.right(h["left"], F.lit(1))).alias("left"),
-            _edge(F.left(h["right"], F.lit(1))).alias("right"),
+            *_context(kind, left, right),
             F.least(F.size(F.regexp_extract_all(value, F.lit("[0-9]+"), 0)), F.lit(9)).alias("groups"),
         )
 
     def of(place: int, kind: str, pattern: str) -> Column:
-        return F.transform(found(text, pattern, _NEEDS[kind]), lambda h: described(place, kind, h))
-
-    every = F.array_distinct(F.concat(*[of(place, kind, p) for place, kind in enumerate(KINDS) for p in GENERATORS[kind]]))
-    fields = ",".join(f"{f}:int" for f in ("start", "end", "label", *FEATURES))
+        hits = found(text, pattern, _NEEDS[kind], CONTEXT + AWAY if moved else CONTEXT)
+        every = F.transform(hits, lambda h: described(place, kind, h, False))
+        if not moved:
+            return every
+        far = F.filter(hits, lambda h: (F.char_length(h["left"]) > AWAY) & h["value"].rlike(f"^(?:{BASE[kind]})$") & _valid(kind, h["value"]))
+        return F.concat(every, F.transform(far, lambda h: described(place, kind, h, True)))
+
+    each = F.array_sort(F.concat(*[of(place, kind, p) for place, kind in enumerate(KINDS) for p in GENERATORS[kind]]))
+    # Equal proposals of two generators are neighbours now.
+    every = _let(each, lambda a: F.filter(a, lambda p, i: F.when(i == 0, True).otherwise(p != F.get(a, i - 1))))
+    fields = ",".join(f"{f}:int" for f in ("start", "end", "label", "valid", *FEATURES))
     return F.when(text.rlike(_ANY), every).otherwise(F.array().cast(f"array<struct<{fields}>>"))
 
 
 # --- boosted trees on counts by pattern ------------------------------------------------------------
 
 
-def fit_trees(patterns: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS) -> list[tuple]:
+def fit_trees(patterns: list[tuple[tuple[int, ...], int, float]], rounds: int = ROUNDS) -> list[tuple]:
     """Trees of depth two from (features, positive, negative) counts; leaves are numbers.
 
     A tree is a leaf or (feature, cut, left, right): left where the feature is at most the cut.
@@ -243,7 +301,7 @@ def _margin_column(trees: list, proposal: Column) -> Column:
     return total
 
 
-def thresholds(trees: list, patterns: list[tuple[tuple[int, ...], int, int]], precision: float = PRECISION) -> list[float]:
+def thresholds(trees: list, patterns: list[tuple[tuple[int, ...], int, float]], precision: float = PRECISION) -> list[float]:
     """For each kind the lowest margin above which labelled proposals are precise enough."""
     out = []
     for kind in range(len(KINDS)):
@@ -261,15 +319,21 @@ def thresholds(trees: list, patterns: list[tuple[tuple[int, ...], int, int]], pr
 def train(docs: DataFrame) -> tuple[list, list[float]]:
     """Trees from one half of the documents (doc_id, text), thresholds from the other."""
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2))
-    labelled = docs.select(fold.alias("fold"), F.explode(proposals(F.coalesce("text", F.lit("")))).alias("p")).filter("p.label >= 0")
-    counted = labelled.groupBy("fold", *[F.col(f"p.{f}").alias(f) for f in FEATURES]).agg(
+    labelled = docs.select(fold.alias("fold"), F.explode(proposals(F.coalesce("text", F.lit("")), moved=True)).alias("p")).filter("p.label >= 0")
+    counted = labelled.groupBy("fold", *[F.col(f"p.{f}").alias(f) for f in ("valid", *FEATURES)]).agg(
         F.sum("p.label").alias("yes"), F.sum(1 - F.col("p.label")).alias("no")
     ).limit(MAX_PATTERNS + 1).collect()
     if len(counted) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} feature patterns")
-    halves = [sorted((tuple(r[f] for f in FEATURES), r.yes, r.no) for r in counted if r.fold == half) for half in (0, 1)]
-    trees = fit_trees(halves[0]) if halves[0] else []
-    return trees, thresholds(trees, halves[1])
+
+    def patterns(rows: list) -> list[tuple[tuple[int, ...], int, float]]:
+        return sorted((tuple(r[f] for f in FEATURES), r.yes, r.no if r.valid else r.no * CHANCE[r.kind]) for r in rows)
+
+    fitted = patterns([r for r in counted if r.fold == 0])
+    # Spans that fail their check are never added, so only those that pass count for the precision.
+    held_out = patterns([r for r in counted if r.fold == 1 and r.valid == 1])
+    trees = fit_trees(fitted) if fitted else []
+    return trees, thresholds(trees, held_out)
 
 
 # --- spans -----------------------------------------------------------------------------------------
@@ -277,26 +341,46 @@ def train(docs: DataFrame) -> tuple[list, list[float]]:
 
 def added_spans(proposed: Column, base: Column, trees: list, least: list[float]) -> Column:
     """array<struct<kind, start, end>>: proposals that pass and overlap nothing better."""
+    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     if not trees or all(math.isinf(x) for x in least):
-        return F.array().cast("array<struct<kind:int,start:int,end:int>>")
+        return none
     limits = F.array(*[F.lit(float(x)) for x in least])
-
-    def clear(p: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
-
     scored = F.transform(
-        F.filter(proposed, clear),
-        lambda p: F.struct((-_margin_column(trees, p)).alias("cost"), p["start"].alias("start"), (-p["end"]).alias("minus_end"), p["kind"].alias("kind")),
+        F.filter(proposed, lambda p: p["valid"] == 1),
+        lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), (-_margin_column(trees, p)).alias("cost"), p["kind"].alias("kind")),
     )
-    passed = F.array_sort(F.filter(scored, lambda p: -p["cost"] >= limits[p["kind"]]))
-    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    passed = F.filter(scored, lambda p: -p["cost"] >= limits[p["kind"]])
+
+    def clear(spans: Column) -> Column:
+        """Spans that overlap no base span: none that starts before their end reaches beyond their start."""
+        ends = F.transform(spans, lambda p: F.struct(p["end"].alias("at"), F.lit(0).alias("reach"), p["start"].alias("start"), p["cost"].alias("cost"), p["kind"].alias("kind")))
+        starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), b["end"].alias("reach"), F.lit(-1).alias("start"), F.lit(0.0).alias("cost"), F.lit(-1).alias("kind")))
+
+        def free(both: Column) -> Column:
+            return _let(running(F.transform(both, lambda x: x["reach"]), F.greatest), lambda reach: F.filter(both, lambda x, i: (x["kind"] >= 0) & (reach[i] <= x["start"])))
+
+        # At one place the ends (reach 0) come before the starts.
+        held = _let(F.array_sort(F.concat(ends, starts)), free)
+        return F.transform(held, lambda x: F.struct(x["start"].alias("start"), x["at"].alias("end"), x["cost"].alias("cost"), x["kind"].alias("kind")))
 
     def take(kept: Column, p: Column) -> Column:
         hit = F.exists(kept, lambda k: (k["start"] < -p["minus_end"]) & (p["start"] < k["end"]))
         one = F.struct(p["kind"].alias("kind"), p["start"].alias("start"), (-p["minus_end"]).alias("end"))
         return F.when(hit, kept).otherwise(F.concat(kept, F.array(one)))
 
-    return F.aggregate(passed, none, take)
+    def best(chain: Column) -> Column:
+        ranked = F.array_sort(F.transform(chain, lambda p: F.struct(p["cost"].alias("cost"), p["start"].alias("start"), (-p["end"]).alias("minus_end"), p["kind"].alias("kind"))))
+        return F.aggregate(ranked, none, take)
+
+    def chosen(spans: Column) -> Column:
+        """The best of each chain of overlapping spans; a chain ends where no earlier span reaches."""
+        def split(reach: Column) -> Column:
+            opens = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: F.when(i == 0, True).otherwise(spans[i]["start"] >= F.get(reach, i - 1)))
+            return _let(opens, lambda o: F.flatten(F.transform(o, lambda at, k: best(F.slice(spans, at + 1, F.coalesce(F.get(o, k + 1), F.size(spans)) - at)))))
+
+        return F.when(F.size(spans) > 0, _let(running(F.transform(spans, lambda p: p["end"]), F.greatest), split)).otherwise(none)
+
+    return _let(passed, lambda p: F.when(F.size(p) == 0, none).otherwise(_let(F.array_sort(clear(p)), chosen)))
 
 
 def listed(spans: Column) -> Column:

@@ -483,14 +483,59 @@ def test_kinds_outside_any_sample_are_learned(spark):
     assert [r.s for r in found.filter("doc_id = -1").select(personal_data.listed(F.col(every)).alias("s")).collect()] == ["card:5:24"]
 
 
-def test_trees_learn_the_checks():
-    def row(kind, valid):
-        return (kind, 16, 0, 0, 0, valid, 0, 0, 0, 1)
-
-    counts = [(row(2, 1), 40, 0), (row(2, 0), 0, 400), (row(0, 1), 10, 0)]
-    trees = personal_data.fit_trees(counts)
-    least = personal_data.thresholds(trees, counts)
-    assert personal_data.margin(trees, row(2, 1)) >= least[2] > personal_data.margin(trees, row(2, 0)) and least[1] == float("inf")
+def test_context_decides_among_spans_of_equal_validity(spark):
+    # Numbers of the form of a card pass their check after "card" and fail it after "order"; both are checked alike.
+    def text(i):
+        digits = "411111111111111" + str(i % 10)
+        where = ("please charge the card ", " today") if i % 10 == 1 else ("the goods of the order ", " shipped")
+        return _prose(i, 12) + " " + where[0] + digits + where[1]
+
+    hidden = [(-1, "it says card 4111.1111.1111.1111 here"), (-2, "it says order 4111.1111.1111.1111 here"), (-3, "it says card 4111.1111.1111.1112 here")]
+    docs = spark.createDataFrame([(i, text(i)) for i in range(600)] + hidden, "doc_id long, text string")
+    found, _, every = personal_data.detect(docs)
+    got = {r.doc_id: r.s for r in found.filter("doc_id < 0").select("doc_id", personal_data.listed(F.col(every)).alias("s")).collect()}
+    assert got == {-1: "card:13:32", -2: "", -3: ""}
+
+
+def test_trees_split_on_several_features(spark, sf):
+    trees, least = personal_data.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text"))
+
+    def used(tree):
+        return {tree[0]} | used(tree[2]) | used(tree[3]) if isinstance(tree, tuple) else set()
+
+    assert len(set().union(*map(used, trees))) >= 3 and any(x < float("inf") for x in least)
+
+
+def _plain_added(proposed, base, trees, least):
+    """Best first, each kept unless it overlaps a base span or a kept one."""
+    kept, out = [(b.start, b.end) for b in base], []
+    for p in proposed:
+        p["cost"] = -personal_data.margin(trees, tuple(p[f] for f in personal_data.FEATURES))
+    for p in sorted(proposed, key=lambda p: (p["cost"], p["start"], -p["end"], p["kind"])):
+        free = all(p["end"] <= s or e <= p["start"] for s, e in kept)
+        if p["valid"] and -p["cost"] >= least[p["kind"]] and free:
+            kept.append((p["start"], p["end"]))
+            out.append((p["kind"], p["start"], p["end"]))
+    return sorted(out)
+
+
+def test_added_spans_are_those_of_a_plain_walk(spark):
+    bits = ["4111 1111 1111 1111 2023", "a [at] b [dot] cd", "123-456-7890", "+12 345 678 9012", "x@y.z", "1.2.3.4", "é@ü.de", "4111.1111.1111.1111", "+1 (017) 555-7713 12.3.4.5", "(123) 456-7890"]
+    texts = [" ".join(bits[(i * 7 + k * k) % len(bits)] + ["", ",", "x"][(i + k) % 3] for k in range(i % 30)) for i in range(120)] + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("text", F.coalesce("text", F.lit("")))
+    trees = [(2, 3, (6, 0, 0.5, -0.2), 0.25), (0, 1, 0.1, (1, 12, 0.3, -0.4))]
+    for least in ([-9.0] * 4, [0.1, 0.0, -0.1, 0.4], [float("inf")] * 4):
+        rows = frame.select("i", personal_data.proposals(F.col("text")).alias("p"), personal_data.base_spans(F.col("text")).alias("b")).withColumn(
+            "a", personal_data.added_spans(F.col("p"), F.col("b"), trees, least)).collect()
+        got = {r.i: sorted(tuple(x) for x in r.a) for r in rows}
+        assert got == {r.i: _plain_added([p.asDict() for p in r.p], r.b, trees, least) for r in rows}
+    assert all(len({tuple(p) for p in r.p}) == len(r.p) for r in rows)
+
+
+def test_running_sums_and_maxima(spark):
+    frame = spark.createDataFrame([([],), ([3],), ([1, 5, 2, 9, 4],), (list(range(1000)),)], "x array<int>")
+    for r in frame.select("x", personal_data.running(F.col("x"), lambda a, b: a + b).alias("s"), personal_data.running(F.col("x"), F.greatest).alias("m")).collect():
+        assert r.s == [sum(r.x[:i + 1]) for i in range(len(r.x))] and r.m == [max(r.x[:i + 1]) for i in range(len(r.x))]
 
 
 def test_repeats(spark, hard):
