@@ -135,7 +135,7 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
     counts = np.zeros((len(labels), BUCKETS + 1), dtype=np.float64)
     counts[at, bucket] = n  # bucket -1 is the last column
-    return Model(labels, counts[:, BUCKETS].astype(int).tolist(), counts[:, :BUCKETS])
+    return Model(labels, [sizes[x] for x in labels], counts[:, :BUCKETS])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str]:
