@@ -1,20 +1,25 @@
 """Document fingerprints from closed syncmers.
 
-A text's tokens are its words, long ones in pieces of `PIECE` characters. Each run of `K` tokens
+A text's tokens are its words up to `WHOLE` characters; longer runs without white space are cut behind
+any of `CUTS`, and every character from U+0E00 on (scripts that write no spaces, and symbols) is a token
+of its own, so that no token depends on how far away its run begins. Each run of `K` tokens
 is a k-mer, each run of `S` tokens inside it an inner substring with a hash. A k-mer is a closed
 syncmer if the smallest of its inner hashes is at its first or last place. Whether it is one
 depends on its own tokens alone, not on the text around it, so that an edit changes only the
 syncmers that it touches: the chosen k-mers are context-free anchors, and their token positions
 line two texts up.
 
-The fingerprint of a text is the `KEPT` smallest distinct hashes of its syncmers, eight
-hexadecimal digits each, in order. The likeness of two fingerprints is the share of common
-hashes among the smallest `KEPT` of both together, an estimate of the Jaccard similarity of the
-syncmer sets (exact for sets of at most `KEPT`).
+The fingerprint of a text is all its anchors in order: for each its distance in tokens from the one
+before, one hexadecimal digit (`K` - `S` at most, the first counted from 0), and eight digits of hash.
+It grows with the text; nothing is sampled. `matches` pairs equal anchors of two texts, the first
+of each hash on either side, by one sort. The likeness of two texts is the number of matches over
+that of distinct anchors in both, `in_line` the most matches at one offset: the length, in
+anchors, of what the texts have in common in the same order.
 
 All of it is built-in functions. Scale: for neighbours, documents are dealt into buckets of
 equal counts by cuts of doc_id, once, each with the first row of the next bucket; a document
-meets the next one in a window inside its bucket.
+meets the next one in a window inside its bucket. Only texts cross the network; anchors are found
+where they are matched. Their work is sorting, n log n in a text's length.
 
 Cases: a null text is empty; an empty text, or one of white space, has an empty fingerprint; a
 text of fewer than `K` tokens has one k-mer, all its tokens; two empty fingerprints have likeness
@@ -32,17 +37,25 @@ from callscope.llm.registry import register
 
 K = 5
 S = 2
-KEPT = 64
-PIECE = 16
-DIGITS = 8
-
+WHOLE = 16
+#: A long run is cut behind these and behind anything that is no letter or digit: one character in six or so.
+CUTS = "ae05KR"
+
+_SPACE = "\\x20\\x09-\\x0D"
+_ALONE = "\\x{0E00}-\\x{10FFFF}"
+_INSIDE = f"(?:(?![{CUTS}])[\\p{{L}}\\p{{M}}\\p{{N}}&&[^{_ALONE}]])"
+#: A short word as a whole, a character of its own, or a piece of a long run up to its cut.
+TOKEN = (
+    f"(?<![^{_SPACE}{_ALONE}])[^{_SPACE}{_ALONE}]{{1,{WHOLE}}}+(?![^{_SPACE}{_ALONE}])"
+    f"|[{_ALONE}]|{_INSIDE}++[^{_SPACE}{_ALONE}]?+|[^{_SPACE}{_ALONE}]"
+)
 #: Tokens of the text `t`, and of token hashes `a` the hashes of pairs (S = 2).
-_TOKENS = f"transform(regexp_extract_all({{text}}, '[^\\\\x20\\\\x09-\\\\x0D]{{{{1,{PIECE}}}}}', 0), t -> hash(t))"
+_TOKENS = f"transform(regexp_extract_all({{text}}, r'{TOKEN.replace('{', '{{').replace('}', '}}')}', 0), t -> hash(t))"
 _PAIRS = "zip_with(slice(a, 1, size(a) - 1), slice(a, 2, size(a) - 1), (x, y) -> hash(x, y))"
 #: Places whose k-mer is chosen: of its four inner hashes an outer one is the smallest.
 _PLACES = "filter(sequence(0, size(s) - 4), i -> least(s[i], s[i + 3]) <= least(s[i + 1], s[i + 2]))"
 #: A k-mer of five tokens is told by its first, third and fourth pair.
-_KMER = "hash(s[i], s[i + 2], s[i + 3])"
+_KMER = "hash(s[i], s[i + 2], s[i + 3]) & 2147483647"
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -60,36 +73,51 @@ def _of_tokens(text: str, each: str, whole: str, none: str) -> Column:
 def anchors(text: str) -> Column:
     """array<struct<at, hash>>: token position and hash of each closed syncmer of a column."""
     return _of_tokens(
-        text, f"named_struct('at', i, 'hash', {_KMER})", "array(named_struct('at', 0, 'hash', hash(a)))", "array()"
+        text, f"named_struct('at', i, 'hash', {_KMER})", "array(named_struct('at', 0, 'hash', hash(a) & 2147483647))", "array()"
     ).cast("array<struct<at:int,hash:int>>")
 
 
+def fingerprint(anchored: Column) -> Column:
+    """The anchors as one string: distance from the anchor before, and hash."""
+    def written(x: Column, i: Column) -> Column:
+        gap = x["at"] - F.when(i > 0, F.get(anchored, i - 1)["at"]).otherwise(0)
+        return F.concat(F.hex(gap), F.lpad(F.hex(x["hash"]), 8, "0"))
+
+    return F.lower(F.array_join(F.transform(anchored, written), ""))
+
+
 def matches(left: Column, right: Column) -> Column:
-    """array<struct<left, right, hash>>: positions of the anchors that two texts share, each anchor's first."""
-    held = F.map_from_entries(F.transform(F.array_distinct(F.transform(right, lambda x: x["hash"])), lambda h: F.struct(
-        h, F.array_min(F.transform(F.filter(right, lambda x: x["hash"] == h), lambda x: x["at"])))))
-    both = F.filter(left, lambda x: F.map_contains_key(held, x["hash"]))
-    return F.transform(both, lambda x: F.struct(x["at"].alias("left"), held[x["hash"]].alias("right"), x["hash"].alias("hash")))
+    """array<struct<left, right, hash>>: token positions of the anchors that two texts share, each anchor's first."""
+    # In one order by hash, a left anchor's first place comes last of the left ones, next to the first of the right ones.
+    both = F.concat(
+        F.transform(left, lambda x: F.struct(x["hash"].alias("hash"), F.lit(0).alias("side"), (-x["at"]).alias("at"))),
+        F.transform(right, lambda x: F.struct(x["hash"].alias("hash"), F.lit(1).alias("side"), x["at"].alias("at"))),
+    )
 
+    def paired(u: Column) -> Column:
+        n = F.size(u) - 1
+        neighbours = F.zip_with(F.slice(u, F.lit(1), n), F.slice(u, F.lit(2), n), lambda x, y: F.when(
+            (x["hash"] == y["hash"]) & (x["side"] < y["side"]), F.struct((-x["at"]).alias("left"), y["at"].alias("right"), x["hash"].alias("hash"))))
+        return F.when(n > 0, F.filter(neighbours, lambda m: m.isNotNull())).otherwise(F.array().cast("array<struct<left:int,right:int,hash:int>>"))
 
-def fingerprint(text: str) -> Column:
-    """The fingerprint of a column, as one string."""
-    hashes = _of_tokens(text, f"{_KMER} & 2147483647", "array(hash(a) & 2147483647)", "array()").cast("array<int>")
-    kept = F.slice(F.array_sort(F.array_distinct(hashes)), 1, KEPT)
-    return F.array_join(F.transform(kept, lambda h: F.lower(F.lpad(F.hex(h), DIGITS, "0"))), "")
+    return F.transform(F.array(F.array_sort(both)), paired)[0]
 
 
-def likeness(left: Column, right: Column) -> Column:
-    """0 to 1 for two fingerprints: common hashes among the smallest of both."""
-    parts = [F.regexp_extract_all(x, F.lit(f".{{{DIGITS}}}"), 0) for x in (left, right)]
-    common = F.transform(
-        F.array(F.struct(parts[0].alias("l"), parts[1].alias("r"))),
-        lambda p: F.transform(
-            F.array(F.slice(F.array_sort(F.array_union(p["l"], p["r"])), 1, KEPT)),
-            lambda low: F.size(F.array_intersect(F.array_intersect(low, p["l"]), p["r"])) / F.size(low),
-        )[0],
-    )[0]
-    return F.when(left == right, F.lit(1.0)).when((left == "") | (right == ""), F.lit(0.0)).otherwise(common)
+def likeness(left: Column, right: Column, matched: Column) -> Column:
+    """0 to 1 for two texts' anchors and their matches: common anchors over distinct ones of both."""
+    every = F.size(F.array_union(F.transform(left, lambda x: x["hash"]), F.transform(right, lambda x: x["hash"])))
+    return F.when(every > 0, F.size(matched) / every).otherwise(F.lit(1.0))
+
+
+def in_line(matched: Column) -> Column:
+    """The most matches at one offset between the two texts."""
+    def step(state: Column, offset: Column) -> Column:
+        run = F.when(offset == state["offset"], state["run"] + 1).otherwise(1)
+        return F.struct(offset.alias("offset"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    first = F.struct(F.lit(None).cast("int").alias("offset"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+    offsets = F.array_sort(F.transform(matched, lambda m: m["right"] - m["left"]))
+    return F.aggregate(offsets, first, step, lambda s: s["best"])
 
 
 def with_next(docs: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
@@ -122,17 +150,24 @@ def with_next(docs: DataFrame, columns: list[str], order: list[str]) -> DataFram
 @register("op3_closed_syncmers")
 def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), fingerprint("text").alias("fingerprint"))
-    paired = with_next(marked, ["text", "fingerprint"], ["doc_id", "text_hash", "text"])
+    paired = with_next(docs.withColumn("text_hash", F.xxhash64("text")), ["text"], ["doc_id", "text_hash", "text"])
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = paired.select(
-        "doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
+        "doc_id", n.cast("long").alias("n_chars"), "text", "next_text",
         F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter)).alias("edited"),
     )
-    both = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "next_fingerprint", fingerprint("edited").alias("edited_fingerprint"))
-    return both.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-    )
+
+    def of(own: Column, changed: Column, following: Column) -> Column:
+        with_edited, with_following = matches(own, changed), matches(own, following)
+        pair = F.struct(with_edited.alias("edited"), with_following.alias("following"))
+        return F.transform(F.array(pair), lambda m: F.struct(
+            fingerprint(own).alias("fingerprint"), fingerprint(changed).alias("edited_fingerprint"),
+            likeness(own, changed, m["edited"]).alias("near_edited"), likeness(own, following, m["following"]).alias("near_next"),
+            in_line(m["edited"]).alias("line_edited"), in_line(m["following"]).alias("line_next"),
+        ))[0]
+
+    # Bound by a lambda, so that each text's anchors are found once.
+    three = F.struct(anchors("text").alias("own"), anchors("edited").alias("edited"), anchors("next_text").alias("following"))
+    judged = F.transform(F.array(three), lambda x: of(x["own"], x["edited"], x["following"]))
+    return edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.inline(judged))

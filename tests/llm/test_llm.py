@@ -260,6 +260,84 @@ def test_syncmers_are_free_of_context(spark):
     assert len(a) < 0.75 * 76
 
 
+def _plain_anchors(spark, texts):
+    """(position, hash) of closed syncmers of token lists, one k-mer after another."""
+    def hashed(rows, width):
+        columns = ", ".join(f"c{i} {'string' if width == 1 and isinstance(rows[0][0], str) else 'int'}" for i in range(width))
+        return [r.h for r in spark.createDataFrame(rows, columns).select(F.expr(f"hash({', '.join(f'c{i}' for i in range(width))})").alias("h")).collect()]
+
+    def table(keys):
+        keys = sorted(set(keys))
+        return dict(zip(keys, hashed(keys, len(keys[0])), strict=True)) if keys else {}
+
+    tokens = [_plain_tokens(t) for t in texts]
+    word = table([(w,) for ts in tokens for w in ts])
+    ids = [[word[(w,)] for w in ts] for ts in tokens]
+    pair = table([(a[i], a[i + 1]) for a in ids for i in range(len(a) - 1)])
+    pairs = [[pair[(a[i], a[i + 1])] for i in range(len(a) - 1)] for a in ids]
+    chosen = [[i for i in range(len(a) - 4) if min(s[i], s[i + 3]) <= min(s[i + 1], s[i + 2])] for a, s in zip(ids, pairs, strict=True)]
+    kmer = table([(s[i], s[i + 2], s[i + 3]) for s, c in zip(pairs, chosen, strict=True) for i in c])
+    out = []
+    for a, s, c in zip(ids, pairs, chosen, strict=True):
+        if 0 < len(a) < 5:
+            short = spark.createDataFrame([(a,)], "a array<int>").select(F.expr("hash(a) & 2147483647")).first()[0]
+            out.append([(0, short)])
+        else:
+            out.append([(i, kmer[(s[i], s[i + 2], s[i + 3])] & 0x7FFFFFFF) for i in c])
+    return out
+
+
+def _plain_tokens(text):
+    out = []
+    for run in _runs(text):
+        if len(run) == 1 or len(run) <= 16:
+            out.append(run)
+            continue
+        piece = ""
+        for c in run:
+            piece += c
+            if c in syncmers.CUTS or not (c.isalnum() or c == "\u0301"):
+                out.append(piece)
+                piece = ""
+        out += [piece] if piece else []
+    return out
+
+
+def _runs(text):
+    return re.findall("[\u0e00-\U0010ffff]|[^\\x20\\x09-\\x0D\u0e00-\U0010ffff]+", text)
+
+
+def test_syncmer_columns_are_those_of_a_plain_version(spark, tmp_path):
+    passage = _prose(900, 200, [f"w{i}" for i in range(400)])
+    chinese = "".join(chr(0x4E00 + i * i * 7 % 3000) for i in range(600))
+    texts = [_prose(i, 5 + 9 * i) for i in range(12)] + [
+        _prose(50, 900, [f"a{i}" for i in range(3000)]) + " " + passage + " x", "y " + passage + " " + _prose(51, 900, [f"b{i}" for i in range(3000)]),
+        chinese, "x" + chinese, "Q" * 40 + "/path-of/aaaKR05?" + "zq9" * 30, "one two", "", "same " * 80, "same " * 81, "é" * 30 + "😀 👍🏽 end",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(_rows(spark, str(tmp_path), "op3_closed_syncmers"), key=lambda r: r.doc_id)
+    following = texts[1:] + texts[:1]
+    edited = [t[:len(t) - len(t) // 4] + f[:len(t) // 4] for t, f in zip(texts, following, strict=True)]
+    anchors = _plain_anchors(spark, texts + edited)
+
+    def written(found):
+        return "".join(f"{at - before:x}{h:08x}" for (at, h), before in zip(found, [0] + [at for at, _ in found], strict=False))
+
+    def judged(x, y):
+        first = [{h: at for at, h in reversed(z)} for z in (x, y)]
+        offsets = Counter(first[1][h] - at for h, at in first[0].items() if h in first[1])
+        every = len(set(first[0]) | set(first[1]))
+        return (sum(offsets.values()) / every if every else 1.0), max(offsets.values(), default=0)
+
+    n = len(texts)
+    for i, r in enumerate(rows):
+        own, changed, after = anchors[i], anchors[n + i], anchors[(i + 1) % n]
+        assert (r.fingerprint, r.edited_fingerprint) == (written(own), written(changed)), i
+        assert (r.near_edited, r.line_edited) == judged(own, changed) and (r.near_next, r.line_next) == judged(own, after)
+        assert r.edited_sha256 == hashlib.sha256(edited[i].encode()).hexdigest()
+    assert rows[12].line_next > 70 and rows[14].near_next > 0.9
+
+
 def test_url_rules(spark, hard):
     rows = _rows(spark, hard, "op4_url_rules")
     got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in rows)
