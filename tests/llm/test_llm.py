@@ -468,6 +468,14 @@ def test_language_accuracy_on_held_out_documents(spark, sf):
     assert len(rows) > 100 and sum(r.lang_pred == labels[r.doc_id] for r in rows) >= 0.97 * len(rows)
 
 
+def test_prior_counts_all_labelled_rows_at_any_sample(spark):
+    rows = [(i, _prose(i, 8), "en" if i % 4 else "de") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for bound in (40, 1000):
+        model = language.train(frame, bound)
+        assert model.labels == ["de", "en"] and [round(2.718281828459045 ** x, 9) for x in model.prior] == [0.25, 0.75]
+
+
 def test_nothing_learned_is_unknown(spark):
     model = language.train(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string"))
     assert model.predict(["some text"]) == (["und"], [0.0])
