@@ -7,6 +7,9 @@ from callscope.functions.clients import client_family
 from callscope.operators.ordered import keep_first
 
 SESSION = ["server_id", "session_key"]
+BEGINNINGS = (1, 2, 4, 8, 16, 32, 64)
+MOST_LETTERS = 64  # A place of a run id that holds more different characters may hold any.
+ANY_LETTER = r"[^\x{dc00}-\x{dfff}]"  # Never the second half of a character beyond the basic plane.
 
 
 def label_runs(runs: DataFrame, families: tuple[str, ...] = ("claude_code", "codex")) -> DataFrame:
@@ -29,24 +32,55 @@ def label_runs(runs: DataFrame, families: tuple[str, ...] = ("claude_code", "cod
     ).drop("__family")
 
 
+def id_beginnings(runs: DataFrame) -> list[tuple[str, list[int]]]:
+    """Pattern and lengths of the run ids whose first 1, 2, 4, .. or 64 characters are looked for.
+
+    An id is looked for by the longest of these beginnings that it has. The pattern holds, place by
+    place, the characters that beginnings of this size have there, so it fits wherever an id begins
+    and, with ids of a fixed make-up such as UUIDs, hardly anywhere else. At most seven rows with 64
+    places of `MOST_LETTERS` characters and one number per length come to the driver, however many ids there are.
+    """
+    size = F.greatest(*[F.when(F.length("run_id") >= n, n) for n in (0, *BEGINNINGS)]).alias("size")
+    ids = runs.filter(F.length("run_id") > 0).select("run_id", size)
+    letters = ids.select("size", F.posexplode(F.split(F.expr("left(run_id, size)"), ""))).distinct()
+    places = letters.groupBy("size", "pos").agg(
+        F.when(F.count(F.lit(1)) <= MOST_LETTERS, F.collect_set("col")).alias("letters")
+    )
+    lengths = ids.select("size", F.length("run_id").alias("length")).distinct()
+    held = lengths.groupBy("size").agg(F.collect_set("length").alias("lengths"))
+    rows = places.groupBy("size").agg(F.sort_array(F.collect_list(F.struct("pos", "letters"))).alias("places")).join(held, "size").collect()
+    return [("".join(_one_of(p.letters) for p in r.places), sorted(r.lengths)) for r in sorted(rows)]
+
+
+def _one_of(letters: list[str] | None) -> str:
+    if letters is None:
+        return ANY_LETTER
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(letters)) + "]"
+
+
+def id_places(sessions: DataFrame, runs: DataFrame) -> DataFrame:
+    """Session, and each part of its key that begins like a run id and is as long as one (`run_id`)."""
+    keys = sessions.select(*SESSION).distinct()
+    parts = [F.array().cast("array<string>")]
+    for pattern, lengths in id_beginnings(runs):
+        # Looking ahead finds beginnings that overlap, too.
+        more = f"{ANY_LETTER}{{0,{lengths[-1]}}}"
+        tails = F.array_distinct(F.regexp_extract_all("session_key", F.lit(f"(?=({pattern}{more}))"), F.lit(1)))
+        sizes = F.array(*[F.lit(n) for n in lengths])
+        parts.append(F.flatten(F.transform(tails, lambda tail: F.transform(  # noqa: B023
+            F.filter(sizes, lambda n: n <= F.length(tail)), lambda n: F.substring(tail, F.lit(1), n)))))
+    return keys.select(*SESSION, F.explode(F.array_distinct(F.concat(*parts))).alias("run_id"))
+
+
 def runs_in_keys(sessions: DataFrame, runs: DataFrame) -> DataFrame:
     """Pairs of sessions and runs whose id is contained in the session key.
 
-    Every part of a key that is as long as some run id meets the run ids in an equi
-    join, so only true pairs come out and no pair is ever tested. Run ids have very few
-    lengths, most often one.
+    Parts of a key that begin like a run id meet the run ids in an equi join, which verifies
+    them whole: no pair is tested, and no part of a key travels that cannot be an id. Keys and
+    ids of NULL or of no characters pair with nothing.
     """
     ids = runs.select("run_id").filter(F.length("run_id") > 0).distinct()
-    lengths = ids.agg(F.array_sort(F.collect_set(F.length("run_id")))).scalar()
-    keys = sessions.select(*SESSION).distinct()
-    sized = keys.withColumn("__size", F.explode(lengths)).filter(
-        F.length("session_key") >= F.col("__size")
-    )
-    starts = F.sequence(F.lit(1), F.length("session_key") - F.col("__size") + 1)
-    parts = sized.select(*SESSION, "__size", F.explode(starts).alias("__at")).select(
-        *SESSION, F.substring("session_key", F.col("__at"), F.col("__size")).alias("run_id")
-    )
-    return parts.join(ids, "run_id").select(*SESSION, "run_id").distinct()
+    return id_places(sessions, runs).join(ids, "run_id").select(*SESSION, "run_id")
 
 
 def session_run_ids(sessions: DataFrame, calls: DataFrame, runs: DataFrame) -> DataFrame:

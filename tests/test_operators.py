@@ -202,3 +202,22 @@ def test_watches_settle_in_gaps_of_their_own_calls(spark):
     assert settled(3) == [("w", 50, 80, 3)]
     assert settled(2) == [("w", 50, 80, 3), ("x", 10, 40, 2)]
     assert settled(4) == []
+
+
+def test_run_ids_are_found_wherever_they_begin(spark):
+    ids = ["a", "aa", "ab", "ba.b", "ba.b?", "\U0001f600x", "?x", "", None, "run-000017-long", "z" * 70, "z" * 71]
+    texts = ["aaab", "xba.b?", "baxb", "\U0001f600x", "", None, "..run-000017-longer..", "z" * 72, "\n\ud7ff a"]
+    table = spark.createDataFrame([(i,) for i in ids], "run_id string")
+    keys = spark.createDataFrame([("s", t) for t in texts], "server_id string, session_key string")
+    found = {(r.session_key, r.run_id) for r in runs.runs_in_keys(keys, table).collect()}
+    assert found == {(t, i) for t in texts for i in ids if t and i and i in t}
+    assert runs.runs_in_keys(keys, table.limit(0)).count() == 0
+
+
+def test_long_keys_give_few_places(spark):
+    uuid = "{:08x}-1111-4111-8111-{:012x}".format
+    table = spark.range(500).rdd.map(lambda r: (uuid(r.id * 7919, r.id * 104729),)).toDF("run_id string")
+    noise = "0123456789abcdef-" * 60
+    keys = spark.createDataFrame([("s", noise + uuid(i * 7919, i * 104729 + i % 2) + noise) for i in range(40)], "server_id string, session_key string")
+    assert runs.id_places(keys, table).count() == 40
+    assert runs.runs_in_keys(keys, table).count() == 20

@@ -761,6 +761,14 @@ def labelled_runs(spark, sf):
     return runs.label_runs(V.runs(spark, sf))
 
 
+@register("runs_in_long_keys", f"""WITH {Q.EV}, {Q.RUNS}, keys AS (SELECT DISTINCT server AS server_id,
+    event_type || '/' || repeat(md5(user_id::VARCHAR), 30) || '/' || CASE WHEN user_id % 3 = 0 THEN reverse(run_uuid) ELSE run_uuid END || '/' || repeat(md5(user_id::VARCHAR), 30) AS session_key FROM ev)
+  SELECT server_id, md5(session_key) AS session_md5, run_id FROM keys JOIN (SELECT DISTINCT run_id FROM runs) ON contains(session_key, run_id)""")
+def runs_in_long_keys(spark, sf):
+    found = runs.runs_in_keys(V.long_key_sessions(spark, sf), V.runs(spark, sf))
+    return found.select("server_id", F.md5("session_key").alias("session_md5"), "run_id")
+
+
 @register("correlated_sessions", f"WITH {Q.SESSION_RUNS} SELECT * FROM corr")
 def correlated_sessions(spark, sf):
     listed, rows = _run_sessions(spark, sf)
