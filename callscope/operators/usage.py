@@ -11,16 +11,20 @@ from callscope.functions.clients import valid_capability
 from callscope.functions.text import is_blank, secret_hits, trim_space
 from callscope.operators.sessions import timed_out
 
+HLL_LOG_K = 12
+KLL_K = 800
+RANK_ERROR = 0.004
 
-def tool_usage(calls: DataFrame, approximate: bool = False) -> DataFrame:
-    """Calls, sessions and actors per tool. Blank sessions do not count as one."""
+
+def tool_usage(calls: DataFrame, approximate: bool = False, by: tuple[str, ...] = ("tool",)) -> DataFrame:
+    """Calls, sessions and actors per tool, or per `by`. Blank sessions do not count as one."""
     session = F.when(F.col("session_key") != "", F.struct("server_id", "session_key"))
     if approximate:
         key = F.when(F.col("session_key") != "", F.xxhash64("server_id", "session_key"))
         sessions, actors = F.approx_count_distinct(key), F.approx_count_distinct("actor_id")
     else:
         sessions, actors = F.countDistinct(session), F.countDistinct("actor_id")
-    return calls.groupBy("tool").agg(
+    return calls.groupBy(*by).agg(
         F.count(F.lit(1)).alias("calls"), sessions.alias("sessions"), actors.alias("actors")
     )
 
@@ -64,6 +68,45 @@ def tool_latency(calls: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.9, 0.9
     return ranked.groupBy("tool").agg(F.sum("n").alias("calls"), *reach, F.max("duration_ms").alias("max_ms"))
 
 
+def usage_sketches(calls: DataFrame, span_seconds: int = 3600, ts: str = "started") -> DataFrame:
+    """One row per tool and span of time: counts, and mergeable sketches of sessions, actors and durations.
+
+    `sessions` and `actors` are HLL sketches of `2^HLL_LOG_K` registers, `durations` a KLL sketch of
+    `KLL_K` items: a few kilobytes a row whatever the traffic. Write them once, and `merge_usage`
+    answers for any longer span without the calls. Blank sessions do not count; calls
+    without a time have a row of their own, without a `span_start`.
+    """
+    session = F.when(F.col("session_key") != "", F.concat_ws("\x1f", "server_id", "session_key"))
+    # Not `window`, which drops rows without a time.
+    micros = F.unix_micros(ts)
+    start = F.timestamp_micros(micros - F.pmod(micros, F.lit(span_seconds * 1_000_000)))
+    return calls.groupBy("tool", start.alias("span_start")).agg(
+        F.count(F.lit(1)).alias("calls"),
+        F.count_if(~F.col("ok")).alias("failed"),
+        F.hll_sketch_agg(session, F.lit(HLL_LOG_K)).alias("sessions"),
+        F.hll_sketch_agg("actor_id", F.lit(HLL_LOG_K)).alias("actors"),
+        F.kll_sketch_agg_bigint("duration_ms", F.lit(KLL_K)).alias("durations"),
+    )
+
+
+def merge_usage(sketches: DataFrame, *by, quantiles: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """Usage per `by` (say, tool and day) out of sketches of shorter spans.
+
+    Calls and failures are exact. Distinct counts have a standard error of 0.83 / 2^(HLL_LOG_K / 2), 1.3 %; the rank
+    of a quantile is off by less than `RANK_ERROR` of the calls, 99 times in 100. Quantiles of no durations are NULL.
+    """
+    merged = sketches.groupBy(*by).agg(
+        F.sum("calls").alias("calls"), F.sum("failed").alias("failed"),
+        F.hll_sketch_estimate(F.hll_union_agg("sessions")).alias("sessions"),
+        F.hll_sketch_estimate(F.hll_union_agg("actors")).alias("actors"),
+        F.kll_merge_agg_bigint("durations").alias("durations"),
+    )
+    some = F.kll_sketch_get_n_bigint("durations") > 0
+    return merged.withColumns({
+        f"p{round(q * 100)}_ms": F.when(some, F.kll_sketch_get_quantile_bigint("durations", F.lit(q))) for q in quantiles
+    })
+
+
 def unmet_demand(requests: DataFrame, text: str = "capability") -> DataFrame:
     """Valid capability requests by their text, without case and outer space."""
     valid = requests.filter(F.col("capability_request") & valid_capability(text))

@@ -221,3 +221,18 @@ def test_long_keys_give_few_places(spark):
     keys = spark.createDataFrame([("s", noise + uuid(i * 7919, i * 104729 + i % 2) + noise) for i in range(40)], "server_id string, session_key string")
     assert runs.id_places(keys, table).count() == 40
     assert runs.runs_in_keys(keys, table).count() == 20
+
+
+def test_sketches_merge_to_any_span(spark):
+    calls = spark.range(6000).selectExpr(
+        "concat('t', id % 2) AS tool", "CASE WHEN id % 1000 < 990 THEN timestamp_seconds(1700000000 + id * 60) END AS started", "id % 5 > 0 AS ok",
+        "concat('s', id % 3) AS server_id", "CASE WHEN id % 4 = 0 THEN '' ELSE concat('k', id % 300) END AS session_key",
+        "concat('a', id % 50) AS actor_id", "CASE WHEN id % 2 = 0 THEN id DIV 2 END AS duration_ms",
+    )
+    sketches = usage.usage_sketches(calls)
+    got = {r.tool: r for r in usage.merge_usage(sketches, "tool").collect()}
+    assert [(got[t].calls, got[t].failed) for t in ("t0", "t1")] == [(3000, 600), (3000, 600)]
+    assert abs(got["t0"].sessions - 75) <= 4 and abs(got["t1"].sessions - 150) <= 8 and abs(got["t0"].actors - 25) <= 2
+    assert abs(got["t0"].p50_ms - 1500) <= 45 and abs(got["t0"].p99_ms - 2970) <= 45 and got["t1"].p50_ms is None
+    assert sketches.filter("span_start IS NULL").agg(F.sum("calls")).first()[0] == 60
+    assert usage.merge_usage(usage.usage_sketches(calls.limit(0)), "tool").count() == 0
