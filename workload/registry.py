@@ -4,13 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callscope.functions import clients, ids, payload, telemetry
-from callscope.operators import catalog, delivery, envelopes, quality, runs, sessions, usage
+from callscope.operators import catalog, delivery, envelopes, id_index, quality, runs, sessions, usage
 from callscope.operators.assemble import build_tool_calls, join_ownership
 from callscope.operators.pairing import pair_calls
 from callscope.options import BuildOptions
 from callscope.plans.build_events import build_events
 from callscope.plans.jobs import clean_payloads, ingest, resolve_sessions
-from callscope.session import ship_package
+from callscope.session import scratch_dir, ship_package
 from workload import sql as Q
 from workload import views as V
 
@@ -563,6 +563,17 @@ def deduplicated_events(spark, sf):
     return ingest(_received(spark, sf), ["arrival", "position", "body"]).select("event_id", "arrival", "body")
 
 
+@register("late_redeliveries", f"""WITH {Q.EV}, again AS (SELECT CASE WHEN event_id % 17 = 0 THEN 'e' || event_id ELSE 'n' || (event_id - event_id % 3) END AS event_id, event_id AS arrival FROM ev)
+  SELECT event_id, min(arrival) AS arrival FROM again WHERE event_id NOT IN (SELECT 'e' || event_id FROM ev) GROUP BY ALL""")
+def late_redeliveries(spark, sf):
+    """A batch that comes weeks after its events were indexed by day: what is new in it, once."""
+    seen = V.events(spark, sf)
+    path = scratch_dir(spark, "event-index")
+    id_index.append_ids(seen.selectExpr("concat('e', event_id) AS event_id", "ts AS day"), path)
+    again = seen.selectExpr("CASE WHEN event_id % 17 = 0 THEN concat('e', event_id) ELSE concat('n', event_id - event_id % 3) END AS event_id", "event_id AS arrival")
+    return id_index.dedup_late(again, path, ["arrival"])
+
+
 @register("refused_events", f"WITH {_RECEIVED} SELECT reason, count(*) AS events, count(DISTINCT batch) AS batches FROM r WHERE reason IS NOT NULL GROUP BY ALL")
 def refused_events(spark, sf):
     rows = envelopes.rejected_events(_received(spark, sf), "batch")
