@@ -19,11 +19,11 @@ from callscope.session import scratch_dir
 
 HOT_ROWS = 2_000_000
 SLICE = "__slice"
-#: Starts of slices that are looked through at a time.
-_GROUP = 128
+#: Starts of one key that a row is compared with; beyond, rows find their slice by a join on their place.
+_STARTS = 128
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """`df` by way of the shared scratch folder: its size is known, its lineage ends."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -47,7 +47,7 @@ def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     rows, part = f"__{name}_row", F.shiftright(F.col(f"__{name}_row"), 33)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order).withColumn(rows, F.monotonically_increasing_id())
-    placed = _written(dealt, "numbered")
+    placed = written(dealt, "numbered")
     counts = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
     before, offsets = 0, [F.lit(-1), F.lit(0)]
     for number in sorted(counts):
@@ -57,17 +57,15 @@ def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFra
     return placed.withColumn(name, at.cast("bigint")).drop(rows)
 
 
-def slice_starts(df: DataFrame, keys: list[str], order: list[str], hot: DataFrame, hot_rows: int) -> DataFrame:
-    """For each hot key the places where its slices begin: groups of `_GROUP`, in order."""
+def placed_rows(df: DataFrame, keys: list[str], order: list[str], hot: DataFrame, hot_rows: int) -> DataFrame:
+    """The narrow rows of the hot keys: keys, `__place`, and `__number`, the slice at their position."""
     narrow = df.select(*keys, F.struct(*order).alias("__place")).join(hot, keys, "left_semi")
     placed = numbered(narrow, [*keys, "__place"], "__position")
     first = placed.groupBy(*keys).agg(F.min("__position").alias("__first"))
-    starts = placed.join(first, keys).filter((F.col("__position") - F.col("__first")) % hot_rows == 0)
-    ranked = starts.groupBy(*keys).agg(F.array_distinct(F.array_sort(F.collect_list("__place"))).alias("__all"))
-    groups = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / _GROUP).cast("int")), lambda i: F.slice("__all", i * _GROUP + 1, F.lit(_GROUP))
+    behind = F.col("__position") - F.col("__first")
+    return placed.join(first, keys).select(
+        *keys, "__place", F.floor(behind / hot_rows).cast("bigint").alias("__number"), (behind % hot_rows == 0).alias("__starts_slice")
     )
-    return ranked.select(*keys, groups.alias("__starts"))
 
 
 @dataclass
@@ -98,21 +96,27 @@ def slice_hot(
 
     `hot_rows=None` skips the measurement. The hot keys are written to the shared
     scratch folder, so their size is known to the optimizer, which broadcasts them
-    below its threshold and joins them by shuffle above it.
+    below its threshold and joins them by shuffle above it. Where a key has few slices, each row is
+    compared with their starts; where it has many, it joins its own place, so the work of a row does not
+    grow with the key.
     """
     if hot_rows is None:
         return Sliced(df, keys)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = written(hot_keys(df, keys, hot_rows), "hot-keys")
     if hot.isEmpty():
         return Sliced(df, keys)
-    hot = _written(hot, "hot-keys")
-    starts = _written(slice_starts(df, keys, order, hot, hot_rows), "slice-starts")
+    placed = placed_rows(df, keys, order, hot, hot_rows)
     place = F.struct(*order)
-    # The group whose first start was reached last, then the start within it.
-    group = F.size(F.filter("__starts", lambda g: g[0] <= place))
-    number = (group - 1) * _GROUP + F.size(F.filter(F.get("__starts", group - 1), lambda s: s <= place)) - 1
-    sliced = df.join(starts, keys, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0))).drop("__starts")
-    return Sliced(sliced, keys, hot)
+    starts = placed.filter("__starts_slice")
+    if starts.groupBy(*keys).count().agg(F.max("count")).first()[0] <= _STARTS:
+        starts = starts.groupBy(*keys).agg(F.array_distinct(F.array_sort(F.collect_list("__place"))).alias("__starts"))
+        number = F.size(F.filter("__starts", lambda s: s <= place)) - 1
+        sliced = df.join(written(starts, "slice-starts"), keys, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0))).drop("__starts")
+        return Sliced(sliced, keys, hot)
+    # Rows of one place go with the first of them.
+    numbers = written(placed.groupBy(*keys, "__place").agg(F.min("__number").alias(SLICE)), "slices")
+    sliced = df.withColumn("__place", place).join(numbers, [*keys, "__place"], "left").drop("__place")
+    return Sliced(sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0))).select(*df.columns, SLICE), keys, hot)
 
 
 def with_previous(

@@ -72,3 +72,12 @@ def test_keep_first_limits_before_the_shuffle(skewed, capsys):
     first.explain()
     plan = capsys.readouterr().out
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_rows_of_many_slices_carry_no_starts(spark):
+    """With many slices a row joins its own place; it is not compared with the starts of its whole key."""
+    rows = spark.range(3000).selectExpr("'k' AS k", "IF(id % 7 = 0, NULL, id) AS ts", "id AS seq")
+    sliced = slice_hot(rows, ["k"], ["ts", "seq"], 10)
+    assert "starts" not in sliced.df._jdf.queryExecution().optimizedPlan().toString()
+    sizes = [r["count"] for r in sliced.df.groupBy("__slice").count().collect()]
+    assert sizes == [10] * 300
