@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from callscope import schemas as S
 from callscope.functions.text import sql_text
-from callscope.operators.ordered import HOT_ROWS, SLICE, keep_first, slice_hot
+from callscope.operators.ordered import HOT_ROWS, SLICE, keep_first, slice_hot, written
 
 _CALL_KEYS = [
     "tool_name", "user_intent", "agent_thinking", "user_frustration", "intent", "context",
@@ -80,22 +80,31 @@ def with_envelope(
     """Add `batch`: the envelope each event belongs to, first in, first out per server.
 
     A batch takes `size` candidates; the events of one candidate (up to three) stay
-    together. Servers with very many events are cut into slices: candidates are numbered within
-    each, and the numbers of the slices before it, summed up over one row a slice, are
-    added. So the numbers are the same at any size.
+    together. The places of the candidates, narrow rows, are written once and numbered by
+    themselves; events find their number by their place, so no window holds whole events and all
+    tasks share them, however few the servers. Servers with very many places are cut into slices:
+    candidates are numbered within each, and the numbers of the slices before it, summed up over one
+    row a slice, are added. So the numbers are the same at any size. `hot_rows=None`, for a small
+    table, numbers the events where they are.
     """
     order = ["recorded_at", "source_seq"]
-    sliced = slice_hot(events, ["server_id"], order, hot_rows)
+    if hot_rows is None:
+        window = Window.partitionBy("server_id").orderBy(*order)
+        return events.withColumn("batch", F.floor((F.dense_rank().over(window) - 1) / size).cast("bigint"))
+    places = written(events.select("server_id", *order).distinct(), "places")
+    sliced = slice_hot(places, ["server_id"], order, hot_rows)
     window = Window.partitionBy(*sliced.window_keys(["server_id"])).orderBy(*order)
-    local = sliced.df.withColumn("__candidate", F.dense_rank().over(window))
+    local = sliced.df.withColumn("__candidate", F.row_number().over(window))
     number = F.col("__candidate")
     if sliced.hot is not None:
         before = Window.partitionBy("server_id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        counts = sliced.df.select("server_id", SLICE, *order).distinct().groupBy("server_id", SLICE).agg(F.count(F.lit(1)).alias("__held"))
+        counts = sliced.df.groupBy("server_id", SLICE).agg(F.count(F.lit(1)).alias("__held"))
         carried = counts.withColumn("__before", F.coalesce(F.sum("__held").over(before), F.lit(0))).drop("__held")
         local = local.join(carried, ["server_id", SLICE])
         number = number + F.col("__before")
-    return local.withColumn("batch", F.floor((number - 1) / size).cast("bigint")).drop(SLICE, "__candidate", "__before")
+    place = F.struct("server_id", *order).alias("__place")
+    batches = local.select(place, F.floor((number - 1) / size).cast("bigint").alias("batch"))
+    return events.withColumn("__place", place).join(batches, "__place").drop("__place")
 
 
 def pack_envelopes(
