@@ -28,7 +28,6 @@ SENSITIVE_KEYS = frozenset({
     "authorization", "accesstoken", "refreshtoken", "databaseurl", "token", "privatekey",
 })
 _SENSITIVE = "[-_]*(?:" + "|".join("[-_]*".join(name) for name in sorted(SENSITIVE_KEYS)) + ")[-_]*"
-_SENSITIVE_HINT = "\"(" + "|".join(sorted(SENSITIVE_KEYS)) + ")\""
 
 # --- native path -----------------------------------------------------------------
 
@@ -47,16 +46,22 @@ _ODD_ESCAPE = r"\\u(?:00[01]|[eE]|[fF][0-8]|212[aA]|[dD][89abAB][0-9a-fA-F]{2}(?
 # Keys of these two kinds sort otherwise by UTF-16 than by bytes.
 _HIGH, _HIGHER = "[\uf900-\uffff]", r"[\x{10000}-\x{10ffff}]|\\u[dD][89abAB]"
 
-_KEY = r"(?<=[{,])"
+def _key(name: str) -> str:
+    """A key's name in quotes. The text before it is looked at last, so that the search goes by the name."""
+    return rf'"{name}":(?<=[{{,]"{name}":)'
+
+
+_QUOTE = '"(?<=[{,]")'
 _FILLED = rf'(?!"["{_OPEN}]){_STRING}'
-_BLOB = rf'{_KEY}"blob":{_FILLED}'
+_BLOB = rf'{_key("blob")}{_FILLED}'
 # `data` of an image or audio: flat members, then the type, in the same object.
 _BETWEEN = rf'(?:,(?!"type":){_STRING}:{_FLAT})*+'
-_DATA = rf'{_KEY}"data":{_FILLED}(?={_BETWEEN},"type":"(?:image|audio)"[,}}])'
+_DATA = rf'{_key("data")}{_FILLED}(?={_BETWEEN},"type":"(?:image|audio)"[,}}])'
 # A nested member between `data` and where its type would be, or below a sensitive key.
-_UNCLEAR_DATA = rf'{_KEY}"data":(?!"\[binary removed\]"){_FILLED}{_BETWEEN},(?!"type":){_STRING}:[{{\[]'
-_UNCLEAR = rf'{_KEY}"(?i:{_SENSITIVE})":[{{\[]'
-_SENSITIVE_MEMBER = rf'{_KEY}"((?i:{_SENSITIVE}))":(?!null){_FLAT}'
+_UNCLEAR_DATA = rf'{_key("data")}(?!"\[binary removed\]"){_FILLED}{_BETWEEN},(?!"type":){_STRING}:[{{\[]'
+_HAS_SENSITIVE = rf'{_QUOTE}(?i:{_SENSITIVE})":'
+_UNCLEAR = _HAS_SENSITIVE + r"[{\[]"
+_SENSITIVE_MEMBER = rf'{_QUOTE}((?i:{_SENSITIVE}))":(?!null){_FLAT}'
 
 
 def _sql_replace(text: str, pattern: str, by: str) -> str:
@@ -119,29 +124,30 @@ def _sql_members(text: str, secrets: bool) -> str:
     out = tx.sql_let(binary, "m", f"CASE WHEN {media} THEN {tx.sql_let(data, 'd', clear)} ELSE m END")
     if not secrets:
         return out
-    hint = f"translate(lower(k), '-_', '') RLIKE {tx.sql_text(_SENSITIVE_HINT)}"
+    held = f"k RLIKE {tx.sql_text(_HAS_SENSITIVE)}"
     hidden = _sql_replace("k", _SENSITIVE_MEMBER, f'"$1":"{S.SENSITIVE_FIELD}"')
-    return tx.sql_let(out, "k", f"CASE WHEN NOT {hint} THEN k WHEN NOT k RLIKE {tx.sql_text(_UNCLEAR)} THEN {hidden} END")
+    return tx.sql_let(out, "k", f"CASE WHEN NOT {held} THEN k WHEN NOT k RLIKE {tx.sql_text(_UNCLEAR)} THEN {hidden} END")
 
 
 def _sql_clean_token(secrets: bool) -> str:
-    """One string value `t` cleaned; without a trigger it stays as it is."""
+    """One string value `t` cleaned; without a trigger it stays as it is. `runs`: whether the text holds long runs."""
     odd = ["octet_length(t) >= 64"] + ([tx.sql_may_hold_secret("t")] if secrets else [])
-    quoted = "substring(to_json(struct(clean AS v)), 6, length(to_json(struct(clean AS v))) - 6)"
-    clean = tx.sql_let(tx.sql_clean_text("plain", secrets), "clean", f"CASE WHEN clean = plain THEN t ELSE {quoted} END")
+    quoted = tx.sql_let("to_json(struct(clean AS v))", "shown", "substring(shown, 6, length(shown) - 6)")
+    clean = tx.sql_let(tx.sql_clean_text("plain", secrets, "runs"), "clean", f"CASE WHEN clean = plain THEN t ELSE {quoted} END")
     decoded = tx.sql_let("try_variant_get(try_parse_json(t), '$', 'string')", "plain", clean)
     return f"CASE WHEN startswith(t, '\"{_OPEN}') OR NOT {tx.sql_when_any(odd)} THEN t ELSE {decoded} END"
 
 
 def _sql_strings(text: str, secrets: bool) -> str:
     """All string values of a canonical text cleaned, if it holds anything to clean."""
-    odd = [f"contains({text}, ';base64,')", f"{text} RLIKE '[A-Za-z0-9+/_-]{{512}}'"] + ([tx.sql_may_hold_secret(text)] if secrets else [])
+    odd = ["runs", f"contains({text}, ';base64,')"] + ([tx.sql_may_hold_secret(text)] if secrets else [])
     tokens = f"regexp_extract_all({text}, {tx.sql_text(_STRING)}, 0)"
     frame = f"split({_sql_replace(text, _STRING, '"')}, '\"', -1)"
     # A string before a colon is a key and stays.
     values = f"transform(tokens, (t, i) -> CASE WHEN startswith(get(frame, i + 1), ':') THEN t ELSE {_sql_clean_token(secrets)} END)"
     joined = f"array_join(zip_with(frame, {values}, (f, t) -> concat(f, coalesce(t, ''))), '')"
-    return f"CASE WHEN {tx.sql_when_any(odd)} THEN {tx.sql_let(tokens, 'tokens', tx.sql_let(frame, 'frame', joined))} ELSE {text} END"
+    shown = f"CASE WHEN {tx.sql_when_any(odd)} THEN {tx.sql_let(tokens, 'tokens', tx.sql_let(frame, 'frame', joined))} ELSE {text} END"
+    return tx.sql_let(f"{text} RLIKE {tx.sql_text(tx.HOLDS_RUN)}", "runs", shown)
 
 
 def with_native_preview(

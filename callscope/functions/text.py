@@ -16,6 +16,8 @@ SPACE = "\\t\\n\\x0B\\f\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u
 BASE64_WHOLE = "\\A[A-Za-z0-9+/_-]+={0,2}\\z"
 BASE64_RUN = "[A-Za-z0-9+/_-]{512,}={0,2}"
 BASE64_MIN_BYTES = 512
+# Any text that holds an encoded binary holds this; two padding signs may be part of its bytes.
+HOLDS_RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{510}"
 DATA_URI_MIN_BYTES = 64
 
 # ASCII word boundaries, written out because \b follows Unicode in Java.
@@ -123,10 +125,10 @@ def is_truncated(name: str, limit: int) -> Column:
     return F.expr(f"coalesce(octet_length({name}) > {limit}, false)")
 
 
-def _base64_payload(name: str) -> str:
+def _base64_payload(name: str, runs: str = "true") -> str:
     return (
         f"((octet_length({name}) >= {DATA_URI_MIN_BYTES} AND startswith({name}, 'data:')"
-        f" AND contains({name}, ';base64,')) OR (octet_length({name}) >= {BASE64_MIN_BYTES}"
+        f" AND contains({name}, ';base64,')) OR ({runs} AND octet_length({name}) >= {BASE64_MIN_BYTES}"
         f" AND {name} RLIKE {sql_text(BASE64_WHOLE)}))"
     )
 
@@ -135,12 +137,15 @@ def is_base64_payload(name: str) -> Column:
     return F.expr(_base64_payload(name))
 
 
-def _sql_strip_base64(name: str) -> str:
-    """Replace a text that is one encoded binary, else every long run inside it."""
+def _sql_strip_base64(name: str, runs: str = "true") -> str:
+    """Replace a text that is one encoded binary, else every long run inside it.
+
+    Where `runs` is false, the text is known to hold no such run.
+    """
     gone = sql_text(S.BASE64_REMOVED)
     return (
-        f"CASE WHEN {_base64_payload(name)} THEN {gone}"
-        f" WHEN octet_length({name}) >= {BASE64_MIN_BYTES}"
+        f"CASE WHEN {_base64_payload(name, runs)} THEN {gone}"
+        f" WHEN {runs} AND octet_length({name}) >= {BASE64_MIN_BYTES}"
         f" THEN regexp_replace({name}, {sql_text(BASE64_RUN)}, {gone}) ELSE {name} END"
     )
 
@@ -159,13 +164,17 @@ def sql_let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _sql_trigger(rule: str, name: str) -> str:
-    where = f"lower({name})" if rule in FOLDED else name
-    return sql_when_any([f"contains({where}, {sql_text(x)})" for x in TRIGGERS[rule]])
+def _sql_literals(rules, where: str) -> str:
+    return sql_when_any([f"contains({where}, {sql_text(x)})" for rule in rules for x in TRIGGERS[rule[0]]])
 
 
 def _sql_any_trigger(name: str, rules) -> str:
-    return sql_when_any([_sql_trigger(rule[0], name) for rule in rules])
+    """Whether a rule may match; the lower case is taken once, and only for texts without the exact ones."""
+    exact, folded = [r for r in rules if r[0] not in FOLDED], [r for r in rules if r[0] in FOLDED]
+    tests = [_sql_literals(exact, name)] if exact else []
+    if folded:
+        tests.append(sql_let(f"lower({name})", "folded", _sql_literals(folded, "folded")))
+    return sql_when_any(tests)
 
 
 def sql_may_hold_secret(name: str) -> str:
@@ -178,9 +187,12 @@ def may_hold_secret(name: str) -> Column:
 
 
 def _sql_apply(name: str, rules, label) -> str:
-    for rule, pattern, before, after in rules:
-        text = sql_text(before + label(rule) + after)
-        name = f"regexp_replace({name}, {sql_text(pattern)}, {text})"
+    """The rules in order; a rule's pattern runs where one of its own literals is left."""
+    for number, rule in enumerate(rules):
+        given = f"given_{number}"
+        text = sql_text(rule[2] + label(rule[0]) + rule[3])
+        done = f"regexp_replace({given}, {sql_text(rule[1])}, {text})"
+        name = sql_let(name, given, f"CASE WHEN {_sql_any_trigger(given, [rule])} THEN {done} ELSE {given} END")
     return name
 
 
@@ -225,9 +237,9 @@ def secret_hits(name: str) -> Column:
     return F.expr(f"CASE WHEN {sql_may_hold_secret(name)} THEN {hits} END")
 
 
-def sql_clean_text(value: str, secrets: bool = True) -> str:
+def sql_clean_text(value: str, secrets: bool = True, runs: str = "true") -> str:
     """SQL that sanitizes, then redacts one string: the treatment of telemetry text."""
-    clean = sql_let(value, "whole", _sql_strip_base64("whole"))
+    clean = sql_let(value, "whole", _sql_strip_base64("whole", runs))
     return sql_let(clean, "bare", _sql_redact("bare")) if secrets else clean
 
 
