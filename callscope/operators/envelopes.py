@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from callscope import schemas as S
 from callscope.functions.text import sql_text
-from callscope.operators.ordered import HOT_ROWS, SLICE, keep_first, slice_hot, written
+from callscope.operators.ordered import HOT_ROWS, SLICE, dealt, keep_first, slice_hot, written
 
 _CALL_KEYS = [
     "tool_name", "user_intent", "agent_thinking", "user_frustration", "intent", "context",
@@ -104,7 +104,7 @@ def with_envelope(
         number = number + F.col("__before")
     place = F.struct("server_id", *order).alias("__place")
     batches = local.select(place, F.floor((number - 1) / size).cast("bigint").alias("batch"))
-    return events.withColumn("__place", place).join(batches, "__place").drop("__place")
+    return dealt(events.withColumn("__place", place), ["__place"], places.count()).join(batches, "__place").drop("__place")
 
 
 def pack_envelopes(

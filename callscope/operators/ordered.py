@@ -19,6 +19,8 @@ from callscope.session import scratch_dir
 
 HOT_ROWS = 2_000_000
 SLICE = "__slice"
+#: Whole rows that one task sorts, so that its memory does not grow with the table.
+TASK_ROWS = 300_000
 #: Starts of one key that a row is compared with; beyond, rows find their slice by a join on their place.
 _STARTS = 128
 
@@ -30,6 +32,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """`df` by `keys` over as many tasks as `rows` rows need; below the session's number Spark deals them out itself."""
+    tasks = -(-rows // TASK_ROWS)
+    return df if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Keys with more than `hot_rows` rows; at most (rows / hot_rows) of them.
 
@@ -102,9 +110,11 @@ def slice_hot(
     """
     if hot_rows is None:
         return Sliced(df, keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    rows, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most <= hot_rows:
+        return Sliced(dealt(df, keys, rows), keys)
     hot = written(hot_keys(df, keys, hot_rows), "hot-keys")
-    if hot.isEmpty():
-        return Sliced(df, keys)
     placed = placed_rows(df, keys, order, hot, hot_rows)
     place = F.struct(*order)
     starts = placed.filter("__starts_slice")
@@ -112,11 +122,12 @@ def slice_hot(
         starts = starts.groupBy(*keys).agg(F.array_distinct(F.array_sort(F.collect_list("__place"))).alias("__starts"))
         number = F.size(F.filter("__starts", lambda s: s <= place)) - 1
         sliced = df.join(written(starts, "slice-starts"), keys, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0))).drop("__starts")
-        return Sliced(sliced, keys, hot)
+        return Sliced(dealt(sliced, [*keys, SLICE], rows), keys, hot)
     # Rows of one place go with the first of them.
     numbers = written(placed.groupBy(*keys, "__place").agg(F.min("__number").alias(SLICE)), "slices")
     sliced = df.withColumn("__place", place).join(numbers, [*keys, "__place"], "left").drop("__place")
-    return Sliced(sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0))).select(*df.columns, SLICE), keys, hot)
+    sliced = sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0))).select(*df.columns, SLICE)
+    return Sliced(dealt(sliced, [*keys, SLICE], rows), keys, hot)
 
 
 def with_previous(

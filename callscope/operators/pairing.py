@@ -15,6 +15,7 @@ from callscope.functions import ids
 from callscope.functions.text import blank_to_null, trim_space
 from callscope.operators.ordered import (
     Sliced,
+    dealt,
     keep_first,
     slice_hot,
     with_previous,
@@ -243,6 +244,8 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     network once, on the connection; client look-up and pairing share that layout.
     """
     prepared = prepare_messages(messages, options)
+    if options.hot_rows is None:
+        prepared = dealt(prepared, CONNECTION, prepared.count())
     sliced = slice_hot(prepared, CONNECTION, ORDER, options.hot_rows)
     seen = with_client(sliced, options)
 
