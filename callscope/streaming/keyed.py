@@ -7,9 +7,12 @@ answers pair once and starts are those of the batch job, however the log was cut
 micro-batches. An agenda by minute ends requests that were never answered, and forgets.
 
 Connections share the keys of the store (`buckets`): their waiting rows lie in one list, which holds
-the rows of the delay alone, and each connection's state is an entry of one map. So a
-micro-batch calls the store once or twice for each connection that it decides something for,
-and reads nothing of the others.
+the rows of the delay alone, and each connection's state is an entry of one map. A micro-batch
+reads the map in one go as far as a few entries for each connection that it decides something for, and asks
+for those it did not meet one by one. So its work follows what it decides, however many others there are.
+
+Rows cross into Python, wait there and come back in packs (`packed_rows`), compressed on the way in, since a
+processor pays for every column of each of its rows and the store for every byte.
 
 `first_of_each_stream` keeps one mark for each session and identity that was sent.
 
@@ -21,9 +24,11 @@ A connection is decided by one task, as its order demands.
 
 import json
 import sys
+import zlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -49,7 +54,12 @@ from callscope.options import HOOKS, BuildOptions
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 DECIDED = "server_id string, kind string, micros bigint, seq bigint, request string, row string, client string, session_id string"
-#: A row that waits: its connection, its place, what it is, and its columns as JSON.
+_DECIDED = Row("decided")
+#: Rows of a pack that leaves a processor; rows and characters that a task packs at once before one enters.
+_PACK, _HELD_ROWS, _HELD_TEXT = 256, 50_000, 1 << 24
+#: Entries read at once for each connection that is asked for: a call for one costs as much as many of them.
+_AT_ONCE = 4
+#: A row that waits: its connection, its place, what it is, and its columns as JSON; in a pack all are texts.
 _FIELDS = ["server_id", "connection", "micros", "seq", "what", "request_id", "client", "own_id", "session", "fallback", "row"]
 _KNOWN = "begun string, client string, remembered string, started boolean, touched bigint"
 _MINUTE = 60_000_000
@@ -84,7 +94,7 @@ class Connection:
         touched = None if self.forget is None else self.touched
         return json.dumps(self.begun) if self.begun else None, self.client, self.remembered, bool(self.started), touched
 
-    def decide(self, rows: list[tuple]) -> None:
+    def decide(self, rows: list[list]) -> None:
         for row in rows:
             self._decide(*row)
             self.touched = row[0]
@@ -134,6 +144,49 @@ class Connection:
             self.out.append((kind, micros, seq, _packed(request), row, request[3], request[4]))
 
 
+def packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (`bucket`, `micros`, `row`) as packs: `bucket`, their earliest time `low`, and `pack`, a compressed JSON list.
+
+    A pack with a row without time has no `low`. A task holds few rows at once, whatever its part of the log.
+    """
+    names, held, rows, size = ["bucket", "low", "pack"], {}, 0, 0
+
+    def packs() -> pa.RecordBatch:
+        lows = [None if None in times else min(times) for times, _ in held.values()]
+        made = [_compressed(f"[{','.join(texts)}]") for _, texts in held.values()]
+        return pa.record_batch([pa.array(list(held), pa.int64()), pa.array(lows, pa.int64()), pa.array(made, pa.binary())], names)
+
+    for batch in batches:
+        for bucket, micros, row in zip(*(column.to_pylist() for column in batch.columns)):
+            times, texts = held.setdefault(bucket, ([], []))
+            times.append(micros)
+            texts.append(row)
+            rows, size = rows + 1, size + len(row)
+            if rows >= _HELD_ROWS or size >= _HELD_TEXT:
+                yield packs()
+                held, rows, size = {}, 0, 0
+    if held:
+        yield packs()
+
+
+def _compressed(text: str) -> bytes:
+    return zlib.compress(text.encode(), 1)
+
+
+def unpacked(pack: bytes) -> list[list]:
+    """The rows of a pack, their places as numbers again."""
+    rows = json.loads(zlib.decompress(pack))
+    for row in rows:
+        row[2:4] = [None if value is None else int(value) for value in row[2:4]]
+    return rows
+
+
+def in_packs(rows: Iterator[tuple]) -> Iterator[Row]:
+    """Decided rows in packs, as a processor hands them out."""
+    while pack := list(islice(rows, _PACK)):
+        yield _DECIDED(pack)
+
+
 class LogState(StatefulProcessor):
     """The connections of one bucket: rows wait for the watermark, then are decided in order."""
 
@@ -143,47 +196,73 @@ class LogState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "rows string")
+        self.waiting = handle.getListState("waiting", "packs array<binary>")
         self.known = handle.getMapState("known", "server_id string, connection string", _KNOWN)
         self.agenda = handle.getMapState("agenda", "minute bigint", "connections string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        kept = []
-        for r in rows:
-            if r.micros is None or r.micros <= passed:
-                yield Row(server_id=r.server_id, kind="late", micros=r.micros, seq=r.seq, request=None, row=r.row, client=None, session_id=None)
-            else:
-                kept.append(tuple(r[name] for name in _FIELDS))
-        if kept:
-            # One text for the rows of a micro-batch: a call to the store costs far more than a row.
-            self.waiting.appendValue((json.dumps(kept),))
-            self._wake(min(r[2] for r in kept))
+        return in_packs(self._taken(rows, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [tuple(r) for part in self.waiting.get() for r in json.loads(part[0])]
+        return in_packs(self._due(timerValues.getCurrentWatermarkInMs() * 1000))
+
+    def _taken(self, packs: Iterator[Row], passed: int) -> Iterator[tuple]:
+        """Keep the rows of these packs that are in time; the others are late."""
+        kept, first = [], None
+        for _, low, pack in packs:
+            if low is None or low <= passed:
+                own = []
+                for r in unpacked(pack):
+                    if r[2] is None or r[2] <= passed:
+                        yield r[0], "late", r[2], r[3], None, r[10], None, None
+                    else:
+                        own.append(r)
+                if not own:
+                    continue
+                low, pack = min(r[2] for r in own), _compressed(json.dumps(own))
+            kept.append(pack)
+            first = low if first is None else min(first, low)
+        if kept:
+            # One value for the rows of a micro-batch: a call to the store costs far more than a row.
+            self.waiting.appendValue((kept,))
+            self._wake(first)
+
+    def _due(self, passed: int) -> Iterator[tuple]:
+        rows = [r for part in self.waiting.get() for pack in part[0] for r in unpacked(pack)]
         due = sorted((r for r in rows if r[2] <= passed), key=lambda r: r[:4])
         if due:
             later = [r for r in rows if r[2] > passed]
             if later:
-                self.waiting.put([(json.dumps(later),)])
+                self.waiting.put([([_compressed(json.dumps(later))],)])
                 self._wake(min(r[2] for r in later))
             else:
                 self.waiting.clear()
-        for name, own in groupby(due, key=lambda r: r[:2]):
-            yield from self._settled(name, [r[2:] for r in own], passed)
+        connections = {name: list(own) for name, own in groupby(due, key=lambda r: tuple(r[:2]))}
+        known = self._known_of(connections)
+        for name, own in connections.items():
+            yield from self._settled(name, [r[2:] for r in own], passed, known[name])
         if self.has_agenda:
             for minute in sorted(m[0] for m in self.agenda.keys()):
                 if minute * _MINUTE <= passed:
                     names = json.loads(self.agenda.getValue((minute,))[0])
                     self.agenda.removeKey((minute,))
                     for name in sorted({tuple(n) for n in names}):
-                        yield from self._settled(name, [], passed)
-
-    def _settled(self, name: tuple, rows: list[tuple], passed: int) -> Iterator[Row]:
-        """Decide rows of one connection, end what is past its time, and keep the rest."""
-        before = self.known.getValue(name)
+                        yield from self._settled(name, [], passed, self.known.getValue(name))
+
+    def _known_of(self, names: dict[tuple, list]) -> dict[tuple, tuple | None]:
+        """What is known of these connections."""
+        read, found = 0, dict.fromkeys(names)
+        most = _AT_ONCE * len(names)
+        for name, value in islice(self.known.iterator(), most):
+            read += 1
+            if tuple(name) in found:
+                found[tuple(name)] = value
+        if read < most:
+            return found
+        return {name: self.known.getValue(name) if value is None else value for name, value in found.items()}
+
+    def _settled(self, name: tuple, rows: list[list], passed: int, before: tuple | None) -> Iterator[tuple]:
+        """Decide rows of one connection, end what is past its time, and keep the rest. `before`: what was known of it."""
         before = None if before is None else tuple(before)
         one = Connection(self.options, before)
         ended = one.ends_at()
@@ -198,8 +277,8 @@ class LogState(StatefulProcessor):
         ends = one.ends_at() if after is not None else None
         if ends is not None and (ends != ended or not rows):
             self._enter(-(-ends // _MINUTE), name)
-        for kind, micros, seq, request, row, client, session in one.out:
-            yield Row(server_id=name[0], kind=kind, micros=micros, seq=seq, request=request, row=row, client=client, session_id=session)
+        for shown in one.out:
+            yield name[0], *shown
 
     def _enter(self, minute: int, name: tuple) -> None:
         """A connection comes up again in that minute."""
@@ -266,8 +345,13 @@ def observe(
         name: None if seconds is None else seconds * 1_000_000 for name, seconds in (("abandon", options.abandon_after), ("forget", forget_after))
     }
     count = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = _narrow(messages, options, delay).withColumn("bucket", F.pmod(F.xxhash64("server_id", "connection"), F.lit(count)))
-    return rows.groupBy("bucket").transformWithState(LogState(given), DECIDED, "Append", "EventTime")
+    rows = _narrow(messages, options, delay).select(
+        F.pmod(F.xxhash64("server_id", "connection"), F.lit(count)).alias("bucket"), "micros",
+        F.to_json(F.array(*[F.col(name).cast("string") for name in _FIELDS])).alias("row"),
+    )
+    packs = rows.mapInArrow(packed_rows, "bucket bigint, low bigint, pack binary")
+    decided = packs.groupBy("bucket").transformWithState(LogState(given), f"decided array<struct<{DECIDED}>>", "Append", "EventTime")
+    return decided.select(F.inline("decided"))
 
 
 def decided_pairs(decided: DataFrame) -> DataFrame:
