@@ -4,11 +4,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.functions.clients import client_family
-from callscope.operators.ordered import keep_first
+from callscope.operators.ordered import TASK_ROWS, dealt, keep_first
 
 SESSION = ["server_id", "session_key"]
 BEGINNINGS = (1, 2, 4, 8, 16, 32, 64)
 MOST_LETTERS = 64  # A place of a run id that holds more different characters may hold any.
+#: Session keys that one task holds; long keys compress so well that Spark would put very many in a task.
+TASK_BYTES = 128 << 20
 ANY_LETTER = r"[^\x{dc00}-\x{dfff}]"  # Never the second half of a character beyond the basic plane.
 
 
@@ -58,9 +60,15 @@ def _one_of(letters: list[str] | None) -> str:
     return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(letters)) + "]"
 
 
-def id_places(sessions: DataFrame, runs: DataFrame) -> DataFrame:
+def key_rows(sessions: DataFrame) -> int:
+    """How many rows the session keys weigh: as many as ask for a task for every `TASK_BYTES` of them."""
+    size = sessions.agg(F.sum(F.octet_length("session_key"))).first()[0] or 0
+    return size * TASK_ROWS // TASK_BYTES
+
+
+def id_places(sessions: DataFrame, runs: DataFrame, weight: int | None = None) -> DataFrame:
     """Session, and each part of its key that begins like a run id and is as long as one (`run_id`)."""
-    keys = sessions.select(*SESSION).distinct()
+    keys = dealt(sessions.select(*SESSION), SESSION, key_rows(sessions) if weight is None else weight).distinct()
     parts = [F.array().cast("array<string>")]
     for pattern, lengths in id_beginnings(runs):
         # Looking ahead finds beginnings that overlap, too.
@@ -80,7 +88,8 @@ def runs_in_keys(sessions: DataFrame, runs: DataFrame) -> DataFrame:
     ids of NULL or of no characters pair with nothing.
     """
     ids = runs.select("run_id").filter(F.length("run_id") > 0).distinct()
-    return id_places(sessions, runs).join(ids, "run_id").select(*SESSION, "run_id")
+    weight = key_rows(sessions)
+    return dealt(id_places(sessions, runs, weight), ["run_id"], weight).join(ids, "run_id").select(*SESSION, "run_id")
 
 
 def session_run_ids(sessions: DataFrame, calls: DataFrame, runs: DataFrame) -> DataFrame:
