@@ -13,7 +13,7 @@ from callscope.functions.text import (
 )
 from callscope.operators import hooks
 from callscope.operators.as_of import as_of_join
-from callscope.operators.ordered import HOT_ROWS, keep_first
+from callscope.operators.ordered import HOT_ROWS, TASK_ROWS, keep_first
 from callscope.options import HOOKS, BuildOptions
 
 
@@ -69,13 +69,16 @@ def join_ownership(calls: DataFrame, owned: DataFrame | None, hot_rows: int | No
 
     `owned` is either a table of the (server_id, tool_name) that do, whose size decides
     between broadcast and shuffle, or a history of registrations (`ownership_history`), of which
-    each call sees the last one before it began. A tool that was not registered yet owns nothing.
+    each call sees the last one before it began. A tool that was not registered yet owns nothing. There are
+    few tools and whole calls are sorted by them, so tools are cut into slices of a quarter of `TASK_ROWS` at most:
+    tasks get several slices each, and about equal numbers of rows.
     """
     if owned is None:
         return calls.withColumn("owned", F.lit(False))
     if "registered_at" in owned.columns:
+        slices = None if hot_rows is None else min(hot_rows, TASK_ROWS // 4)
         joined = as_of_join(
-            calls, owned, ["server_id", "tool_name"], ("started_at", "started_seq"), ("registered_at", "registered_seq"), ["owned"], hot_rows
+            calls, owned, ["server_id", "tool_name"], ("started_at", "started_seq"), ("registered_at", "registered_seq"), ["owned"], slices
         )
     else:
         marks = owned.select("server_id", "tool_name").distinct().withColumn("owned", F.lit(True))
