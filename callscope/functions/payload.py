@@ -36,7 +36,8 @@ _STRING = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
 _FLAT = rf"(?:{_STRING}|true|false|null|-?[0-9]+)"
 _NUMBER = r"(?<![0-9A-Za-z.+-])(-?(?:0|[1-9][0-9]*)(?:[.][0-9]+)?(?:[eE][+-]?[0-9]+)?)(?![0-9A-Za-z.+-])"
 # A number that a round trip could change: fraction, exponent, minus zero, many digits.
-_FRAGILE_NUMBER = r"[\[:,\s]-?([0-9]+[.eE]|[0-9]{18})|[\[:,\s]-0|\A\s*-?[0-9]"
+_FRAGILE_NUMBER = r"[\[:,\s](?:-?(?:[0-9]+[.eE]|[0-9]{18})|-0)"
+_ONLY_NUMBER = r"\A\s*-?[0-9]"
 # Marks around a number in a string, and after each token while they are placed.
 _OPEN, _SHUT = "\ue010", "\ue011"
 # Texts for the recursion: lone surrogates and rare control characters, whose escapes differ;
@@ -80,6 +81,19 @@ def _sql_frame(text: str) -> str:
     return _sql_replace(text, rf"{_STRING}|[ \t\r\n]+", "")
 
 
+def _sql_same_frame(text: str, canonical: str) -> str:
+    """Whether a text is the one JSON value of `canonical`.
+
+    A parser stops after the first value; what follows it is in the frame alone. Where neither holds an
+    escape, each string of the value keeps its length, so texts of one length differ in order only.
+    """
+    plain = f"NOT contains({text}, {tx.sql_text(chr(92))}) AND NOT contains({canonical}, {tx.sql_text(chr(92))})"
+    return (
+        f"CASE WHEN {plain} AND length({text}) = length({canonical}) THEN true"
+        f" ELSE length({_sql_frame(text)}) = length({_sql_frame(canonical)}) END"
+    )
+
+
 def _sql_escape_html(text: str) -> str:
     for char, code in (("<", "\\u003c"), (">", "\\u003e"), ("&", "\\u0026"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         text = f"replace({text}, '{char}', {tx.sql_text(code)})"
@@ -88,19 +102,19 @@ def _sql_escape_html(text: str) -> str:
 
 def _with_canonical(df: DataFrame, out: str, value: str, pick: str | None, strip: str | None, marker: str | None, objects: bool) -> DataFrame:
     """Add `out`: canonical JSON of the payload, `undefined` if absent, NULL for the recursion."""
-    marked, parsed, whole, member = (f"__{out}_{x}" for x in ("marked", "parsed", "whole", "member"))
+    marked, parsed, whole, valid, member = (f"__{out}_{x}" for x in ("marked", "parsed", "whole", "valid", "member"))
     # Escapes are rare enough to look for them only where there are any.
     escaped = f"(contains({value}, {tx.sql_text(chr(92) + 'u')}) AND {value} RLIKE {tx.sql_text(_ODD_ESCAPE)})"
     odd = [f"{value} RLIKE {tx.sql_text(_ODD)}", escaped, f"({value} RLIKE {tx.sql_text(_HIGH)} AND {value} RLIKE {tx.sql_text(_HIGHER)})"]
     if marker:
         odd.append(f"contains({value}, {tx.sql_text(marker)})")
-    exact = f"CASE WHEN {value} RLIKE {tx.sql_text(_FRAGILE_NUMBER)} THEN {_sql_marked(value)} ELSE {value} END"
+    fragile = tx.sql_when_any([f"{value} RLIKE {tx.sql_text(p)}" for p in (_FRAGILE_NUMBER, _ONLY_NUMBER)])
+    exact = f"CASE WHEN {fragile} THEN {_sql_marked(value)} ELSE {value} END"
     df = df.withColumn(marked, F.expr(f"CASE WHEN NOT {tx.sql_when_any(odd)} THEN {exact} END"))
     df = df.withColumn(parsed, F.expr(f"try_parse_json({marked})")).withColumn(whole, F.expr(f"to_json({parsed})"))
-    # A parser stops after the first value; what follows it is in the frame alone.
-    is_json = f"length({_sql_frame(marked)}) = length({_sql_frame(whole)})"
+    df = df.withColumn(valid, F.expr(_sql_same_frame(marked, whole)))
     taken = parsed if pick is None else f"try_variant_get({parsed}, {tx.sql_text('$.' + pick)}, 'variant')"
-    df = df.withColumn(member, F.expr(f"CASE WHEN {is_json} THEN {taken} END"))
+    df = df.withColumn(member, F.expr(f"CASE WHEN {valid} THEN {taken} END"))
     text = whole if pick is None else f"to_json({member})"
     if strip is not None:
         block = f"({strip} AND contains({marked}, '\"telemetry\"') AND startswith(schema_of_variant({member}), 'OBJECT'))"
@@ -111,8 +125,8 @@ def _with_canonical(df: DataFrame, out: str, value: str, pick: str | None, strip
     absent = [f"{member} IS NULL", f"is_variant_null({member})"]
     if objects:
         absent.append(f"NOT startswith(schema_of_variant({member}), 'OBJECT')")
-    shown = f"CASE WHEN {is_json} THEN CASE WHEN {tx.sql_when_any(absent)} THEN '{UNDEFINED}' ELSE {text} END END"
-    return df.withColumn(out, F.expr(shown)).drop(marked, parsed, whole, member)
+    shown = f"CASE WHEN {valid} THEN CASE WHEN {tx.sql_when_any(absent)} THEN '{UNDEFINED}' ELSE {text} END END"
+    return df.withColumn(out, F.expr(shown)).drop(marked, parsed, whole, valid, member)
 
 
 def _sql_members(text: str, secrets: bool) -> str:
@@ -192,6 +206,10 @@ _RULES = [
 ]
 
 
+_DECODER = json.JSONDecoder(parse_int=Number, parse_float=Number, parse_constant=_no_constant)
+_ENCODER = json.JSONEncoder(ensure_ascii=False)
+
+
 def _key_bytes(item) -> bytes:
     return item[0].encode("utf-8", "replace")
 
@@ -199,9 +217,7 @@ def _key_bytes(item) -> bytes:
 def decode(text: str):
     """JSON value with exact numbers; text that is no JSON stands for itself."""
     try:
-        return json.loads(
-            text, parse_int=Number, parse_float=Number, parse_constant=_no_constant
-        )
+        return _DECODER.decode(text)
     except (ValueError, RecursionError):
         return text
 
@@ -214,7 +230,7 @@ def encode(value) -> str:
     if isinstance(value, Number):
         return str(value)
     if isinstance(value, str):
-        quoted = json.dumps(_SURROGATE.sub("\ufffd", value), ensure_ascii=False)
+        quoted = _ENCODER.encode(_SURROGATE.sub("\ufffd", value))
         return _HTML_PATTERN.sub(lambda m: _HTML[m.group()], quoted)
     if isinstance(value, dict):
         items = sorted(value.items(), key=_key_bytes)
@@ -336,6 +352,32 @@ def _slow_preview(pick, secrets: bool, redactor: Callable | None, marker, object
     return udf.asNondeterministic()
 
 
+def with_previews(
+    df: DataFrame, previews: dict[str, dict], *, secrets: bool = True, redactor: Callable | None = None
+) -> DataFrame:
+    """Add several previews: column -> what `with_preview` takes for it (`value`, `pick`, `strip`, `drop_marker`, `objects_only`).
+
+    What needs the recursion crosses into Python together, so that rows are handed over once.
+    """
+    slow = {}
+    for out, given in previews.items():
+        value, pick, strip, marker = given["value"], given.get("pick"), given.get("strip"), given.get("drop_marker")
+        objects = given.get("objects_only", False)
+        native, flag = f"__{out}_native", f"__{out}_flag"
+        df = df.withColumn(flag, F.lit(False) if strip is None else F.coalesce(strip, F.lit(False)))
+        if redactor is None:
+            df = with_native_preview(
+                df, native, value, pick=pick, strip=None if strip is None else flag, secrets=secrets, marker=marker, objects=objects,
+            )
+        else:
+            df = df.withColumn(native, F.lit(None).cast("string"))
+        slow_udf = _slow_preview(pick, secrets, redactor, marker, objects)
+        slow[f"__{out}_slow"] = slow_udf(F.when(F.col(native).isNull(), F.col(value)), F.col(flag))
+    df = df.withColumns(slow)
+    merged = {out: F.coalesce(F.col(f"__{out}_native"), F.col(f"__{out}_slow"), F.lit(UNDEFINED)) for out in previews}
+    return df.withColumns(merged).drop(*[f"__{out}_{x}" for out in previews for x in ("native", "slow", "flag")])
+
+
 def with_preview(
     df: DataFrame,
     out: str,
@@ -355,15 +397,5 @@ def with_preview(
     object's `_meta`; with `objects_only` any other value counts as absent. Absent
     and JSON null both give `undefined`.
     """
-    native, slow, flag = f"__{out}_native", f"__{out}_slow", f"__{out}_flag"
-    df = df.withColumn(flag, F.lit(False) if strip is None else F.coalesce(strip, F.lit(False)))
-    if redactor is None:
-        df = with_native_preview(
-            df, native, value, pick=pick, strip=None if strip is None else flag, secrets=secrets, marker=drop_marker, objects=objects_only,
-        )
-    else:
-        df = df.withColumn(native, F.lit(None).cast("string"))
-    slow_udf = _slow_preview(pick, secrets, redactor, drop_marker, objects_only)
-    df = df.withColumn(slow, slow_udf(F.when(F.col(native).isNull(), F.col(value)), F.col(flag)))
-    merged = F.coalesce(F.col(native), F.col(slow), F.lit(UNDEFINED))
-    return df.withColumn(out, merged).drop(native, slow, flag)
+    given = {"value": value, "pick": pick, "strip": strip, "drop_marker": drop_marker, "objects_only": objects_only}
+    return with_previews(df, {out: given}, secrets=secrets, redactor=redactor)

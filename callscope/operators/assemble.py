@@ -70,13 +70,13 @@ def join_ownership(calls: DataFrame, owned: DataFrame | None, hot_rows: int | No
     `owned` is either a table of the (server_id, tool_name) that do, whose size decides
     between broadcast and shuffle, or a history of registrations (`ownership_history`), of which
     each call sees the last one before it began. A tool that was not registered yet owns nothing. There are
-    few tools and whole calls are sorted by them, so tools are cut into slices of a quarter of `TASK_ROWS` at most:
-    tasks get several slices each, and about equal numbers of rows.
+    few tools and whole calls are sorted by them, so tools are cut into slices of three quarters of `TASK_ROWS` at most:
+    tasks get a slice or several each, and about equal numbers of rows.
     """
     if owned is None:
         return calls.withColumn("owned", F.lit(False))
     if "registered_at" in owned.columns:
-        slices = None if hot_rows is None else min(hot_rows, TASK_ROWS // 4)
+        slices = None if hot_rows is None else min(hot_rows, TASK_ROWS * 3 // 4)
         joined = as_of_join(
             calls, owned, ["server_id", "tool_name"], ("started_at", "started_seq"), ("registered_at", "registered_seq"), ["owned"], slices
         )
@@ -98,13 +98,14 @@ def with_candidate(calls: DataFrame, options: BuildOptions) -> DataFrame:
     )
     df = calls.withColumn("__block", block)
     df = df.withColumn("__block", telemetry.clean("__block", secrets))
-    df = payload.with_preview(
-        df, "__input", "params", pick="arguments", strip=~F.col("owned"),
-        secrets=secrets, redactor=redactor, objects_only=options.adapter == HOOKS,
-    )
-    df = payload.with_preview(
-        df, "__output", "result", secrets=secrets, redactor=redactor,
-        drop_marker=options.capability_marker,
+    # An output that is no object counts as well, an input of hooks does not.
+    df = payload.with_previews(
+        df,
+        {
+            "__input": {"value": "params", "pick": "arguments", "strip": ~F.col("owned"), "objects_only": options.adapter == HOOKS},
+            "__output": {"value": "result", "drop_marker": options.capability_marker},
+        },
+        secrets=secrets, redactor=redactor,
     )
     df = df.withColumn("__error", clients.error_text("error", "is_tool_error", "error_type"))
     if secrets:

@@ -7,6 +7,7 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,16 @@ from callscope.functions import payload, telemetry
 FINALIZED_SCHEMA = T.StructType([*S.CANDIDATE_SCHEMA.fields, T.StructField("keep", T.BooleanType())])
 
 
+_ARROW_TYPES = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_()}
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    """Arrow type of a candidate column."""
+    if isinstance(kind, T.StructType):
+        return pa.struct([pa.field(f.name, _arrow_type(f.dataType)) for f in kind])
+    return _ARROW_TYPES[kind.simpleString()]
+
+
 def redact_error(text, redactor: Callable) -> Column:
     """Run the value redactor on an error text; other results become their JSON."""
     @F.pandas_udf("string")
@@ -71,8 +82,6 @@ def _decode(text):
 
 def _run_hook(hook: Callable, row: dict) -> dict:
     """One candidate through the hook, back as column values."""
-    # NULL struct members arrive as NaN or None depending on the batch.
-    row = {k: (None if isinstance(v, float) and pd.isna(v) else v) for k, v in row.items()}
     block = row["telemetry"]
     candidate = row | {
         "duration_ms": int(row["duration_ms"]),
@@ -111,11 +120,11 @@ def with_event_hook(df: DataFrame, hook: Callable, candidate: str = "candidate")
     The hook gets a dict with decoded input and output and returns one. If it fails,
     input, output and error become placeholders, also where there was none before.
     """
+    finalized = _arrow_type(FINALIZED_SCHEMA)
 
-    @F.pandas_udf(FINALIZED_SCHEMA)
-    def udf(rows: pd.DataFrame) -> pd.DataFrame:
-        done = [_run_hook(hook, row) for row in rows.to_dict("records")]
-        return pd.DataFrame(done, columns=FINALIZED_SCHEMA.fieldNames())
+    @F.arrow_udf(FINALIZED_SCHEMA)
+    def udf(rows: pa.Array) -> pa.Array:
+        return pa.array([_run_hook(hook, row) for row in rows.to_pylist()], finalized)
 
     # Nondeterministic keeps the filter from being moved below the hook.
     seen = udf.asNondeterministic()(F.col(candidate))

@@ -20,7 +20,7 @@ from callscope.session import scratch_dir
 HOT_ROWS = 2_000_000
 SLICE = "__slice"
 #: Whole rows that one task sorts, so that its memory does not grow with the table.
-TASK_ROWS = 300_000
+TASK_ROWS = 100_000
 #: Starts of one key that a row is compared with; beyond, rows find their slice by a join on their place.
 _STARTS = 128
 
@@ -33,9 +33,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """`df` by `keys` over as many tasks as `rows` rows need; below the session's number Spark deals them out itself."""
-    tasks = -(-rows // TASK_ROWS)
-    return df if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(tasks, *keys)
+    """`df` by `keys` over as many tasks as `rows` rows need, and no fewer than the session's number.
+
+    Tables of one task's rows are left to Spark. Larger ones are not: adaptive execution merges tasks by their
+    compressed bytes, and rows that compress to a tenth would be sorted in a few tasks that spill.
+    """
+    tasks = max(-(-rows // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df if rows <= TASK_ROWS else df.repartition(tasks, *keys)
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:

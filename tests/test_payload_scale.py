@@ -1,6 +1,6 @@
 """Payloads at size: work is spread by rows, cheap tests are made once, and none of them loses a binary."""
 
-from callscope.functions import text as tx
+from callscope.functions import payload, text as tx
 from callscope.plans.jobs import clean_payloads
 from workload import views
 
@@ -35,3 +35,12 @@ def test_keys_are_found_after_braces_and_commas_only(spark):
     got = clean_payloads(spark.createDataFrame([(given,)], "payload string"), json=["payload"]).first().payload
     assert got == ('{"blob":"[binary removed]","n":[{"Pass-Word":"[redacted:sensitive-field]","blob":"[binary removed]","data":"[binary removed]",'
                    '"type":"image"}],"password":null,"token":"[redacted:sensitive-field]","x":"\\"blob\\":\\"v\\""}')
+
+
+def test_what_follows_a_value_sends_it_to_the_recursion(spark):
+    texts = ['{"b":1,"a":"x y"}', '{"b": 1}', '{"b":1}x', '{"b": 1}x', '{"a":"\\u0041"}123456', '{"b":1}{}', ' {"a":"]"}]']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    shown = payload.with_native_preview(rows, "out", "v").orderBy("i")
+    assert [r.out for r in shown.collect()] == ['{"a":"x y","b":1}', '{"b":1}', None, None, None, None, None]
+    plan = payload._with_canonical(rows, "out", "v", "a", None, None, False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[ \\t\\r\\n]+") <= 2
