@@ -108,10 +108,19 @@ def with_envelope(
 
 
 def pack_envelopes(
-    events: DataFrame, size: int = S.ENVELOPE_CANDIDATES, hot_rows: int | None = HOT_ROWS
+    events: DataFrame, size: int = S.ENVELOPE_CANDIDATES, hot_rows: int | None = HOT_ROWS, once: bool = False
 ) -> DataFrame:
-    """Envelope documents of an event table: one row per batch with its JSON `body`."""
-    placed = with_envelope(events, size, hot_rows).withColumn("json", event_json())
+    """Envelope documents of an event table: one row per batch with its JSON `body`.
+
+    Numbering reads the events for their places before they are packed. With `once`, for events that are
+    costly to make and whose bodies are wanted, their JSON is written first and both read that.
+    """
+    rows = events.select("server_id", "recorded_at", "source_seq", "emit_pos", event_json().alias("json"))
+    if once:
+        rows = written(rows, "packed-events")
+    placed = with_envelope(rows, size, hot_rows)
+    if once:
+        placed = dealt(placed, ["server_id", "batch"], rows.count())
     in_order = F.array_sort(F.collect_list(F.struct("recorded_at", "source_seq", "emit_pos", "json")))
     body = F.concat(
         F.lit('{"schema_version":%d,"events":[' % S.SCHEMA_VERSION),

@@ -526,7 +526,7 @@ def envelopes_sliced(spark, sf):
 @register("envelope_round_trip", EVENTS_SQL.replace(_OWNED, "false"))
 def envelope_round_trip(spark, sf):
     """Packed, written as JSON, read back: nothing may change."""
-    packed = envelopes.pack_envelopes(_event_table(spark, sf)).select("server_id", "body")
+    packed = envelopes.pack_envelopes(_event_table(spark, sf), once=True).select("server_id", "body")
     back = envelopes.unpack_envelopes(packed)
     kinds = "CASE kind WHEN 'tool_call' THEN 2 WHEN 'session_init' THEN 1 ELSE 0 END AS emit_pos"
     return back.selectExpr(*[c if c != "emit_pos" else kinds for c in FLAT])
