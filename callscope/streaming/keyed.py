@@ -14,7 +14,7 @@ for those it did not meet one by one. So its work follows what it decides, howev
 Rows cross into Python, wait there and come back in packs (`packed_rows`), compressed on the way in, since a
 processor pays for every column of each of its rows and the store for every byte.
 
-`first_of_each_stream` keeps one mark for each session and identity that was sent.
+`first_of_each_stream` keeps one mark for each session and identity that was sent, in buckets as well.
 
 Rows that come after their time was decided, or without a time, are handed out as `late`. State
 is bounded by `forget_after`: what was not touched for so long is dropped.
@@ -187,6 +187,19 @@ def in_packs(rows: Iterator[tuple]) -> Iterator[Row]:
         yield _DECIDED(pack)
 
 
+def entries_of(state, names: dict[tuple, object]) -> dict[tuple, tuple | None]:
+    """The entries of a map of the store under these names, read in one go as far as a few for each of them."""
+    read, found = 0, dict.fromkeys(names)
+    most = _AT_ONCE * len(names)
+    for name, value in islice(state.iterator(), most):
+        read += 1
+        if tuple(name) in found:
+            found[tuple(name)] = value
+    if read < most:
+        return found
+    return {name: state.getValue(name) if value is None else value for name, value in found.items()}
+
+
 class LogState(StatefulProcessor):
     """The connections of one bucket: rows wait for the watermark, then are decided in order."""
 
@@ -251,15 +264,7 @@ class LogState(StatefulProcessor):
 
     def _known_of(self, names: dict[tuple, list]) -> dict[tuple, tuple | None]:
         """What is known of these connections."""
-        read, found = 0, dict.fromkeys(names)
-        most = _AT_ONCE * len(names)
-        for name, value in islice(self.known.iterator(), most):
-            read += 1
-            if tuple(name) in found:
-                found[tuple(name)] = value
-        if read < most:
-            return found
-        return {name: self.known.getValue(name) if value is None else value for name, value in found.items()}
+        return entries_of(self.known, names)
 
     def _settled(self, name: tuple, rows: list[list], passed: int, before: tuple | None) -> Iterator[tuple]:
         """Decide rows of one connection, end what is past its time, and keep the rest. `before`: what was known of it."""
@@ -391,38 +396,85 @@ FIRSTS = T.StructType([
 ])
 
 
+_KEY = "server_id string, actor_id string, role string, about string"
+_FIRST = f"{_KEY}, micros bigint, seq bigint, row string"
+_FIRST_PACK = Row("firsts")
+
+
+def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (`bucket`, key, `micros`, `seq`, `row`) the first of each key in a task, as packs (`bucket`, `pack`).
+
+    A task holds few keys at once, whatever its part of the log; a key may come in several packs.
+    """
+    held, size = {}, 0
+
+    def packs() -> pa.RecordBatch:
+        buckets = {}
+        for (bucket, *key), first in held.items():
+            buckets.setdefault(bucket, []).append([*key, *first])
+        made = [_compressed(json.dumps(rows)) for rows in buckets.values()]
+        return pa.record_batch([pa.array(list(buckets), pa.int64()), pa.array(made, pa.binary())], ["bucket", "pack"])
+
+    for batch in batches:
+        for *key, micros, seq, row in zip(*(column.to_pylist() for column in batch.columns)):
+            key, there = tuple(key), held.get(tuple(key))
+            if there is None or (micros, seq) < there[:2]:
+                held[key] = (micros, seq, row)
+                size += len(row) if there is None else 0
+            if len(held) >= _HELD_ROWS or size >= _HELD_TEXT:
+                yield packs()
+                held, size = {}, 0
+    if held:
+        yield packs()
+
+
 class FirstOfKey(StatefulProcessor):
-    """Lets the first row of a key pass, by its place; later ones find the mark and end here."""
+    """Lets the first row of each key of a bucket pass, by its place; later ones find the mark and end here."""
 
     def __init__(self, forget_after: int | None):
         self.ttl = None if forget_after is None else forget_after * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sent = handle.getValueState("sent", "sent boolean", self.ttl)
+        self.sent = handle.getMapState("sent", _KEY, "sent boolean", self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if not self.sent.exists():
-            yield min(rows, key=lambda r: (r.micros, r.seq))
-            self.sent.update((True,))
+        firsts = {}
+        for _, pack in rows:
+            for *name, micros, seq, row in json.loads(zlib.decompress(pack)):
+                name, place = tuple(name), (micros, seq, row)
+                if name not in firsts or place[:2] < firsts[name][:2]:
+                    firsts[name] = place
+        sent = entries_of(self.sent, firsts)
+        fresh = [(*name, *place) for name, place in firsts.items() if sent[name] is None]
+        for row in fresh:
+            self.sent.updateValue(row[:4], (True,))
+        for start in range(0, len(fresh), _PACK):
+            yield _FIRST_PACK(fresh[start:start + _PACK])
 
     def close(self) -> None:
         pass
 
 
-def first_of_each_stream(sightings: DataFrame, forget_after: int | None = None) -> DataFrame:
+def first_of_each_stream(sightings: DataFrame, forget_after: int | None = None, buckets: int | None = None) -> DataFrame:
     """The first sighting of each session and identity of a stream, as `first_of_each` of a table.
 
     A micro-batch must hold whole spans of time, as the output of `observe` does; the state is
-    one mark for each session and identity, forgotten `forget_after` seconds after it was set.
+    one mark for each session and identity, forgotten `forget_after` seconds after it was set. Tasks keep the
+    first row of a key before they shuffle, and sessions share keys of the store in `buckets`, eight for each
+    shuffle partition by default, which must stay as they are for the life of a checkpoint.
     """
-    use_state_store(sightings.sparkSession)
+    spark = sightings.sparkSession
+    use_state_store(spark)
     each = session_roles(sightings.select(*START_COLUMNS, "explicit"))
+    keys = ["server_id", "actor_id", "role", "about"]
+    count = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     narrow = each.select(
-        "server_id", "actor_id", "role", "about", F.unix_micros("recorded_at").alias("micros"), F.col("source_seq").alias("seq"),
+        F.pmod(F.xxhash64(*keys), F.lit(count)).alias("bucket"), *keys, F.unix_micros("recorded_at").alias("micros"), F.col("source_seq").alias("seq"),
         F.to_json(F.struct(*[_as_json(each, c) for c in (*START_COLUMNS, "explicit") if c != "server_id"])).alias("row"),
     )
+    packs = narrow.mapInArrow(first_rows, "bucket bigint, pack binary")
     mode = "None" if forget_after is None else "ProcessingTime"
-    first = narrow.groupBy("server_id", "actor_id", "role", "about").transformWithState(FirstOfKey(forget_after), narrow.schema, "Append", mode)
+    first = packs.groupBy("bucket").transformWithState(FirstOfKey(forget_after), f"firsts array<struct<{_FIRST}>>", "Append", mode).select(F.inline("firsts"))
     kinds = {f.name: f.dataType.simpleString() for f in FIRSTS if f.name in (*START_COLUMNS, "explicit") and f.name != "server_id"}
     row = F.from_json("row", ", ".join(f"{n} {'bigint' if k == 'timestamp' else k}" for n, k in kinds.items()))
     values = [(F.timestamp_micros(f"row.{n}") if k == "timestamp" else F.col(f"row.{n}")).alias(n) for n, k in kinds.items()]
