@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from callscope.operators.envelopes import pack_envelopes
+from callscope.operators.ordered import HOT_ROWS
 
 
 def start(
@@ -26,12 +27,16 @@ def start(
     return writer.format("parquet").option("path", path).start()
 
 
-def envelope_batch(path: str, size: int = 20) -> Callable[[DataFrame, int], None]:
-    """Write the envelopes of a micro-batch below its number, so a replay overwrites it."""
+def envelope_batch(path: str, size: int = 20, hot_rows: int | None = HOT_ROWS) -> Callable[[DataFrame, int], None]:
+    """Write the envelopes of a micro-batch below its number, so a replay overwrites it.
+
+    A micro-batch may be a whole log, and its servers are few: events are made once by all tasks and
+    numbered by narrow rows, unless `hot_rows` is None, for small ones.
+    """
 
     def write(events: DataFrame, batch_id: int) -> None:
         target = os.path.join(path, f"micro_batch={batch_id}")
-        pack_envelopes(events, size, hot_rows=None).write.mode("overwrite").parquet(target)
+        pack_envelopes(events, size, hot_rows, once=hot_rows is not None).write.mode("overwrite").parquet(target)
 
     return write
 
