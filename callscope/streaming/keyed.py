@@ -9,7 +9,9 @@ micro-batches. An agenda by minute ends requests that were never answered, and f
 Connections share the keys of the store (`buckets`): their waiting rows lie in one list, which holds
 the rows of the delay alone, and each connection's state is an entry of one map. A micro-batch
 reads the map in one go as far as a few entries for each connection that it decides something for, and asks
-for those it did not meet one by one. So its work follows what it decides, however many others there are.
+for those it did not meet one by one. So its work follows what it decides, however many others there are. The
+entries themselves lie in `Pages` of some dozens, whose number grows with them: a call moves a page, and what a
+micro-batch changed is written once a page.
 
 Rows cross into Python, wait there and come back in packs (`packed_rows`), compressed on the way in, since a
 processor pays for every column of each of its rows and the store for every byte.
@@ -53,7 +55,10 @@ from callscope.options import HOOKS, BuildOptions
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-DECIDED = "server_id string, kind string, micros bigint, seq bigint, request string, row string, client string, session_id string"
+DECIDED = (
+    "server_id string, kind string, micros bigint, seq bigint, begun_micros bigint, begun_seq bigint, request string, row string, "
+    "client string, session_id string"
+)
 _DECIDED = Row("decided")
 #: Rows of a pack that leaves a processor; rows and characters that a task packs at once before one enters.
 _PACK, _HELD_ROWS, _HELD_TEXT = 256, 50_000, 1 << 24
@@ -61,7 +66,8 @@ _PACK, _HELD_ROWS, _HELD_TEXT = 256, 50_000, 1 << 24
 _AT_ONCE = 4
 #: A row that waits: its connection, its place, what it is, and its columns as JSON; in a pack all are texts.
 _FIELDS = ["server_id", "connection", "micros", "seq", "what", "request_id", "client", "own_id", "session", "fallback", "row"]
-_KNOWN = "begun string, client string, remembered string, started boolean, touched bigint"
+#: Entries of a page; one that gets more makes a bucket double its pages.
+_PAGE = 64
 _MINUTE = 60_000_000
 #: Columns of the log that requests, answers and starts need.
 _COLUMNS = [
@@ -139,9 +145,10 @@ class Connection:
 
     def _show(self, kind, micros, seq, row=None, request=None, session=None) -> None:
         if request is None:
-            self.out.append((kind, micros, seq, None, row, None, session))
+            self.out.append((kind, micros, seq, None, None, None, row, None, session))
         else:
-            self.out.append((kind, micros, seq, _packed(request), row, request[3], request[4]))
+            began, began_seq, asked, client, session = request
+            self.out.append((kind, micros, seq, began, began_seq, asked, row, client, session))
 
 
 def packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,24 +207,102 @@ def entries_of(state, names: dict[tuple, object]) -> dict[tuple, tuple | None]:
     return {name: state.getValue(name) if value is None else value for name, value in found.items()}
 
 
+#: Columns of the store that `Pages` use: their map, and the number of its pages as bits.
+_PAGED, _SIZE = ("page bigint", "entries binary"), "bits int"
+
+
+class Pages:
+    """A map of texts to values whose entries share the entries of a map of the store (`_PAGED`).
+
+    A call to the store costs as much as dozens of entries, so these lie in pages by a hash of their names. Pages
+    that were read stay until `save`, which writes those that changed. There are as many pages, a power of two kept in
+    `size` (`_SIZE`), as leave `_PAGE` entries to one at most, so an entry costs the same however many others there are.
+    With `ttl` in milliseconds an entry ends that long after `now` when it was set.
+    """
+
+    def __init__(self, store, size, ttl: int | None = None):
+        self.store, self.size, self.ttl, self.now = store, size, ttl, None
+        self._bits, self._read, self._changed = None, {}, set()
+
+    def getValue(self, name: tuple) -> tuple | None:
+        return self._page(self._number(name)).get(tuple(name), (None,))[0]
+
+    def iterator(self) -> Iterator[tuple[tuple, tuple]]:
+        for (number,), (page,) in self.store.iterator():
+            if number not in self._read:
+                self._read[number] = self._unpacked(page)
+            yield from ((name, value) for name, (value, _) in self._read[number].items())
+
+    def updateValue(self, name: tuple, value: tuple) -> None:
+        number = self._number(name)
+        self._page(number)[tuple(name)] = (tuple(value), None if self.ttl is None else self.now + self.ttl)
+        self._changed.add(number)
+
+    def removeKey(self, name: tuple) -> None:
+        number = self._number(name)
+        if self._page(number).pop(tuple(name), None) is not None:
+            self._changed.add(number)
+
+    def save(self) -> None:
+        """Write what changed; the next call reads anew."""
+        if any(len(self._read[number]) > _PAGE for number in self._changed):
+            self._grow()
+        for number in sorted(self._changed):
+            if page := self._read[number]:
+                self.store.updateValue((number,), (_compressed(json.dumps([[name, *held] for name, held in page.items()])),))
+            else:
+                self.store.removeKey((number,))
+        self._bits, self._read, self._changed = None, {}, set()
+
+    def _grow(self) -> None:
+        """Deal all entries out over so many pages that none has too many."""
+        for _ in self.iterator():
+            pass
+        entries, gone = {n: v for page in self._read.values() for n, v in page.items()}, set(self._read)
+        while self._bits < 32 and max(map(len, self._read.values())) > _PAGE:
+            self._bits += 1
+            self._read = {}
+            for name, value in entries.items():
+                self._read.setdefault(self._number(name), {})[name] = value
+        self._read = {number: {} for number in gone} | self._read
+        self._changed = set(self._read)
+        self.size.update((self._bits,))
+
+    def _number(self, name: tuple) -> int:
+        if self._bits is None:
+            there = self.size.get()
+            self._bits = 0 if there is None else there[0]
+        return zlib.crc32(json.dumps(list(name)).encode()) & ((1 << self._bits) - 1)
+
+    def _page(self, number: int) -> dict:
+        if number not in self._read:
+            there = self.store.getValue((number,))
+            self._read[number] = {} if there is None else self._unpacked(there[0])
+        return self._read[number]
+
+    def _unpacked(self, page: bytes) -> dict:
+        held = json.loads(zlib.decompress(page))
+        return {tuple(name): (tuple(value), until) for name, value, until in held if until is None or until > self.now}
+
+
 class LogState(StatefulProcessor):
     """The connections of one bucket: rows wait for the watermark, then are decided in order."""
 
     def __init__(self, options: dict):
-        self.options = options
+        self.options, self.pages, self.settled = options, None, None
         self.has_agenda = options["abandon"] is not None or options["forget"] is not None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "packs array<binary>")
-        self.known = handle.getMapState("known", "server_id string, connection string", _KNOWN)
+        self.known = self.pages = Pages(handle.getMapState("known", *_PAGED), handle.getValueState("known_size", _SIZE))
         self.agenda = handle.getMapState("agenda", "minute bigint", "connections string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         return in_packs(self._taken(rows, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        return in_packs(self._due(timerValues.getCurrentWatermarkInMs() * 1000))
+        return in_packs(self._once(key, timerValues.getCurrentWatermarkInMs() * 1000))
 
     def _taken(self, packs: Iterator[Row], passed: int) -> Iterator[tuple]:
         """Keep the rows of these packs that are in time; the others are late."""
@@ -227,7 +312,7 @@ class LogState(StatefulProcessor):
                 own = []
                 for r in unpacked(pack):
                     if r[2] is None or r[2] <= passed:
-                        yield r[0], "late", r[2], r[3], None, r[10], None, None
+                        yield r[0], "late", r[2], r[3], None, None, None, r[10], None, None
                     else:
                         own.append(r)
                 if not own:
@@ -240,6 +325,13 @@ class LogState(StatefulProcessor):
             self.waiting.appendValue((kept,))
             self._wake(first)
 
+    def _once(self, key, passed: int) -> Iterator[tuple]:
+        """What is due for a bucket, at the first of its timers that a micro-batch lets expire."""
+        if self.settled != (key, passed):
+            yield from self._due(passed)
+            self.pages.save()
+            self.settled = (key, passed)
+
     def _due(self, passed: int) -> Iterator[tuple]:
         rows = [r for part in self.waiting.get() for pack in part[0] for r in unpacked(pack)]
         due = sorted((r for r in rows if r[2] <= passed), key=lambda r: r[:4])
@@ -300,11 +392,6 @@ class LogState(StatefulProcessor):
         pass
 
 
-def _packed(request) -> str:
-    """What a pair keeps of its request beside client and session."""
-    return json.dumps({"micros": request[0], "seq": request[1], "row": request[2]})
-
-
 def _narrow(messages: DataFrame, options: BuildOptions, delay: str) -> DataFrame:
     """Rows for the state: what they are, what is known without memory, the rest as JSON.
 
@@ -361,11 +448,10 @@ def observe(
 
 def decided_pairs(decided: DataFrame) -> DataFrame:
     """Paired messages out of decided rows, in the form `finish_call` reads."""
-    request = F.from_json("request", "micros bigint, seq bigint, row string")
     pairs = decided.filter(F.col("kind").isin("end", "cancel", "abandoned")).withColumns({
-        "request": request, "answer": F.from_json("row", _ROW), "client": F.from_json("client", S.CLIENT_SCHEMA),
-    }).withColumn("began", F.from_json("request.row", _ROW))
-    given = {"ts": F.timestamp_micros("request.micros"), "seq": F.col("request.seq"), "client": F.col("client"), "session_id": F.col("session_id")}
+        "began": F.from_json("request", _ROW), "answer": F.from_json("row", _ROW), "client": F.from_json("client", S.CLIENT_SCHEMA),
+    })
+    given = {"ts": F.timestamp_micros("begun_micros"), "seq": F.col("begun_seq"), "client": F.col("client"), "session_id": F.col("session_id")}
     return pairs.select(
         "server_id", "seq", F.timestamp_micros("micros").alias("ts"),
         F.when(F.col("kind") == "end", "end").otherwise("cancel").alias("phase"),
@@ -432,12 +518,16 @@ class FirstOfKey(StatefulProcessor):
     """Lets the first row of each key of a bucket pass, by its place; later ones find the mark and end here."""
 
     def __init__(self, forget_after: int | None):
-        self.ttl = None if forget_after is None else forget_after * 1000
+        self.ttl, self.pages = None if forget_after is None else forget_after * 1000, None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.sent = handle.getMapState("sent", _KEY, "sent boolean", self.ttl)
+        # A page ends when none of its marks was set for so long; a mark in a page that goes on ends by itself.
+        store = handle.getMapState("sent", *_PAGED, self.ttl)
+        self.sent = self.pages = Pages(store, handle.getValueState("sent_size", _SIZE), self.ttl)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if self.ttl is not None:
+            self.pages.now = timerValues.getCurrentProcessingTimeInMs()
         firsts = {}
         for _, pack in rows:
             for *name, micros, seq, row in json.loads(zlib.decompress(pack)):
@@ -448,6 +538,8 @@ class FirstOfKey(StatefulProcessor):
         fresh = [(*name, *place) for name, place in firsts.items() if sent[name] is None]
         for row in fresh:
             self.sent.updateValue(row[:4], (True,))
+        if self.pages is not None:
+            self.pages.save()
         for start in range(0, len(fresh), _PACK):
             yield _FIRST_PACK(fresh[start:start + _PACK])
 

@@ -24,7 +24,7 @@ OPTIONS = BuildOptions(hot_rows=None)
 DELAY = 600
 FILES = 8
 #: Rows of one file of the log, about; a time span of more comes in several files.
-FILE_ROWS = 250_000
+FILE_ROWS = 100_000
 
 
 def with_file(log: DataFrame, spans: int = FILES) -> DataFrame:
