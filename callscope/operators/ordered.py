@@ -32,6 +32,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_in_slices(df: DataFrame, name: str) -> DataFrame:
+    """`written` for what windows over slices gave; their carries join on the layout of the slices.
+
+    The rows lie by key and slice, and the joins ask for more columns than these, which would by default send
+    whole rows across the network again for each join. The setting holds for this one job.
+    """
+    conf, setting = df.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(setting)
+    conf.set(setting, "false")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(setting, before)
+
+
 def dealt(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     """`df` by `keys` over as many tasks as `rows` rows need, and no fewer than the session's number.
 
@@ -102,7 +117,7 @@ class Sliced:
 
 
 def slice_hot(
-    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = HOT_ROWS
+    df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = HOT_ROWS, once: bool = False
 ) -> Sliced:
     """Measure the keys with one narrow aggregation, then cut the hot ones by rank.
 
@@ -110,7 +125,8 @@ def slice_hot(
     scratch folder, so their size is known to the optimizer, which broadcasts them
     below its threshold and joins them by shuffle above it. Where a key has few slices, each row is
     compared with their starts; where it has many, it joins its own place, so the work of a row does not
-    grow with the key.
+    grow with the key. With `once` the rows are written with their slices, for several windows: each carry reads
+    them anew, and where there are many keys that join sends whole rows across the network.
     """
     if hot_rows is None:
         return Sliced(df, keys)
@@ -126,12 +142,12 @@ def slice_hot(
         starts = starts.groupBy(*keys).agg(F.array_distinct(F.array_sort(F.collect_list("__place"))).alias("__starts"))
         number = F.size(F.filter("__starts", lambda s: s <= place)) - 1
         sliced = df.join(written(starts, "slice-starts"), keys, "left").withColumn(SLICE, F.coalesce(number.cast("bigint"), F.lit(0))).drop("__starts")
-        return Sliced(dealt(sliced, [*keys, SLICE], rows), keys, hot)
+        return Sliced(dealt(written(sliced, "sliced") if once else sliced, [*keys, SLICE], rows), keys, hot)
     # Rows of one place go with the first of them.
     numbers = written(placed.groupBy(*keys, "__place").agg(F.min("__number").alias(SLICE)), "slices")
     sliced = df.withColumn("__place", place).join(numbers, [*keys, "__place"], "left").drop("__place")
     sliced = sliced.withColumn(SLICE, F.coalesce(SLICE, F.lit(0))).select(*df.columns, SLICE)
-    return Sliced(dealt(sliced, [*keys, SLICE], rows), keys, hot)
+    return Sliced(dealt(written(sliced, "sliced") if once else sliced, [*keys, SLICE], rows), keys, hot)
 
 
 def with_previous(

@@ -20,6 +20,7 @@ from callscope.operators.ordered import (
     slice_hot,
     with_previous,
     with_running,
+    written_in_slices,
 )
 from callscope.options import HOOKS, MIDDLEWARE, BuildOptions
 
@@ -242,11 +243,13 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     replaces the first, and an id may be used again after its answer: so an answer
     pairs exactly when the row before it is a request. Payload columns cross the
     network once, on the connection; client look-up and pairing share that layout.
+    Where connections are sliced, every carry reads the log anew: it is written with its slices before, and the pairs
+    are written for all who read them.
     """
     prepared = prepare_messages(messages, options)
     if options.hot_rows is None:
         prepared = dealt(prepared, CONNECTION, prepared.count())
-    sliced = slice_hot(prepared, CONNECTION, ORDER, options.hot_rows)
+    sliced = slice_hot(prepared, CONNECTION, ORDER, options.hot_rows, once=True)
     seen = with_client(sliced, options)
 
     # Starts ride along the pairing window under keys of their own, so that one pass
@@ -258,8 +261,12 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
     )
     keys = [*CONNECTION, "exchange"]
     paired = with_previous(seen.replace(rows), keys, ORDER, ["phase", *REQUEST_COLUMNS]).df
-    paired = paired.drop("prev_row")
     is_pair = is_call & F.col("phase").isin("end", "cancel") & (F.col("prev_phase") == "begin")
+    paired = paired.drop("prev_row")
+    starts = seen.df.filter("opens_session")
+    if sliced.hot is not None:
+        paired = written_in_slices(paired.filter(F.col("opens_session") | is_pair), "paired")
+        starts = paired.filter("opens_session")
     pairs = paired.filter(is_pair)
     sightings = sighting_rows(paired.filter(F.col("opens_session") | is_pair), options)
     if options.abandon_after is not None:
@@ -267,8 +274,7 @@ def pair_calls(messages: DataFrame, options: BuildOptions) -> Observed:
         lost = lost.withColumn("exchange", F.lit(None).cast("string"))
         pairs = pairs.unionByName(lost.select(pairs.columns))
         sightings = sightings.unionByName(sighting_rows(lost, options))
-    starts = sighting_rows(seen.df.filter("opens_session"), options, only_starts=True)
-    return Observed(finish_call(pairs, options), starts, sightings)
+    return Observed(finish_call(pairs, options), sighting_rows(starts, options, only_starts=True), sightings)
 
 
 def sighting_rows(rows: DataFrame, options: BuildOptions, only_starts: bool = False) -> DataFrame:
