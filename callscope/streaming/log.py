@@ -67,8 +67,10 @@ class LogTables:
         return reader.schema(keyed.DECIDED).parquet(self._path("decided"))
 
     def call_stream(self) -> DataFrame:
-        """Finished calls as a stream of their own."""
-        return keyed.decided_calls(self._decided(streaming=True), self.options)
+        """Finished calls as a stream of their own, its micro-batches dealt out by rows, as in `events`."""
+        decided = self._decided(streaming=True)
+        tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.spark.sparkContext.defaultParallelism)
+        return keyed.decided_calls(decided.repartition(tasks, "server_id", "seq"), self.options)
 
     def calls(self) -> DataFrame:
         return keyed.decided_calls(self._decided(), self.options)
